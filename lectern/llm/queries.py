@@ -7,10 +7,23 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lectern.llm import leakage, spans
+from lectern.llm import leakage, neardup, spans
 from lectern.plans import table
 
 
+def _edited_copies(spark: SparkSession, folder: str) -> neardup.NearDuplicates:
+    originals = table(spark, folder, "content_variants").where("name = 'original'")
+    return neardup.near_duplicates(originals, "variant_id", "text", threshold=0.5, n=3, min_words=40, strip_tags=True)
+
+
+def p3_found(spark: SparkSession, folder: str) -> DataFrame:
+    return neardup.expanded_pairs(_edited_copies(spark, folder)).select(F.col("id_a").alias("variant_id_a"), F.col("id_b").alias("variant_id_b"))
+
+
+def p3_groups(spark: SparkSession, folder: str) -> DataFrame:
+    return neardup.groups(_edited_copies(spark, folder)).withColumnRenamed("id", "variant_id")
+
+
 def p7_found(spark: SparkSession, folder: str) -> DataFrame:
     return leakage.leaked_items(table(spark, folder, "documents"), table(spark, folder, "eval_items"))
 
