@@ -7,10 +7,27 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lectern.llm import leakage, neardup, spans
+from lectern.llm import language, leakage, neardup, spans
 from lectern.plans import table
 
 
+def _segments(spark: SparkSession, folder: str) -> DataFrame:
+    originals = table(spark, folder, "content_variants").where("name = 'original'")
+    return language.language_segments(originals, table(spark, folder, "lang_samples"))
+
+
+def p1_found(spark: SparkSession, folder: str) -> DataFrame:
+    return language.missing_labels(_segments(spark, folder), table(spark, folder, "doc_items"))
+
+
+def p1_documents(spark: SparkSession, folder: str) -> DataFrame:
+    return language.document_languages(_segments(spark, folder))
+
+
+def p1_segments(spark: SparkSession, folder: str) -> DataFrame:
+    return _segments(spark, folder)
+
+
 def _edited_copies(spark: SparkSession, folder: str) -> neardup.NearDuplicates:
     originals = table(spark, folder, "content_variants").where("name = 'original'")
     return neardup.near_duplicates(originals, "variant_id", "text", threshold=0.5, n=3, min_words=40, strip_tags=True)
