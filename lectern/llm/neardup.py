@@ -8,7 +8,7 @@ separately, and the partial counts are summed per pair.
   decides how much work is done, never the result.
 * A pair of similarity ``t`` must share one of the first ``n - O + 1`` n-grams of both (``O`` the
   overlap it needs), so records post only that prefix, one row per record and fragment with its
-  n-grams, their places, and a parity bitmap of 256 bits of the whole set.
+  n-grams, their places, and a parity bitmap of the whole set (256 bits, doubled with its size).
 * In a fragment each posting list is joined with itself under the place, length and bitmap bounds,
   all of which are lossless; what survives is counted per pair. Sums over fragments give the
   candidates, whose texts are then compared exactly.
@@ -33,7 +33,7 @@ from lectern.llm.words import WORD, WordHash, mix, plain, shingles
 from lectern.operators.components import connected_components
 from lectern.plans import cut_lineage, join_checked, semi_checked
 
-ORDER_PARTS, MAP_BITS = 16, 256
+ORDER_PARTS, MAP_BITS, MAP_LOAD = 16, 256, 120
 
 
 class Sets:
@@ -92,6 +92,59 @@ def needed(x: np.ndarray, y: np.ndarray, t: float) -> np.ndarray:
     return np.ceil(t / (1 + t) * (x + y) - 1e-9).astype(np.int64)
 
 
+def bitmaps(h: np.ndarray, rec: np.ndarray, size: np.ndarray) -> dict[int, bytes]:
+    """Parity bitmap of each record's n-grams; bits fold: the halves of a map XOR to the smaller map."""
+    out = {}
+    bit = mix(h + np.uint64(99))
+    width = map_bits(size)
+    for w in np.unique(width[rec]).tolist():
+        keep = width[rec] == w
+        ids, slot = np.unique(rec[keep], return_inverse=True)
+        parity = np.bincount(slot * w + (bit[keep] & np.uint64(w - 1)).astype(np.int64), minlength=len(ids) * w).reshape(-1, w) & 1
+        packed = np.packbits(parity.astype(np.uint8), axis=1)
+        out |= {r: x.tobytes() for r, x in zip(ids.tolist(), packed)}
+    return out
+
+
+def map_bits(size: np.ndarray) -> np.ndarray:
+    """Bits of the map of a set: MAP_BITS for up to MAP_LOAD elements, twice as many for twice as many."""
+    return MAP_BITS << np.maximum(0, np.ceil(np.log2(np.maximum(1, size) / MAP_LOAD))).astype(np.int64)
+
+
+class Maps:
+    """Bitmaps of many rows, folded to the width that two rows have in common."""
+
+    def __init__(self, data: np.ndarray, words: np.ndarray) -> None:
+        self.words, self.at, self.level = words, {}, {}
+        begin = np.cumsum(words) - words
+        for w in sorted(np.unique(words).tolist(), reverse=True):
+            rows = np.flatnonzero(words >= w)
+            own = np.zeros((len(rows), w), np.uint64)
+            at = np.full(len(words), -1)
+            at[rows] = np.arange(len(rows))
+            if self.level:
+                wide = min(self.level)
+                big = self.level[wide]
+                while big.shape[1] > w:
+                    half = big.shape[1] // 2
+                    big = big[:, :half] ^ big[:, half:]
+                up = np.flatnonzero(words >= wide)
+                own[at[up]] = big
+            same = np.flatnonzero(words == w)
+            own[at[same]] = data[(begin[same][:, None] + np.arange(w)).ravel()].reshape(-1, w)
+            self.level[w], self.at[w] = own, at
+
+    def apart(self, x: np.ndarray, y: np.ndarray) -> np.ndarray:
+        """Lower bound of the number of elements that only one of each two rows has."""
+        w = np.minimum(self.words[x], self.words[y])
+        out = np.zeros(len(x), np.int64)
+        for k in np.unique(w).tolist():
+            m = w == k
+            rows, at = self.level[k], self.at[k]
+            out[m] = np.bitwise_count(rows[at[x[m]]] ^ rows[at[y[m]]]).sum(axis=1, dtype=np.int64)
+        return out
+
+
 def _runs(*keys: np.ndarray) -> np.ndarray:
     new = np.ones(len(keys[0]), bool)
     new[1:] = False
@@ -128,10 +181,7 @@ def _posting_batches(batches: Iterator[pa.RecordBatch], args: tuple, level: np.n
         h, rec = s.h[keep], s.rec[keep]
         if not len(h):
             continue
-        bit = (mix(h + np.uint64(99)) >> np.uint64(56)).astype(np.int64)
-        slot = np.cumsum(first) - 1
-        parity = np.bincount(slot[rec] * MAP_BITS + bit, minlength=int(first.sum()) * MAP_BITS).reshape(-1, MAP_BITS) & 1
-        maps = np.packbits(parity.astype(np.uint8), axis=1)
+        maps = bitmaps(h, rec, s.size)
         o = np.lexsort((h, level[_bucket(h, bits)], rec))
         h, rec = h[o], rec[o]
         size = s.size[rec]
@@ -147,7 +197,7 @@ def _posting_batches(batches: Iterator[pa.RecordBatch], args: tuple, level: np.n
         grams = pa.Array.from_buffers(pa.binary(), len(at), [None, pa.py_buffer((ends * 4).astype(np.int32)), pa.py_buffer((h & np.uint64(0xFFFFFFFF)).astype(np.uint32))])
         places = pa.Array.from_buffers(pa.binary(), len(at), [None, pa.py_buffer((ends * 4).astype(np.int32)), pa.py_buffer(place.astype(np.uint32))])
         rows = rec[at]
-        bitmap = pa.Array.from_buffers(pa.binary(), len(at), [None, pa.py_buffer((np.arange(len(at) + 1) * (MAP_BITS // 8)).astype(np.int32)), pa.py_buffer(np.ascontiguousarray(maps[slot[rows]]))])
+        bitmap = pa.array([maps[r] for r in rows.tolist()], pa.binary())
         yield pa.RecordBatch.from_arrays([pa.array(frag[at]), pa.array(ids[rows]), pa.array(of_class[rows]), pa.array(s.size[rows].astype(np.int32)), bitmap, grams, places], schema=_POST)
 
 
@@ -202,7 +252,7 @@ def _count_fragment(batches: Iterator[pa.RecordBatch], t: float) -> Iterator[pa.
         return
     c, frag = tab.column("c").to_numpy(), tab.column("frag").to_numpy().astype(np.int64)
     n, gram, place = tab.column("n").to_numpy().astype(np.int64), *(_binary(tab.column(k), np.uint32)[0] for k in ("grams", "places"))
-    maps = _binary(tab.column("bitmap"), np.uint64)[0].reshape(-1, MAP_BITS // 64)
+    maps = Maps(*_binary(tab.column("bitmap"), np.uint64))
     lens = _binary(tab.column("grams"), np.uint32)[1]
     row = np.repeat(np.arange(len(c)), lens)
     o = np.lexsort((c, frag))
@@ -221,8 +271,7 @@ def _count_fragment(batches: Iterator[pa.RecordBatch], t: float) -> Iterator[pa.
         need = needed(nx, ny, t)
         ok = (place[i] <= nx - need) & (place[j] <= ny - need)
         x, y, need = x[ok], y[ok], need[ok]
-        apart = np.bitwise_count(maps[x] ^ maps[y]).sum(axis=1, dtype=np.int64)
-        ok = n[x] + n[y] - apart >= 2 * need
+        ok = n[x] + n[y] - maps.apart(x, y) >= 2 * need
         x, y = c[x[ok]], c[y[ok]]
         swap = x > y
         codes.append(np.stack([np.where(swap, y, x), np.where(swap, x, y)], 1))
