@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lectern.llm import language, leakage, neardup, spans
+from lectern.llm import language, leakage, neardup, safety, spans
 from lectern.plans import table
 
 
@@ -28,6 +28,35 @@ def p1_segments(spark: SparkSession, folder: str) -> DataFrame:
     return _segments(spark, folder)
 
 
+CASE = 0.5
+
+
+def _document_scores(spark: SparkSession, folder: str) -> DataFrame:
+    texts = table(spark, folder, "content_variants")
+    classifier = safety.train(table(spark, folder, "safety_samples"), table(spark, folder, "lang_samples"), table(spark, folder, "safety_dials"), texts)
+    return safety.document_scores(safety.safety_scores(texts, classifier))
+
+
+def p2_found(spark: SparkSession, folder: str) -> DataFrame:
+    """Documents with a text that scores at least ``CASE`` on an axis."""
+    axes = F.explode(F.array(*(F.struct(F.lit(a).alias("axis"), F.col(a).alias("score")) for a in safety.AXES)))
+    return _document_scores(spark, folder).select("doc_uuid", axes.alias("x")).where(F.col("x.score") >= CASE).select("doc_uuid", "x.axis")
+
+
+def p2_scores(spark: SparkSession, folder: str) -> DataFrame:
+    """Scores of every document beside the opinions on it."""
+    dial = table(spark, folder, "safety_dials").groupBy("doc_uuid").agg(*(F.max_by(safety.axis_value(F.col(f"{a}_axis")), F.struct("responded_at", "response_id")).alias(f"{a}_axis") for a in safety.AXES))
+    return _document_scores(spark, folder).join(dial, "doc_uuid", "left")
+
+
+def p2_rates(spark: SparkSession, folder: str) -> DataFrame:
+    """Documents with cases per source."""
+    source = F.coalesce(F.nullif("source_identity", F.lit("")), F.lit("unknown")).alias("source")
+    docs = table(spark, folder, "doc_meta").select("doc_uuid", source)
+    per = docs.join(_document_scores(spark, folder), "doc_uuid").groupBy("source")
+    return per.agg(F.count("*").alias("n_docs"), *(F.count_if(F.col(a) >= CASE).alias(f"n_{a}") for a in safety.AXES), *(F.avg((F.col(a) >= CASE).cast("double")).alias(f"rate_{a}") for a in safety.AXES))
+
+
 def _edited_copies(spark: SparkSession, folder: str) -> neardup.NearDuplicates:
     originals = table(spark, folder, "content_variants").where("name = 'original'")
     return neardup.near_duplicates(originals, "variant_id", "text", threshold=0.5, n=3, min_words=40, strip_tags=True)
