@@ -7,4 +7,49 @@ def oracle_sql() -> dict[str, str]:
     return dict(_SQL)
 
 
-_SQL: dict[str, str] = {}
+_TERMS = """
+with uses as (
+  select doc_uuid, trim(regexp_replace(lower(t), '[\\s\\x{00a0}_-]+', ' ', 'g')) as term
+  from (select doc_uuid, unnest(themes) as t from genre_themes)
+), terms as (select * from uses where term <> ''),
+n as (select count(distinct coalesce(doc_uuid, chr(1))) as records from terms),
+c as (select term, count(*) as n_uses, count(distinct coalesce(doc_uuid, chr(1))) as n_records from terms group by term)
+select term, n_uses, n_records,
+  case when n_records < 3 then 'rare' when n_records > 0.1 * n.records then 'common' end as mark
+from c, n
+"""
+
+_PIECE_KIND = """
+select 'text' as obj, variant_id as obj_key,
+  case
+    when list_max(list_transform(string_split(text, chr(10) || chr(10)), lambda p: length(p))) <= 1800 then 'paragraph'
+    when list_max(list_transform(string_split(text, chr(10) || chr(10)), lambda p:
+      list_max(list_transform(string_split(regexp_replace(p, '([.!?…])\\s', '\\1' || chr(1), 'g'), chr(1)), lambda s: length(s))))) <= 1800 then 'sentence'
+    when list_max(list_transform(regexp_split_to_array(text, '\\s'), lambda w: length(w))) <= 1800 then 'word'
+    else 'none'
+  end as finest
+from content_variants where length(text) > 2000
+union
+select 'sequence', item_key, 'item' from doc_items where kind = 'sequence' and len(item_ids) > 100
+"""
+
+_LEAKS = """
+with d as (
+  select doc_id, regexp_extract_all(lower(text), '[\\p{L}\\p{N}]+') as w from documents where text is not null
+), i as (
+  select item_id, regexp_extract_all(lower(text), '[\\p{L}\\p{N}]+') as w from eval_items where text is not null
+), iw as (
+  select distinct item_id, hash(array_to_string(w[k:k + 11], ' ')) as h from (select item_id, w, unnest(range(1, len(w) - 10)) as k from i where len(w) >= 12)
+), dw as (
+  select doc_id, hash(array_to_string(w[k:k + 11], ' ')) as h from (select doc_id, w, unnest(range(1, len(w) - 10)) as k from d where len(w) >= 12)
+)
+select distinct doc_id, item_id from dw join iw using (h)
+"""
+
+_SQL: dict[str, str] = {
+    "p5_found": _PIECE_KIND,
+    "p6_terms": _TERMS,
+    "p6_found": f"select term, mark from ({_TERMS}) where mark is not null",
+    "p7_found": _LEAKS,
+    "p7_items": f"select item_id, count(*) as n_docs, min(doc_id) as first_doc from ({_LEAKS}) group by item_id",
+}

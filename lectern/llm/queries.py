@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lectern.llm import language, leakage, neardup, safety, spans
+from lectern.llm import frequency, language, leakage, neardup, safety, spans, splitting
 from lectern.plans import table
 
 
@@ -70,6 +70,23 @@ def p3_groups(spark: SparkSession, folder: str) -> DataFrame:
     return neardup.groups(_edited_copies(spark, folder)).withColumnRenamed("id", "variant_id")
 
 
+def p5_pieces(spark: SparkSession, folder: str) -> DataFrame:
+    texts = splitting.split_texts(table(spark, folder, "content_variants"), "variant_id", "text")
+    return texts.unionByName(splitting.split_sequences(table(spark, folder, "doc_items").where("kind = 'sequence'"), "item_key", "item_ids"))
+
+
+def p5_found(spark: SparkSession, folder: str) -> DataFrame:
+    return p5_pieces(spark, folder).where("piece_no = 0").select("obj", "obj_key", "finest").distinct()
+
+
+def p6_terms(spark: SparkSession, folder: str) -> DataFrame:
+    return frequency.term_frequency(table(spark, folder, "genre_themes"), "doc_uuid", "themes")
+
+
+def p6_found(spark: SparkSession, folder: str) -> DataFrame:
+    return p6_terms(spark, folder).where("mark is not null").select("term", "mark")
+
+
 def p7_found(spark: SparkSession, folder: str) -> DataFrame:
     return leakage.leaked_items(table(spark, folder, "documents"), table(spark, folder, "eval_items"))
 
