@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lectern.llm import frequency, language, leakage, neardup, safety, spans, splitting
+from lectern.llm import canonical, frequency, language, leakage, neardup, safety, spans, splitting
 from lectern.plans import table
 
 
@@ -70,6 +70,19 @@ def p3_groups(spark: SparkSession, folder: str) -> DataFrame:
     return neardup.groups(_edited_copies(spark, folder)).withColumnRenamed("id", "variant_id")
 
 
+def p4_tags(spark: SparkSession, folder: str) -> DataFrame:
+    return canonical.map_tags(table(spark, folder, "genre_themes"), table(spark, folder, "theme_list"))
+
+
+def p4_found(spark: SparkSession, folder: str) -> DataFrame:
+    return p4_tags(spark, folder).select("response_id", "tag_no", "theme_id").distinct()
+
+
+def p4_unmatched(spark: SparkSession, folder: str) -> DataFrame:
+    """The values that mean no entry, with their uses."""
+    return p4_tags(spark, folder).where("theme_id = -1").groupBy("tag").agg(F.count("*").alias("n_uses"))
+
+
 def p5_pieces(spark: SparkSession, folder: str) -> DataFrame:
     texts = splitting.split_texts(table(spark, folder, "content_variants"), "variant_id", "text")
     return texts.unionByName(splitting.split_sequences(table(spark, folder, "doc_items").where("kind = 'sequence'"), "item_key", "item_ids"))
