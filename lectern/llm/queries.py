@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lectern.llm import canonical, frequency, language, leakage, neardup, safety, spans, splitting
+from lectern.llm import canonical, frequency, language, leakage, mixing, neardup, safety, spans, splitting
 from lectern.plans import table
 
 
@@ -109,6 +109,18 @@ def p7_items(spark: SparkSession, folder: str) -> DataFrame:
     return p7_found(spark, folder).groupBy("item_id").agg(F.count("*").alias("n_docs"), F.min("doc_id").alias("first_doc"))
 
 
+def _mix(spark: SparkSession, folder: str) -> mixing.Mix:
+    return mixing.mix_sources(table(spark, folder, "documents"), table(spark, folder, "mix_targets"))
+
+
+def p8_mix(spark: SparkSession, folder: str) -> DataFrame:
+    return _mix(spark, folder).chosen
+
+
+def p8_shares(spark: SparkSession, folder: str) -> DataFrame:
+    return _mix(spark, folder).shares
+
+
 def p9_found(spark: SparkSession, folder: str) -> DataFrame:
     return spans.shared_spans(table(spark, folder, "documents")).select("doc_id").distinct()
 
