@@ -8,6 +8,7 @@ from html.parser import HTMLParser
 
 import pandas as pd
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 # Elements of HTML by their role.
 VOID = frozenset("area base br col embed hr img input link meta source track wbr".split())
@@ -144,12 +145,13 @@ def to_markdown(html: str | None) -> str | None:
     return None if html is None else _tidy(_children(parse(html)))
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(T.StringType())
 def html_to_markdown(texts: pd.Series) -> pd.Series:
     return texts.map(to_markdown, na_action="ignore")
 
 
-POST = "struct<post_index:int,post_id:string,post_url:string,thread_id:string,thread_slug:string,thread_url:string,thread_title:string,author_id:string,author:string,timestamp:string,text:string>"
+POST_FIELDS = ("post_id", "post_url", "thread_id", "thread_slug", "thread_url", "thread_title", "author_id", "author", "timestamp", "text")
+POST = T.StructType([T.StructField("post_index", T.IntegerType()), *(T.StructField(n, T.StringType()) for n in POST_FIELDS)])
 _THREAD = re.compile(r"/index\.php\?threads/(.+)\.(\d+)(?:/|$)")
 
 
@@ -212,6 +214,6 @@ def posts(html: str | None) -> list[dict]:
     return out
 
 
-@F.pandas_udf(f"array<{POST}>")
+@F.pandas_udf(T.ArrayType(POST))
 def extract_posts(pages: pd.Series) -> pd.Series:
     return pages.map(posts)
