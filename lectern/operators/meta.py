@@ -14,7 +14,7 @@ from lectern.operators.select import source_identity
 
 def _latest(axis: str) -> Column:
     """The last valid single value of an axis; invalid ones keep what was before."""
-    value = F.col("value")[0]
+    value = F.get("value", F.lit(0))
     good = (F.col("category") == axis) & ~F.col("value_is_list") & value.isin(*SCALES[axis])
     return F.max_by(F.when(good, value), F.when(good, F.col("item_pos")))
 
@@ -68,7 +68,7 @@ def health(corpus: Corpus, rules: Rules | None = None) -> DataFrame:
     rules = rules or Rules()
     corpus = corpus.complete()
     present = corpus.items.groupBy("doc_uuid").agg(
-        F.bool_or((F.col("category") == "language") & F.when(F.col("value_is_list"), F.size("value") > 0).otherwise(F.col("value")[0] != "")).alias("language"),
+        F.bool_or((F.col("category") == "language") & F.when(F.col("value_is_list"), F.size("value") > 0).otherwise(F.get("value", F.lit(0)) != "")).alias("language"),
         F.bool_or((F.col("kind") == "character") & ~F.col("entity_id").eqNullSafe("user")).alias("bot"),
         F.bool_or((F.col("kind") == "character") & F.col("entity_id").eqNullSafe("user")).alias("user"),
     )

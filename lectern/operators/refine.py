@@ -12,6 +12,7 @@ from lectern.functions.text import strip
 from lectern.model import KINDS, Corpus
 from lectern.operators.meta import annotate, unannotate
 from lectern.operators.select import of_kinds, preferred_text, uuid_targets
+from lectern.plans.ordering import numbered
 
 
 def upsert_variant(variants: DataFrame, new: DataFrame, name: str) -> DataFrame:
@@ -43,7 +44,7 @@ def language_windows(items: DataFrame, variants: DataFrame, targets: dict[str, l
     """
     out = None
     at = items.where(F.col("kind").isin(*targets)).select("doc_uuid", "item_id", "kind", "item_pos")
-    at = at.withColumn("window_no", F.floor((F.row_number().over(Window.partitionBy("doc_uuid").orderBy("item_pos", "item_id")) - 1) / size).cast("int"))
+    at = numbered(at, "doc_uuid", "item_pos", "item_id").withColumn("window_no", F.floor((F.col("n") - 1) / size).cast("int")).drop("n")
     for kind, preferred in targets.items():
         part = at.where(F.col("kind") == kind).join(preferred_text(variants, preferred), ["doc_uuid", "item_id"])
         out = part if out is None else out.unionByName(part)
@@ -56,13 +57,14 @@ def trigram_scores(windows: DataFrame, samples: DataFrame, smooth: float = 0.5)
 
     The profile table (bounded by the samples) is broadcast; windows are cut into trigrams and joined with it.
     """
-    grams = lambda c: F.transform(F.sequence(F.lit(1), F.greatest(F.length(c) - 2, F.lit(1))), lambda i: F.substr(c, i, F.lit(3)))
     clean = lambda c: F.concat(F.lit(" "), F.lower(strip(F.regexp_replace(c, r"(?U)[^\p{L}]+", " "))), F.lit(" "))
-    counts = samples.where("text is not null and lang is not null").select("lang", F.explode(grams(clean(F.col("text")))).alias("g")).groupBy("lang", "g").agg(F.count("*").alias("n"))
+    # the letters are a column of their own: substr on a long string would walk it for every trigram
+    cut_up = lambda df, *keys: df.select(*keys, F.split(clean(F.col("text")), "").alias("c")).select(*keys, F.explode(F.transform("c", lambda x, i: F.concat(x, F.get("c", i + 1), F.get("c", i + 2)))).alias("g")).where("g is not null")
+    counts = cut_up(samples.where("text is not null and lang is not null"), "lang").groupBy("lang", "g").agg(F.count("*").alias("n"))
     size = counts.groupBy("lang").agg(F.sum("n").alias("all"), F.count("*").alias("kinds"))
     profile = counts.join(F.broadcast(size), "lang").select("lang", "g", (F.log((F.col("n") + smooth) / (F.col("all") + smooth * F.col("kinds"))) - F.log(smooth / (F.col("all") + smooth * F.col("kinds")))).alias("gain"))
     floor = size.select("lang", F.log(smooth / (F.col("all") + smooth * F.col("kinds"))).alias("floor"))
-    cut = windows.select("doc_uuid", "window_no", F.explode(grams(clean(F.col("text")))).alias("g")).where(F.length("g") == 3).groupBy("doc_uuid", "window_no", "g").agg(F.count("*").alias("k"))
+    cut = cut_up(windows, "doc_uuid", "window_no").groupBy("doc_uuid", "window_no", "g").agg(F.count("*").alias("k"))
     total = F.broadcast(floor)
     hits = cut.join(F.broadcast(profile), "g").groupBy("doc_uuid", "window_no", "lang").agg(F.sum(F.col("k") * F.col("gain")).alias("gain"))
     per = cut.groupBy("doc_uuid", "window_no").agg(F.sum("k").alias("k")).join(total).join(hits, ["doc_uuid", "window_no", "lang"], "left")
@@ -138,10 +140,17 @@ def prepend_characters(items: DataFrame, new: DataFrame) -> DataFrame:
     return moved.unionByName(rows, allowMissingColumns=True).select(items.columns)
 
 
-def history(turns: DataFrame, text: str = "text", n: int = 5) -> DataFrame:
-    """With ``history``: the texts of the ``n`` items before, in order, joined by line feeds."""
-    before = Window.partitionBy("doc_uuid").orderBy("item_pos", "item_id").rowsBetween(-n, -1)
-    return turns.withColumn("history", F.array_join(F.collect_list(text).over(before), "\n"))
+def history(turns: DataFrame, text: str = "text", n: int = 5, block: int = 1_000) -> DataFrame:
+    """With ``history``: the texts of the ``n`` items before, in order, joined by line feeds.
+
+    Items are numbered without gathering a document, cut into blocks of ``block``, and the last ``n`` of a block are
+    copied into the next, so a window never holds more than ``block + n`` rows.
+    """
+    at = numbered(turns, "doc_uuid", "item_pos", "item_id", name="__n").withColumn("__b", F.floor((F.col("__n") - 1) / block))
+    tail = at.where((F.col("__n") - 1) % block >= block - n).withColumns({"__b": F.col("__b") + 1, "__copy": F.lit(True)})
+    both = at.withColumn("__copy", F.lit(False)).unionByName(tail)
+    before = Window.partitionBy("doc_uuid", "__b").orderBy("__n").rowsBetween(-n, -1)
+    return both.withColumn("history", F.array_join(F.collect_list(text).over(before), "\n")).where(~F.col("__copy")).drop("__n", "__b", "__copy")
 
 
 def opening(turns: DataFrame, n: int = 100) -> DataFrame:

@@ -11,6 +11,7 @@ from lectern.functions.text import filled, percent, strip
 from lectern.model import BUCKETS, CONTENT_KINDS, Corpus
 from lectern.operators.meta import Rules, health, resolve, stats
 from lectern.operators.select import source_identity
+from lectern.plans.ordering import numbered, positions
 
 
 def item_kinds(items: DataFrame) -> DataFrame:
@@ -134,31 +135,14 @@ def source_ranges(ordered: DataFrame, key: str, source: str) -> DataFrame:
 
     Positions come from per-partition counts of a range-partitioned sort, so no task sees all rows.
     """
-    n = _positions(ordered.select(key, source), key)
-    by = Window.partitionBy(source).orderBy("pos")
-    runs = n.withColumn("run", F.col("pos") - F.row_number().over(by))
+    n = positions(ordered.select(key, source), key, source)
+    runs = numbered(n, source, "pos").withColumn("run", F.col("pos") - F.col("n"))
     return runs.groupBy(F.col(source).alias("source"), "run").agg(F.min(key).alias("first_key"), F.max(key).alias("last_key"), F.count("*").alias("n")).drop("run")
 
 
 def position_samples(df: DataFrame, key: str, step: int = 1000) -> DataFrame:
     """The rows at positions step, step + 1, 2 step, 2 step + 1, ... (from 1) in key order."""
-    return _positions(df, key).where((F.col("pos") > 1) & (F.col("pos") % step).isin(0, 1 % step))
-
-
-def _positions(df: DataFrame, key: str) -> DataFrame:
-    """``pos`` from 1 in the order of ``key`` (then of all columns)."""
-    from lectern.plans import cut_lineage
-
-    parts = max(1, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
-    rest = [c for c in df.columns if c != key]
-    placed = cut_lineage(df.repartitionByRange(parts, key, *rest).sortWithinPartitions(key, *rest).withColumns({"__p": F.spark_partition_id(), "__m": F.monotonically_increasing_id()}))
-    sizes = placed.groupBy("__p").agg(F.count("*").alias("n"), F.min("__m").alias("low")).orderBy("__p").collect()
-    at, shift = 1, []
-    for r in sizes:
-        shift.append((r["__p"], at - r.low))
-        at += r.n
-    offsets = df.sparkSession.createDataFrame(shift, "__p int, shift long")
-    return placed.join(F.broadcast(offsets), "__p").withColumn("pos", F.col("__m") + F.col("shift")).drop("__p", "__m", "shift")
+    return positions(df, key, *(c for c in df.columns if c != key)).where((F.col("pos") > 1) & (F.col("pos") % step).isin(0, 1 % step))
 
 
 def ledger_orphans(meta: DataFrame, ledger: DataFrame) -> DataFrame:

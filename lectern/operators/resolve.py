@@ -41,7 +41,7 @@ def roll_up(members: DataFrame, top: int = 5) -> DataFrame:
     rows = F.array_sort(F.collect_list(F.struct((-F.col("n")).alias("k"), "term")))
     per = members.groupBy("cluster_id").agg(rows.alias("r"), F.count("*").alias("n_terms"), F.sum("n").alias("freq"))
     names = F.transform("r", lambda x: x["term"])
-    return per.select("cluster_id", slug(names[0]).alias("label"), "n_terms", "freq", F.slice(names, 1, top).alias("top_terms"), names.alias("members"))
+    return per.select("cluster_id", slug(F.get(names, F.lit(0))).alias("label"), "n_terms", "freq", F.slice(names, 1, top).alias("top_terms"), names.alias("members"))
 
 
 def worklist(clusters: DataFrame, axes: DataFrame) -> DataFrame:
