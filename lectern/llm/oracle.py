@@ -46,7 +46,28 @@ with d as (
 select distinct doc_id, item_id from dw join iw using (h)
 """
 
+_EDITED = """
+with w as (
+  select variant_id, list_transform(regexp_extract_all(regexp_replace(text, '<[^<>]*>', ' ', 'g'), '[\\p{L}\\p{N}]+'), lambda x: lower(x)) as w
+  from content_variants where name = 'original' and text is not null
+), g as (
+  select distinct variant_id, hash(w[i], w[i + 1], w[i + 2]) as h from (select variant_id, w, unnest(range(1, len(w) - 1)) as i from w where len(w) >= 40)
+), n as (select variant_id, count(*) as n from g group by all),
+p as (select a.variant_id as a, b.variant_id as b, count(*) as o from g a join g b on a.h = b.h and a.variant_id < b.variant_id group by all)
+select a as variant_id_a, b as variant_id_b from p join n x on x.variant_id = a join n y on y.variant_id = b where 2 * o >= x.n + y.n - o
+"""
+
+_SHARED = """
+with t as (select any_value(doc_id) as d, count(distinct doc_id) as copies, text, length(text) as n from documents where length(text) >= 240 group by text),
+w as (select d, hash(substring(text, i, 240)) as h from (select d, text, unnest(range(1, n - 238)) as i from t)),
+s as (select h from w group by h having count(distinct d) > 1),
+f as (select distinct d from w semi join s using (h) union select d from t where copies > 1)
+select distinct doc_id from documents join t using (text) join f using (d)
+"""
+
 _SQL: dict[str, str] = {
+    "p3_found": _EDITED,
+    "p9_found": _SHARED,
     "p5_found": _PIECE_KIND,
     "p6_terms": _TERMS,
     "p6_found": f"select term, mark from ({_TERMS}) where mark is not null",
