@@ -32,12 +32,20 @@ def documents(spark: SparkSession, folder: str) -> DataFrame:
 
     ``corrupt`` is true for blank files, invalid JSON, and documents without id or with an item of unknown kind.
     """
-    files = spark.read.text(folder, wholetext=True, pathGlobFilter="*.json").select(F.col("_metadata.file_name").alias("file"), "value")
+    files = spark.read.format("binaryFile").option("pathGlobFilter", "*.json").load(folder).select(F.element_at(F.split("path", "/"), -1).alias("file"), F.decode("content", "UTF-8").alias("value"))
+    files = files.unionByName(spark.createDataFrame([(n, None) for n in _blank_files(spark, folder)], "file string, value string"))
     d = files.select("file", F.when(F.try_parse_json("value").isNotNull(), F.from_json("value", DOCUMENT)).alias("d"))
     bad = F.col("d").isNull() | F.col("d.id").isNull() | F.coalesce(F.exists("d.items", lambda i: ~F.coalesce(i["kind"], F.lit("")).isin(*KINDS)), F.lit(False))
     return d.select("file", "d.*", F.coalesce(bad, F.lit(True)).alias("corrupt"))
 
 
+def _blank_files(spark: SparkSession, folder: str) -> list[str]:
+    """Names of empty record files, which file scans pass over; only names come to the driver."""
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{folder}/*.json")
+    found = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).globStatus(path) or []
+    return [s.getPath().getName() for s in found if s.getLen() == 0]
+
+
 def to_corpus(docs: DataFrame, ledger: DataFrame) -> Corpus:
     """Nested documents as tables; corrupt ones are left out."""
     d = docs.where("not corrupt")
