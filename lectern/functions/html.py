@@ -10,6 +10,8 @@ import pandas as pd
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from lectern.functions import patterns
+
 # Elements of HTML by their role.
 VOID = frozenset("area base br col embed hr img input link meta source track wbr".split())
 HIDDEN = frozenset("script style head template noscript".split())
@@ -152,7 +154,7 @@ def html_to_markdown(texts: pd.Series) -> pd.Series:
 
 POST_FIELDS = ("post_id", "post_url", "thread_id", "thread_slug", "thread_url", "thread_title", "author_id", "author", "timestamp", "text")
 POST = T.StructType([T.StructField("post_index", T.IntegerType()), *(T.StructField(n, T.StringType()) for n in POST_FIELDS)])
-_THREAD = re.compile(r"/index\.php\?threads/(.+)\.(\d+)(?:/|$)")
+_THREAD = re.compile(patterns.THREAD_URL)
 
 
 def _first(*values: str | None) -> str:
@@ -184,7 +186,7 @@ def posts(html: str | None) -> list[dict]:
     for i, post in enumerate(n for n in root.walk() if n.tag == "article" and {"message", "message--post"} <= n.classes()):
         links = [n.attrs.get("href", "") for n in post.walk() if n.tag == "a"]
         href = next((h for h in links if re.search(r"/post(?:s/|-)\d+", h)), "")
-        post_id = _first(_number(r"^post-(\d+)$", post.attrs.get("data-content")), _number(r"^js-post-(\d+)$", post.attrs.get("id")), next((x for x in (_number(r"/posts/(\d+)", h) for h in links) if x), ""))
+        post_id = _first(_number(patterns.POST_DATA, post.attrs.get("data-content")), _number(patterns.POST_ELEMENT, post.attrs.get("id")), next((x for x in (_number(patterns.POST_LINK, h) for h in links) if x), ""))
         parent = post.find("meta", itemprop="parentItem")
         thread_url = re.sub(r"/?post-\d+/?$", "", _first(parent.attrs.get("itemid") if parent else "", next((h for h in links if "threads/" in h), "")))
         m = _THREAD.search(thread_url if thread_url.endswith("/") else thread_url + "/")

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from lectern.functions import patterns
+
 
 def strip(c: Column) -> Column:
     """Without white space at both ends (all Unicode white space, not only blanks)."""
@@ -61,12 +63,12 @@ def normal_gender(c: Column) -> Column:
 
 def paragraphs(c: Column) -> Column:
     """Non-empty paragraphs, parted by blank lines."""
-    return F.filter(F.transform(F.split(c, r"\n(?U:\s)*\n"), strip), lambda p: p != "")
+    return F.filter(F.transform(F.split(c, patterns.PARAGRAPH_END), strip), lambda p: p != "")
 
 
 def joined_lines(c: Column) -> Column:
     """A paragraph on one line: words hyphenated at line ends joined, white space collapsed."""
-    return strip(F.regexp_replace(F.regexp_replace(c, r"(?U)(\b\w+)-\n\s*(\w+\b)", "$1$2"), r"(?U)\s+", " "))
+    return strip(F.regexp_replace(F.regexp_replace(c, patterns.HYPHENATED, "$1$2"), r"(?U)\s+", " "))
 
 
 def content_address(c: Column) -> Column:
@@ -84,8 +86,7 @@ def uuid7(at: Column, *keys: Column) -> Column:
 
 def thread_identity(url: Column) -> tuple[Column, Column]:
     """(thread id, decoded slug) of a forum thread address; empty strings where there is none."""
-    pattern = r"/index\.php\?threads/(.+)\.(\d+)(?:/|$)"
-    return F.regexp_extract(url, pattern, 2), F.url_decode(F.regexp_extract(url, pattern, 1))
+    return F.regexp_extract(url, patterns.THREAD_URL, 2), F.url_decode(F.regexp_extract(url, patterns.THREAD_URL, 1))
 
 
 def percent(part: Column, whole: Column) -> Column:

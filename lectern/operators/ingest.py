@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from lectern.functions import patterns
 from lectern.functions.html import extract_posts
 from lectern.functions.text import filled, joined_lines, paragraphs, strip, uuid7
 from lectern.model import Corpus
@@ -162,7 +163,7 @@ def threads(pages: DataFrame, corpus: Corpus, recorded_at: Column, source: str =
     return Corpus(full.unionByName(meta, allowMissingColumns=True), items, merged, corpus.ledger.select(*added.columns).unionByName(added))
 
 
-_HEADER = re.compile(r"^(FOREWORD|CHAPTER\s+[IVXLCDM]+\s*\n\s*[^\n]+)", re.M)
+_HEADER = re.compile(patterns.BOOK_HEADER, re.M)
 _SECTION = T.ArrayType(T.StructType([T.StructField("section_no", T.IntegerType()), T.StructField("title", T.StringType()), T.StructField("body", T.StringType())]))
 
 
@@ -201,9 +202,9 @@ def book_paragraphs(books: DataFrame, key: str = "native_id", text: str = "text"
     last one, if there are several), and is dropped where there is none.
     """
     s = books.select(key, F.explode(_sections(text)).alias("s")).select(key, "s.*")
-    p = s.select(key, "section_no", "title", F.posexplode(paragraphs(F.col("body"))).alias("i", "raw")).where(~F.col("raw").rlike(r"(?s)^\[Illustration:.*\]$"))
-    note = F.regexp_extract("raw", r"(?s)^(\[\d+\])\s+(.*)", 1)
-    p = p.withColumn("note", F.when(note != "", F.concat(note, F.lit(" "), joined_lines(F.regexp_extract("raw", r"(?s)^(\[\d+\])\s+(.*)", 2)))))
+    p = s.select(key, "section_no", "title", F.posexplode(paragraphs(F.col("body"))).alias("i", "raw")).where(~F.col("raw").rlike(patterns.ILLUSTRATION))
+    note = F.regexp_extract("raw", patterns.FOOTNOTE, 1)
+    p = p.withColumn("note", F.when(note != "", F.concat(note, F.lit(" "), joined_lines(F.regexp_extract("raw", patterns.FOOTNOTE, 2)))))
     within = Window.partitionBy(key, "section_no").orderBy("i")
     p = p.withColumn("at", F.last(F.when(F.col("note").isNull(), F.col("i")), True).over(within))
     notes = p.where("note is not null and at is not null").groupBy(key, "section_no", "at").agg(F.max_by("note", "i").alias("annotation"))
