@@ -13,6 +13,8 @@ from lectern.functions import patterns
 from lectern.functions.html import extract_posts
 from lectern.functions.text import filled, joined_lines, paragraphs, strip, uuid7
 from lectern.model import Corpus
+from lectern.plans import cut_lineage
+from lectern.plans.ordering import numbered
 
 
 def conversation_address(record: Column) -> Column:
@@ -140,13 +142,15 @@ def threads(pages: DataFrame, corpus: Corpus, recorded_at: Column, source: str =
     """Forum pages merged into the corpus: posts of known threads updated, new ones numbered on, sequences rebuilt."""
     posts = page_posts(pages).groupBy("thread_id", "post_id").agg(F.max_by(F.struct("section_url", "post_index", "author_id", "timestamp", "text", "thread_slug"), F.struct("section_url", "post_index")).alias("p")).select("thread_id", "post_id", "p.*")
     posts = posts.withColumns({"source": F.lit(source), "native_id": F.concat(F.lit("thread:"), "thread_id")})
-    known = register(posts, corpus.ledger, recorded_at)
+    posts = cut_lineage(posts)  # pages are parsed once
+    known = cut_lineage(register(posts, corpus.ledger, recorded_at))
     posts = posts.join(known, ["source", "native_id"]).withColumnRenamed("uuid", "doc_uuid")
     held = corpus.variants.where("name = 'original' and post_id is not null").groupBy("doc_uuid", "post_id").agg(F.min("item_id").alias("item_id"))
     last = corpus.items.where("kind = 'narrative'").groupBy("doc_uuid").agg((next_number(F.col("item_id"), "narrative") - 1).alias("last"))
     posts = posts.join(held, ["doc_uuid", "post_id"], "left").join(last, "doc_uuid", "left")
-    fresh = Window.partitionBy("doc_uuid", F.col("item_id").isNull()).orderBy("timestamp", F.col("post_id").try_cast("long"))
-    posts = posts.withColumn("item_id", F.coalesce("item_id", item_id("narrative", F.coalesce("last", F.lit(0)) + F.row_number().over(fresh))))
+    fresh = numbered(posts.where("item_id is null").drop("item_id").withColumn("__no", F.col("post_id").try_cast("long")), "doc_uuid", "timestamp", "__no", "post_id").drop("__no")
+    fresh = fresh.withColumn("item_id", item_id("narrative", F.coalesce("last", F.lit(0)) + F.col("n"))).drop("n")
+    posts = cut_lineage(posts.where("item_id is not null").unionByName(fresh))
     new_items = posts.join(corpus.items, ["doc_uuid", "item_id"], "left_anti").select(*_empty_items(F.col("doc_uuid"), item_pos=F.regexp_extract("item_id", r"(\d+)$", 1).cast("int"), item_id=F.col("item_id"), kind=F.lit("narrative")))
     texts = posts.select(*_variants("doc_uuid", "item_id", F.col("text"), None, F.col("author_id"), F.col("post_id"), F.col("timestamp")))
     columns = texts.columns
