@@ -15,13 +15,14 @@ Training data is small, so each step builds new windows: labelled passages are p
 between clean passages, names are exchanged, and words are dropped from the word input. Documents with
 a noisy label (an opinion, not the truth) add weakly labelled sentences: of a flagged document the sentence
 whose words are many times more frequent in flagged than in clean documents, if such words occur together
-in flagged documents mostly; and clean sentences that a first network scores high.
+in flagged documents mostly; and clean sentences that the network scores high, over several rounds.
 """
 
 from __future__ import annotations
 
 import re
 from collections.abc import Iterator
+from itertools import groupby
 
 import numpy as np
 import pyarrow as pa
@@ -30,6 +31,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lectern.llm.words import plain
+from lectern.plans import cut_lineage, join_checked
 
 WINDOW, STRIDE, WIDTH, HIDDEN, GRAMS = 24, 12, 24, 16, 1 << 12
 AXES = ("sexual", "toxicity")
@@ -160,102 +162,129 @@ class Network:
 SENTENCE = re.compile(r"(?<=[.!?…])[*\"”»)]*\s+|\n+")
 
 
+def _word_set(text: str) -> list[str]:
+    return sorted({w for w in map(normal, tokens(text)) if w.isalpha()})
+
+
 class Weak:
-    """Sentences of noisily labelled documents, and how often their words come with each label."""
+    """Sentences of noisily labelled documents, and how often their words come with each label.
+
+    Of each kind (sexual, toxic, clean) sentences are kept with the numbers of their telling words only.
+    """
 
     LIFT, LEAST = 15.0, 3
 
     def __init__(self, sexual: list[tuple[str, str]], toxic: list[tuple[str, str]], clean: list[tuple[str, str]]) -> None:
-        self.raw, self.words, self.doc = [], [], []
-        n = [len({d for d, _ in rows}) for rows in (sexual, toxic, clean)]
-        self.kind = []
-        seen = set()
-        for kind, rows in enumerate((sexual, toxic, clean)):
+        kinds = [sorted(rows) for rows in (sexual, toxic, clean)]
+        n = [len({d for d, _ in rows}) for rows in kinds]
+        df: list[dict[str, int]] = []
+        for rows in kinds:
+            count: dict[str, int] = {}
+            for _, same in groupby(rows, key=lambda r: r[0]):
+                for w in {w for _, text in same for w in _word_set(text)}:
+                    count[w] = count.get(w, 0) + 1
+            df.append(count)
+        self.clean_rate = {w: k / max(1, n[2]) for w, k in df[2].items()}
+        rate = lambda w: (df[2].get(w, 0) + 1) / max(1, n[2])
+        some = [{w: x / max(1, n[k]) / rate(w) for w, x in df[k].items() if x >= self.LEAST} for k in (0, 1)]
+        self.lift = [{w: v for w, v in x.items() if v >= self.LIFT} for x in some]
+        telling = self.lift[0].keys() | self.lift[1].keys()
+        #: Documents of each kind by sentence, found by telling word.
+        self.at: dict[str, set[int]] = {}
+        self.raw: list[str] = []
+        self.doc: list[str] = []
+        self.kind: list[int] = []
+        self.plain: set[str] = set()
+        for kind, rows in enumerate(kinds):
             for d, text in rows:
                 for x in SENTENCE.split(plain(text)):
-                    ws = frozenset(w for w in map(normal, tokens(x)) if w.isalpha())
-                    if ws and (kind, d, ws) not in seen:
-                        seen.add((kind, d, ws))
+                    if kind == 2 and x:
+                        self.plain.add(x)
+                    ws = telling.intersection(_word_set(x))
+                    if ws:
+                        for w in ws:
+                            self.at.setdefault(w, set()).add(len(self.raw))
                         self.raw.append(x)
-                        self.words.append(ws)
                         self.doc.append(d)
                         self.kind.append(kind)
-        df: list[dict[str, set[str]]] = [{}, {}, {}]
-        self.at: dict[str, set[int]] = {}
-        for i, (ws, d, k) in enumerate(zip(self.words, self.doc, self.kind)):
-            for w in ws:
-                df[k].setdefault(w, set()).add(d)
-                self.at.setdefault(w, set()).add(i)
-        self.lift: list[dict[str, float]] = []
-        for k in (0, 1):
-            some = {w: (len(x) / max(1, n[k])) / ((len(df[2].get(w, ())) + 1) / max(1, n[2])) for w, x in df[k].items() if len(x) >= self.LEAST}
-            self.lift.append({w: v for w, v in some.items() if v >= self.LIFT})
-
-    def _top(self, ws: frozenset[str], k: int) -> list[str]:
-        return sorted((w for w in ws if w in self.lift[k]), key=lambda w: (-self.lift[k][w], w))[:3]
-
-    def _counts(self, top: list[str], k: int) -> tuple[int, int]:
-        both = set.intersection(*(self.at[w] for w in top))
-        return len({self.doc[i] for i in both if self.kind[i] == k}), len({self.doc[i] for i in both if self.kind[i] == 2})
-
-    def _means(self, ws: frozenset[str], k: int) -> float:
+        self.seen: dict[tuple[int, tuple[str, ...]], bool] = {}
+
+    def _means(self, words: list[str], k: int) -> float:
         """Evidence that a sentence is a case of axis k; 0 if there's too little."""
-        top = self._top(ws, k)
+        top = tuple(sorted((w for w in words if w in self.lift[k]), key=lambda w: (-self.lift[k][w], w))[:3])
         if len(top) < 2:
             return 0.0
-        flagged, clean = self._counts(top, k)
-        return sum(np.log(self.lift[k][w]) for w in top) if flagged >= 2 and clean * 2 <= flagged else 0.0
+        if (k, top) not in self.seen:
+            both = set.intersection(*(self.at[w] for w in top))
+            flagged, clean = (len({self.doc[i] for i in both if self.kind[i] == j}) for j in (k, 2))
+            self.seen[k, top] = flagged >= 2 and clean * 2 <= flagged
+        return sum(np.log(self.lift[k][w]) for w in top) if self.seen[k, top] else 0.0
 
     def cases(self, k: int) -> list[str]:
+        """The best sentence of each document flagged on axis k, if there is a good one."""
         best: dict[str, tuple[float, str]] = {}
-        for x, ws, d, kind in zip(self.raw, self.words, self.doc, self.kind):
-            if kind == k and (z := self._means(ws, k)) > self._means(ws, 1 - k) and z > best.get(d, (0.0, ""))[0]:
-                best[d] = (z, x)
+        for x, d, kind in zip(self.raw, self.doc, self.kind):
+            if kind == k:
+                ws = _word_set(x)
+                if (z := self._means(ws, k)) > self._means(ws, 1 - k) and z > best.get(d, (0.0, ""))[0]:
+                    best[d] = (z, x)
         return sorted(x for _, x in best.values())
 
     def is_case(self, text: str) -> bool:
-        ws = frozenset(w for w in map(normal, tokens(text)) if w.isalpha())
+        ws = _word_set(text)
         return any(self._means(ws, k) > 0 for k in (0, 1))
 
     def clean_sentences(self) -> list[str]:
-        return sorted({x for x, k in zip(self.raw, self.kind) if k == 2})
+        return sorted(self.plain)
 
 
 class Classifier:
     """A trained network, with inputs to the gates kept for every distinct token."""
 
-    MOST = 24
+    MOST, ROUNDS = 24, 4
 
-    def __init__(self, passages: list[tuple[str, float, float]], clean: list[str] = (), bags: tuple[list, list, list] | None = None, steps: int = 700, batch: int = 96, seed: int = 3) -> None:
+    def __init__(self, passages: list[tuple[str, float, float]], clean: list[str] = (), bags: tuple[list, list, list] | None = None, find_more=None, steps: int = 700, batch: int = 96, seed: int = 3) -> None:
         """``passages``: text and labels on both axes; ``clean``: further texts without cases.
 
-        ``bags``: (document, text) rows of documents flagged as sexual, flagged as toxic, and clean, all noisy.
+        ``bags``: (document, text) rows of documents flagged as sexual, flagged as toxic, and clean, all noisy;
+        ``find_more`` gives texts of clean documents that hold any of the given words.
         """
         weak = Weak(*bags) if bags else None
         rows = [(tokens(x), a, b) for x, a, b in passages] + [(tokens(x), None, None) for x in clean]
         if weak:
             rows += [(tokens(x), 1.0, 0.0) for x in weak.cases(0)] + [(tokens(x), 0.0, 1.0) for x in weak.cases(1)]
-            rows += [(tokens(x), None, None) for _, x in bags[2]]
+            rows += [(tokens(x), None, None) for _, x in bags[2][:: max(1, len(bags[2]) // 4_000)]]
         self._fit(rows, steps, batch, seed)
         if weak:
-            some = weak.clean_sentences()
-            score = self.scores(some)[0].max(axis=1) if some else np.zeros(0)
-            hard = [x for x, z in zip(some, score) if z > 0.1 and not weak.is_case(x)]
-            rows += [(tokens(x), 0.0, 0.0) for x in hard]
-            self._fit(rows, steps, batch, seed)
-
-    def _fit(self, rows: list, steps: int, batch: int, seed: int) -> None:
+            # clean sentences that score high are learnt until none is left, but for those that look like cases
+            some = [x for x in weak.clean_sentences() if not weak.is_case(x)]
+            if find_more is not None:
+                told = {w for ws, a, b in rows if a or b for w in map(normal, ws) if w.isalpha() and len(w) > 2 and weak.clean_rate.get(w, 0) < 0.01}
+                more = {x for text in find_more(sorted(told)) for x in SENTENCE.split(plain(text)) if told.intersection(_word_set(x))}
+                some = sorted(set(some) | {x for x in more if not weak.is_case(x)})
+            hard: set[str] = set()
+            for again in range(self.ROUNDS):
+                new = {x for x, z in zip(some, self.scores(some)[0].max(axis=1)) if z > 0.2} - hard if some else set()
+                if not new:
+                    break
+                hard |= new
+                rows += [(tokens(x), 0.0, 0.0) for x in sorted(new)]
+                self._fit(rows, steps // 2, batch, seed + 1 + again, more=True)
+
+    def _fit(self, rows: list, steps: int, batch: int, seed: int, more: bool = False) -> None:
+        """Train a new network, or the present one on with ``more`` rows."""
         rng = np.random.default_rng(seed)
         texts = [([normal(t) for t in ws], a, b, [t[:1].isupper() for t in ws]) for ws, a, b in rows if ws]
         df: dict[str, list[int]] = {}
         for ws, a, b, _ in texts:
             for w in set(ws):
                 df.setdefault(w, [0, 0])[bool(a or b)] += 1
-        self.net = Network(sorted(w for w, n in df.items() if sum(n) > 1), rng)
+        if not more:
+            self.net = Network(sorted(w for w, n in df.items() if sum(n) > 1), rng)
         #: Words of cases by first letter, last letter and length, to read words masked by ``*``.
         self.masked = {(w[0], w[-1], len(w)): w for w, n in sorted(df.items(), key=lambda x: (x[1][1], x[0])) if n[1] > 1 and n[1] > n[0] and w.isalpha() and len(w) > 3}
         self.known: dict[str, int] = {}
-        self._train(texts, steps, batch, rng)
+        self._train(texts, steps, batch, rng, more)
         self.table = {d: np.zeros((1, 3 * HIDDEN), np.float32) for d in "fb"}
 
     def _read(self, token: str) -> str:
@@ -272,7 +301,7 @@ class Classifier:
             part[i, : len(g)] = len(g) ** -0.5
         return np.array([self.net.ids.get(t, 0) for t in tokens], np.int64), grams, part
 
-    def _train(self, texts: list, steps: int, batch: int, rng: np.random.Generator) -> None:
+    def _train(self, texts: list, steps: int, batch: int, rng: np.random.Generator, more: bool = False) -> None:
         vocabulary = sorted({w for ws, *_ in texts for w in ws})
         at = {w: i + 1 for i, w in enumerate(vocabulary)}
         word, grams, part = self._inputs(vocabulary)
@@ -320,7 +349,7 @@ class Classifier:
             w = np.where(rng.random(ids.shape) < 0.3, 0, word[ids])
             drop = (rng.random(ids.shape) > 0.05).astype(np.float32)
             loss, g = self.net.step(w, grams[ids], part[ids] * drop[..., None], ids > 0, y)
-            rate = 0.01 * min(1.0, 2 * (1 - step / (steps + 1)))
+            rate = (0.005 if more else 0.01) * min(1.0, 2 * (1 - step / (steps + 1)))
             for k, x in self.net.p.items():
                 m[k] += 0.1 * (g[k] - m[k])
                 v[k] += 0.01 * (g[k] ** 2 - v[k])
@@ -407,7 +436,8 @@ def train(
     ``<doc>, sexual_axis, toxicity_axis`` (noisy; other spellings of the scale are read, values outside it
     and nulls are no opinion) on the texts of ``docs``. Of the opinions at most ``max_documents`` documents of
     each flag and twice as many clean ones are used, with at most ``max_texts`` of their texts up to
-    ``max_chars`` characters long. Every bound takes the rows with the smallest hashes.
+    ``max_chars`` characters long, and at most half as many texts of any clean document that hold a word of the
+    cases. Every bound takes the rows with the smallest hashes.
     """
     rows = _least(samples.where("text is not null and sexual_axis is not null and toxicity_axis is not null"), ["text", "sexual_axis", "toxicity_axis"], max_samples)
     if not rows:
@@ -429,7 +459,14 @@ def train(
             texts = docs.where(F.col(text).isNotNull() & (F.length(text) <= max_chars)).select(doc, text).join(chosen, doc, "left_semi").distinct()
             found = [(r[0], r[1]) for r in _least(texts, [doc, text], 3 * max_texts)]
             bags = tuple([x for x in found if x[0] in kinds[k]][:max_texts] for k in ("s", "t", "c"))
-    return Classifier(passages, more, bags)
+
+            def find_more(words: list[str]) -> list[str]:
+                hit = F.arrays_overlap(F.split(F.lower(text), r"[^\p{L}\p{N}]+"), F.array(*map(F.lit, words)))
+                held = docs.where(F.col(text).isNotNull() & (F.length(text) <= max_chars) & hit).select(doc, text)
+                held = join_checked(held, cut_lineage(per.where("c").select(doc)), doc, "left_semi")
+                return [r[0] for r in _least(held.select(text).distinct(), [text], max_texts // 2)]
+
+    return Classifier(passages, more, bags, find_more if bags else None)
 
 
 def safety_scores(docs: DataFrame, classifier: Classifier, doc: str = "doc_uuid", key: str = "variant_id", text: str = "text") -> DataFrame:
