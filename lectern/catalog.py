@@ -403,7 +403,7 @@ def corrupt_records(spark, folder):
 @query
 def package_lines(spark, folder):
     lines = package.documents_json(Corpus.load(spark, folder))
-    return lines.select("doc_uuid", F.coalesce(F.json_array_length(F.get_json_object("line", "$.items")), F.lit(0)).cast("long").alias("n_items"), F.get_json_object("line", "$.meta.native_id").alias("native_id"), F.get_json_object("line", "$.items[0].id").alias("first_item"))
+    return lines.select("doc_uuid", F.coalesce(F.json_array_length(F.get_json_object("line", "$.items")), F.lit(0)).cast("long").alias("n_items"), F.get_json_object("line", "$.meta.source.native_id").alias("native_id"), F.get_json_object("line", "$.items[0].id").alias("first_item"))
 
 
 @query

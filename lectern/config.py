@@ -8,7 +8,7 @@ from collections.abc import Callable
 from typing import Any
 
 from lectern.model import Corpus
-from lectern.operators import refine
+from lectern.operators import enrich, refine
 from lectern.operators.meta import refresh
 
 _VAR = re.compile(r"\$(?:\{(\w+)\}|(\w+))")
@@ -74,6 +74,10 @@ Step = Callable[[Corpus, dict[str, Any]], Corpus]
 STEPS: dict[str, Step] = {
     "refine-cdm-html-to-markdown": lambda c, p: refine.refine_markdown(c, **{k: p[k] for k in ("kinds", "preferred") if k in p}),
     "refine-cdm-language": lambda c, p: refine.refine_language(c, p["samples"], **{k: p[k] for k in ("targets", "size", "least", "most", "mode") if k in p}),
+    "refine-chat-safety-dials": lambda c, p: enrich.refine_safety(c, p["backend"]),
+    "refine-chat-genre-theme": lambda c, p: enrich.refine_genre(c, p["backend"]),
+    "refine-chat-characters": lambda c, p: enrich.refine_characters(c, p["backend"]),
+    "refine-chat-grammar": lambda c, p: enrich.refine_grammar(c, p["backend"], budget=p.get("max_inference_budget")),
     "scalpel-cdm-language": lambda c, p: refine.scalpel_language(c),
     "scalpel-cdm-html-to-markdown": lambda c, p: refine.scalpel_markdown(c),
     "scalpel-chat-characters": lambda c, p: refine.scalpel_characters(c, p.get("pc_names")),

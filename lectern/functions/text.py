@@ -84,6 +84,11 @@ def uuid7(at: Column, *keys: Column) -> Column:
     return F.concat(F.substring(ms, 1, 8), F.lit("-"), F.substring(ms, 9, 4), F.lit("-7"), F.substring(h, 1, 3), F.lit("-"), variant, F.substring(h, 5, 3), F.lit("-"), F.substring(h, 9, 12))
 
 
+def stamp(at: Column | None = None) -> Column:
+    """A run's time as 14 digits."""
+    return F.date_format(F.current_timestamp() if at is None else at, "yyyyMMddHHmmss")
+
+
 def thread_identity(url: Column) -> tuple[Column, Column]:
     """(thread id, decoded slug) of a forum thread address; empty strings where there is none."""
     return F.regexp_extract(url, patterns.THREAD_URL, 2), F.url_decode(F.regexp_extract(url, patterns.THREAD_URL, 1))

@@ -25,6 +25,31 @@ class RateLimited(Exception):
         self.retry_after = retry_after
 
 
+class HttpBackend:
+    """Chat-completion services that answer with JSON of a schema."""
+
+    def __init__(self, base_url: str, model: str, api_key: str = "", timeout: float = 300.0) -> None:
+        self.base_url, self.model, self.api_key, self.timeout = base_url.rstrip("/"), model, api_key, timeout
+
+    def generate(self, prompt: str, schema: dict[str, Any], temperature: float = 0.2, max_tokens: int | None = None) -> dict[str, Any]:
+        import urllib.error
+        import urllib.request
+
+        body: dict[str, Any] = {"model": self.model, "temperature": temperature, "messages": [{"role": "user", "content": prompt}], "response_format": {"type": "json_schema", "json_schema": {"name": "answer", "schema": schema}}}
+        if max_tokens:
+            body["max_tokens"] = max_tokens
+        request = urllib.request.Request(f"{self.base_url}/chat/completions", json.dumps(body).encode(), {"Content-Type": "application/json"} | ({"Authorization": f"Bearer {self.api_key}"} if self.api_key else {}))
+        try:
+            with urllib.request.urlopen(request, timeout=self.timeout) as r:
+                text = json.load(r)["choices"][0]["message"]["content"]
+        except urllib.error.HTTPError as e:
+            if e.code == 429:
+                after = e.headers.get("Retry-After", "")
+                raise RateLimited(float(after) if after.replace(".", "", 1).isdigit() else None) from None
+            raise ValueError(f"service answered {e.code}") from None
+        return json.loads(text)
+
+
 def delay(attempt: int, retry_after: float | None = None, base: float = 2.0, most: float = 2480.0) -> float:
     """Seconds to wait after the ``attempt``-th refusal (from 1)."""
     return retry_after if retry_after is not None else min(base * 2 ** (attempt - 1), most)

@@ -16,7 +16,7 @@ def documents_json(corpus: Corpus) -> DataFrame:
     body = F.struct("item_pos", F.col("item_id").alias("id"), "kind", "entity_id", "actor_id", "category", "value", "reasoning", "item_ids", "content")
     per = items.groupBy("doc_uuid").agg(F.collect_list(body).alias("items"))
     ordered = F.transform(F.array_sort("items", lambda a, b: F.when(a["item_pos"] < b["item_pos"], -1).when(a["item_pos"] > b["item_pos"], 1).when(a["id"] < b["id"], -1).when(a["id"] > b["id"], 1).otherwise(0)), lambda i: i.dropFields("item_pos"))
-    meta = F.struct("source_identity", "native_id")
+    meta = F.struct(F.struct("source_identity", "native_id").alias("source"))
     d = corpus.meta.join(per, "doc_uuid", "left")
     return d.select("doc_uuid", F.to_json(F.struct(F.col("doc_uuid").alias("id"), "kind", meta.alias("meta"), F.coalesce(ordered, F.array()).alias("items"))).alias("line"))
 

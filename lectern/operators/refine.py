@@ -128,7 +128,7 @@ def append_categories(items: DataFrame, new: DataFrame, *categories: str) -> Dat
     lack = new.where(F.col("category").isin(*categories)).join(have, ["doc_uuid", "category"], "left_anti")
     last = items.groupBy("doc_uuid").agg(F.max("item_pos").alias("last"), F.coalesce(F.max(F.regexp_extract("item_id", r"^categorization-(\d+)$", 1).try_cast("int")), F.lit(0)).alias("n"))
     k = F.row_number().over(Window.partitionBy("doc_uuid").orderBy("category"))
-    rows = lack.join(last, "doc_uuid", "left").withColumn("k", k).select("doc_uuid", (F.coalesce("last", F.lit(-1)) + F.col("k")).cast("int").alias("item_pos"), F.format_string("categorization-%06d", F.coalesce("n", F.lit(0)) + F.col("k")).alias("item_id"), F.lit("categorization").alias("kind"), "category", "value", (F.size("value") != 1).alias("value_is_list"))
+    rows = lack.join(last, "doc_uuid", "left").withColumn("k", k).select("doc_uuid", (F.coalesce("last", F.lit(-1)) + F.col("k")).cast("int").alias("item_pos"), F.format_string("categorization-%06d", F.coalesce("n", F.lit(0)) + F.col("k")).alias("item_id"), F.lit("categorization").alias("kind"), "category", "value", ((F.size("value") != 1) | F.col("category").isin("theme", "language")).alias("value_is_list"))
     return items.unionByName(rows, allowMissingColumns=True).select(items.columns)
 
 

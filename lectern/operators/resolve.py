@@ -50,6 +50,25 @@ def worklist(clusters: DataFrame, axes: DataFrame) -> DataFrame:
     return clusters.select("cluster_id", "label", "freq", "n_terms", F.array_join("top_terms", "; ").alias("top_terms"), F.lit("").alias("human_label"), F.lit("").alias("action"), F.lit("").alias("notes")).join(wide, "cluster_id", "left")
 
 
+def cluster_counters(members: DataFrame, cells: DataFrame) -> DataFrame:
+    """``cluster_id, axis, counts``: the cross table of terms summed per cluster, as a map from value to count."""
+    per = cells.join(members.select("cluster_id", "term"), "term").groupBy("cluster_id", "axis", "value").agg(F.sum("n").alias("n"))
+    return per.groupBy("cluster_id", "axis").agg(F.map_from_entries(F.array_sort(F.collect_list(F.struct("value", "n")))).alias("counts"))
+
+
+def proposal(tags: DataFrame, axes: list[str], least: int = 2, cut: float = CUT, vectors: DataFrame | None = None) -> tuple[DataFrame, DataFrame]:
+    """(clusters, worklist) of the terms of ``tags`` (tag and the axes): frequent terms are clustered and rolled up.
+
+    ``vectors`` (id, vector) may bring embeddings of the terms; else hashed letter trigrams stand in.
+    """
+    terms = cut_lineage(term_frequency(tags, least=least))
+    named = cut_lineage(clusters(hashed_vectors(terms) if vectors is None else vectors.join(terms.select(F.col("term").alias("id")), "id", "left_semi"), cut).withColumnRenamed("id", "term").join(terms, "term"))
+    rolled = roll_up(named)
+    cells = crosstab(tags.withColumn("term", theme_term(F.col("tag"))), axes).join(named.select("term", "cluster_id"), "term")
+    wide = cells.groupBy("cluster_id", F.concat_ws("=", "axis", F.coalesce("value", F.lit("Unset"))).alias("cell")).agg(F.sum("n").alias("n"))
+    return rolled, worklist(rolled, wide)
+
+
 def hashed_vectors(terms: DataFrame, term: str = "term", size: int = 256) -> DataFrame:
     """``id, vector``: normalised counts of hashed letter trigrams, a stand-in for a text embedding."""
 

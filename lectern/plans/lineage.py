@@ -4,7 +4,8 @@ from __future__ import annotations
 
 import tempfile
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import functions as F
 
 
 def checkpoint_dir(spark: SparkSession) -> str:
@@ -30,3 +31,9 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     """Materialise ``df`` once in reliable storage; a lost executor costs no recomputation."""
     checkpoint_dir(df.sparkSession)
     return df.checkpoint(eager=True)
+
+
+def counted(df: DataFrame, name: str, **flags: str) -> tuple[DataFrame, Observation]:
+    """``df`` with counters that fill while it runs: ``rows``, and the rows for which each SQL condition holds."""
+    seen = Observation(name)
+    return df.observe(seen, F.count(F.lit(1)).alias("rows"), *(F.count_if(F.expr(c)).alias(k) for k, c in flags.items())), seen

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lectern.functions.text import strip
-from lectern.model import DOCUMENT, GENRES, KINDS, SEXUAL, TOXICITY, VIOLENCE, Corpus  # noqa: F401
+from lectern.model import DOCUMENT, KINDS, Corpus
 
 
 def json_lines(spark: SparkSession, path: str) -> DataFrame:
@@ -39,6 +39,13 @@ def documents(spark: SparkSession, folder: str) -> DataFrame:
     return d.select("file", "d.*", F.coalesce(bad, F.lit(True)).alias("corrupt"))
 
 
+def restore(spark: SparkSession, path: str, entries: DataFrame) -> Corpus:
+    """The corpus of packaged JSON lines, the inverse of packaging."""
+    lines = json_lines(spark, path).where(F.try_parse_json("raw").isNotNull())
+    docs = lines.select(F.from_json("raw", DOCUMENT).alias("d")).select("d.*").withColumn("corrupt", F.col("id").isNull())
+    return to_corpus(docs, entries)
+
+
 def _blank_files(spark: SparkSession, folder: str) -> list[str]:
     """Names of empty record files, which file scans pass over; only names come to the driver."""
     path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{folder}/*.json")
