@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from dataclasses import replace
 
 from pyspark.sql import Column, DataFrame, Window
@@ -12,6 +13,7 @@ from lectern.functions.text import strip
 from lectern.model import KINDS, Corpus
 from lectern.operators.meta import annotate, unannotate
 from lectern.operators.select import of_kinds, preferred_text, uuid_targets
+from lectern.plans import cut_lineage
 from lectern.plans.ordering import numbered
 
 
@@ -55,31 +57,35 @@ def language_windows(items: DataFrame, variants: DataFrame, targets: dict[str, l
 def trigram_scores(windows: DataFrame, samples: DataFrame, smooth: float = 0.5) -> DataFrame:
     """``doc_uuid, window_no, lang, score``: softmax over languages of mean trigram log-probability of a window.
 
-    The profile table (bounded by the samples) is broadcast; windows are cut into trigrams and joined with it.
+    The profile table (bounded by the samples' trigrams) is broadcast; windows are cut into trigrams, which are joined
+    with it and summed where they are read.
     """
     clean = lambda c: F.concat(F.lit(" "), F.lower(strip(F.regexp_replace(c, r"(?U)[^\p{L}]+", " "))), F.lit(" "))
     # the letters are a column of their own: substr on a long string would walk it for every trigram
     cut_up = lambda df, *keys: df.select(*keys, F.split(clean(F.col("text")), "").alias("c")).select(*keys, F.explode(F.transform("c", lambda x, i: F.concat(x, F.get("c", i + 1), F.get("c", i + 2)))).alias("g")).where("g is not null")
-    counts = cut_up(samples.where("text is not null and lang is not null"), "lang").groupBy("lang", "g").agg(F.count("*").alias("n"))
-    size = counts.groupBy("lang").agg(F.sum("n").alias("all"), F.count("*").alias("kinds"))
-    profile = counts.join(F.broadcast(size), "lang").select("lang", "g", (F.log((F.col("n") + smooth) / (F.col("all") + smooth * F.col("kinds"))) - F.log(smooth / (F.col("all") + smooth * F.col("kinds")))).alias("gain"))
-    floor = size.select("lang", F.log(smooth / (F.col("all") + smooth * F.col("kinds"))).alias("floor"))
-    cut = cut_up(windows, "doc_uuid", "window_no").groupBy("doc_uuid", "window_no", "g").agg(F.count("*").alias("k"))
-    total = F.broadcast(floor)
-    hits = cut.join(F.broadcast(profile), "g").groupBy("doc_uuid", "window_no", "lang").agg(F.sum(F.col("k") * F.col("gain")).alias("gain"))
-    per = cut.groupBy("doc_uuid", "window_no").agg(F.sum("k").alias("k")).join(total).join(hits, ["doc_uuid", "window_no", "lang"], "left")
-    per = per.withColumn("mean", F.col("floor") + F.coalesce("gain", F.lit(0.0)) / F.col("k"))
-    by = Window.partitionBy("doc_uuid", "window_no")
-    e = F.exp((F.col("mean") - F.max("mean").over(by)) * F.least(F.col("k"), F.lit(40)))
-    return per.withColumn("e", e).select("doc_uuid", "window_no", "lang", (F.col("e") / F.sum("e").over(by)).alias("score"))
+    counts = cut_lineage(cut_up(samples.where("text is not null and lang is not null"), "lang").groupBy("lang", "g").agg(F.count("*").alias("n")))
+    size = {r.lang: (r.n, r.k) for r in counts.groupBy("lang").agg(F.sum("n").alias("n"), F.count("*").alias("k")).collect()}
+    langs = sorted(size)
+    # one row per trigram with the gain of each language over an unseen trigram; languages without it gain nothing
+    gain = lambda lang: F.sum(F.when(F.col("lang") == lang, F.log(F.col("n") / smooth + 1))).alias(f"g{langs.index(lang)}")
+    profile = F.broadcast(counts.groupBy("g").agg(*map(gain, langs)))
+    # texts become fifty times as many rows here: spread by the key of the sums first, in a number AQE keeps
+    parts = int(windows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    sums = cut_up(windows.repartition(parts, "doc_uuid", "window_no"), "doc_uuid", "window_no").join(profile, "g", "left").groupBy("doc_uuid", "window_no").agg(F.count("*").alias("k"), *(F.coalesce(F.sum(f"g{i}"), F.lit(0.0)).alias(f"g{i}") for i in range(len(langs))))
+    floor = lambda lang: math.log(smooth / (size[lang][0] + smooth * size[lang][1]))
+    means = F.array(*(F.struct(F.lit(lang).alias("lang"), (F.lit(floor(lang)) + F.col(f"g{i}") / F.col("k")).alias("m")) for i, lang in enumerate(langs)))
+    best = sums.select("doc_uuid", "window_no", F.least(F.col("k"), F.lit(40)).alias("k"), means.alias("r")).withColumn("top", F.array_max(F.transform("r", lambda x: x["m"])))
+    e = best.select("doc_uuid", "window_no", F.transform("r", lambda x: F.struct(x["lang"].alias("lang"), F.exp((x["m"] - F.col("top")) * F.col("k")).alias("e"))).alias("r"))
+    total = F.aggregate("r", F.lit(0.0), lambda acc, x: acc + x["e"])
+    return e.withColumn("total", total).select("doc_uuid", "window_no", F.explode("r").alias("x"), "total").select("doc_uuid", "window_no", "x.lang", (F.col("x.e") / F.col("total")).alias("score"))
 
 
 def detected_languages(scores: DataFrame, least: float = 0.05, most: int = 999) -> DataFrame:
     """``doc_uuid, languages, trace, n_windows``: each language's best window score, from the highest down."""
-    best = scores.groupBy("doc_uuid", "lang").agg(F.max("score").alias("score")).where(F.col("score") >= least)
+    # every window has a score for every language, so each language's rows count the windows
+    best = scores.groupBy("doc_uuid", "lang").agg(F.max("score").alias("score"), F.count("*").alias("n")).where(F.col("score") >= least)
     rows = F.slice(F.array_sort(F.collect_list(F.struct((-F.col("score")).alias("s"), "lang"))), 1, most)
-    windows = scores.groupBy("doc_uuid").agg(F.count_distinct("window_no").alias("n_windows"))
-    out = best.groupBy("doc_uuid").agg(rows.alias("r")).join(windows, "doc_uuid")
+    out = best.groupBy("doc_uuid").agg(rows.alias("r"), F.max("n").alias("n_windows"))
     return out.select("doc_uuid", F.transform("r", lambda x: x["lang"]).alias("languages"), F.array_join(F.transform("r", lambda x: F.concat(x["lang"], F.lit(":"), F.format_number(-x["s"], 2))), " ").alias("trace"), "n_windows")
 
 
