@@ -4,7 +4,8 @@ Method: values are made distinct and normalised; candidates come from an inverte
 n-grams over the list's entries (names, aliases, and both with their words turned round); each is scored by
 cosine weighted with inverse frequency; the best is accepted above a threshold if it leads the best
 entry with another meaning by a margin. Near the threshold an edit distance over letters decides. A single
-long word means the entry whose name holds it, if no other name does.
+long word means the entry whose name holds it, if no other name does; a value that is cut short means the only
+entry that begins so.
 
 The list is bounded (``max_entries``, checked); the values aren't, and are never collected.
 """
@@ -126,12 +127,18 @@ class Entries:
     def match(self, value: str, accept: float, margin: float, sure: float) -> tuple[int, float]:
         """(id or -1, score) of a value."""
         top = (0.0, -1)
+        whole = fold(value).replace(" ", "")
+        if whole in self.exact:
+            return self.exact[whole], 1.0
         for form in forms(value):
             flat = form.replace(" ", "")
             if flat in self.exact:
                 return self.exact[flat], 1.0
             if form in self.words:
                 return self.words[form], 0.9
+            begun = {k for f, k in self.exact.items() if f.startswith(flat)} if len(flat) >= self.LONG_WORD else ()
+            if len(begun) == 1:
+                return begun.pop(), 0.9
             near = [(s, -i) for s, i in self.best(form)]
             if not near:
                 continue
@@ -139,8 +146,9 @@ class Entries:
             checked = sorted(((1 - edits(flat, self.names[i].replace(" ", "")) / max(len(flat), len(self.names[i].replace(" ", ""))), s, self.ids[i]) for s, i in near), reverse=True)
             like, s, k = checked[0]
             other = max((0.5 * (x + y) for x, y, z in checked if z != k), default=0.0)
+            unlike = max((x for x, _, z in checked if z != k), default=0.0)
             score = 0.5 * (like + s)
-            if (s >= accept and like >= sure or score >= (accept + sure) / 2 or like >= 0.8) and like >= 0.6 and score - other >= margin and score > top[0]:
+            if (s >= accept and like >= sure or score >= (accept + sure) / 2 or like >= 0.8) and like >= 0.6 and (score - other >= margin or like - unlike >= 2 * margin) and score > top[0]:
                 top = (score, k)
         return top[1], top[0]
 
