@@ -116,11 +116,28 @@ class Network:
         c = np.einsum("tba,tbh->bah", w, s)
         return w, c, np.einsum("bah,ah->ba", c, self.p["v"]) + self.p["o"]
 
-    def step(self, word: np.ndarray, grams: np.ndarray, part: np.ndarray, mask: np.ndarray, y: np.ndarray) -> tuple[float, dict[str, np.ndarray]]:
-        """Loss and gradients. word: (T, B) ids; grams: (T, B, G) ids; part: (T, B, G) weights."""
+    @staticmethod
+    def _sums(n: int, at: np.ndarray, rows: np.ndarray) -> np.ndarray:
+        """Rows summed by their number in ``at``."""
+        o = np.argsort(at, kind="stable")
+        begin = np.flatnonzero(np.append(True, np.diff(at[o]) != 0))
+        out = np.zeros((n, rows.shape[1]), rows.dtype)
+        out[at[o][begin]] = np.add.reduceat(rows[o], begin)
+        return out
+
+    def step(self, word: np.ndarray, grams: np.ndarray, part: np.ndarray, mask: np.ndarray, y: np.ndarray, rows: np.ndarray | None = None, share: np.ndarray | None = None) -> tuple[float, dict[str, np.ndarray]]:
+        """Loss and gradients. word: (T, B) ids; grams: (T, B, G) ids; part: (T, B, G) weights.
+
+        With ``rows`` (T, B), grams and part are tables of rows, and ``share`` (T, B) weighs them.
+        """
         p, h = self.p, HIDDEN
         T, B = word.shape
-        x = p["word"][word] + np.einsum("tbg,tbgk->tbk", part, p["char"][grams])
+        if rows is None:
+            rows, grams, part = np.arange(T * B).reshape(T, B), grams.reshape(T * B, -1), part.reshape(T * B, -1)
+        share = np.ones((T, B, 1), p["char"].dtype) if share is None else share[..., None]
+        used, of = np.unique(rows, return_inverse=True)
+        of, grams, part = of.reshape(T, B), grams[used], part[used]
+        x = p["word"][word] + share * np.einsum("ug,ugk->uk", part, p["char"][grams])[of]
         z = {d: x @ p[f"W{d}"] + p[f"c{d}"] for d in "fb"}
         run = {d: self.read(z[d], d, True) for d in "fb"}
         s = np.concatenate([run["f"][0], run["b"][0]], axis=2)
@@ -152,9 +169,10 @@ class Network:
             flat = dz.reshape(-1, 3 * h)
             g[f"W{d}"], g[f"c{d}"] = x.reshape(-1, WIDTH).T @ flat, flat.sum(axis=0)
             dx += dz @ p[f"W{d}"].T
-        g["word"], g["char"] = np.zeros_like(p["word"]), np.zeros_like(p["char"])
-        np.add.at(g["word"], word, dx)
-        np.add.at(g["char"], grams, part[..., None] * dx[:, :, None, :])
+        flat = dx.reshape(-1, WIDTH)
+        g["word"] = self._sums(len(p["word"]), word.ravel(), flat)
+        each = self._sums(len(used), of.ravel(), (dx * share).reshape(-1, WIDTH))
+        g["char"] = self._sums(GRAMS, grams.ravel(), (part[..., None] * each[:, None]).reshape(-1, WIDTH))
         g["word"][0] = 0
         return float(loss), g
 
@@ -348,7 +366,7 @@ class Classifier:
                 ids[swap] = rng.choice(names, swap.sum())
             w = np.where(rng.random(ids.shape) < 0.3, 0, word[ids])
             drop = (rng.random(ids.shape) > 0.05).astype(np.float32)
-            loss, g = self.net.step(w, grams[ids], part[ids] * drop[..., None], ids > 0, y)
+            loss, g = self.net.step(w, grams, part, ids > 0, y, ids, drop)
             rate = (0.005 if more else 0.01) * min(1.0, 2 * (1 - step / (steps + 1)))
             for k, x in self.net.p.items():
                 m[k] += 0.1 * (g[k] - m[k])
