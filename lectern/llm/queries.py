@@ -122,7 +122,7 @@ def p8_shares(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def p9_found(spark: SparkSession, folder: str) -> DataFrame:
-    return spans.shared_spans(table(spark, folder, "documents")).select("doc_id").distinct()
+    return spans.shared_records(table(spark, folder, "documents"))
 
 
 def p9_shares(spark: SparkSession, folder: str) -> DataFrame:
