@@ -1,17 +1,22 @@
 """Near-duplicate records with small edits (problem 3).
 
-Method: vertical partitioning. All word n-grams are put in one global order (rare first); each
-record's set is sorted by it and cut into fragments, a pair's overlap is counted in every fragment
-separately, and the partial counts are summed per pair.
+Method: vertical partitioning. All word n-grams stand in one global order (rare first); the order is cut
+into fragments, which are contiguous ranges of it; each record's set is sorted by the order and cut at the
+same places; a pair's overlap is counted in every fragment separately, and the sum of the partial
+overlaps decides about the pair.
 
 * The order comes from a count sketch of fixed size over *all* n-grams (``order_bits``); it only
   decides how much work is done, never the result.
-* A pair of similarity ``t`` must share one of the first ``n - O + 1`` n-grams of both (``O`` the
-  overlap it needs), so records post only that prefix, one row per record and fragment with its
-  n-grams, their places, and a parity bitmap of the whole set (256 bits, doubled with its size).
-* In a fragment each posting list is joined with itself under the place, length and bitmap bounds,
-  all of which are lossless; what survives is counted per pair. Sums over fragments give the
-  candidates, whose texts are then compared exactly.
+* Early bounds keep pairs away that no sum could accept. A pair of similarity ``t`` must share one of the first
+  ``n - O + 1`` n-grams of both (``O`` the overlap it needs), so records post that part of their fragments first,
+  with places and a parity bitmap of the whole set (256 bits, doubled with its size). Pairs that meet in a fragment
+  within the place, length and bitmap bounds, all lossless, are counted; no others.
+* For those pairs every fragment of both sets is sent to its own row, the partial overlap is counted there, and the
+  counts are summed per pair.
+
+Fragments of the first step are so many that none holds more than about ``LOAD`` postings, and a task reads
+them one after another. An n-gram that the sketch finds in more than ``HOT`` records has its list cut into blocks, and
+each pair of blocks is a unit of its own, so that no list has to be held by one task.
 
 Records with equal n-gram sets form one class, are posted once per map task, and take part by one
 representative; classes are expanded only where a result asks for it.
@@ -24,7 +29,6 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -34,6 +38,8 @@ from lectern.operators.components import connected_components
 from lectern.plans import cut_lineage, join_checked, semi_checked
 
 ORDER_PARTS, MAP_BITS, MAP_LOAD = 16, 256, 120
+LOAD, HOT, COARSE = 1 << 19, 20_000, 8
+_SIDE, _CROSS = 1 << 31, 1 << 30
 
 
 class Sets:
@@ -153,21 +159,69 @@ def _runs(*keys: np.ndarray) -> np.ndarray:
     return np.flatnonzero(new)
 
 
-_POST = pa.schema([("frag", pa.int32()), ("id", pa.int64()), ("c", pa.int64()), ("n", pa.int32()), ("bitmap", pa.binary()), ("grams", pa.binary()), ("places", pa.binary())])
-_POST_DDL = "frag int, id long, c long, n int, bitmap binary, grams binary, places binary"
+class Order:
+    """The global order: rare buckets first, by hash within a level; and its cuts into fragments."""
+
+    def __init__(self, level: np.ndarray, bits: int, threshold: float, least: int, load: int = LOAD, hot: int = HOT) -> None:
+        self.level, self.bits, self.hot = level, bits, hot
+        weight = np.bincount(level, minlength=256) * self.count(np.arange(256))
+        self.total = float(weight.sum())
+        early = (1 - threshold) * self.total  # about what is posted, the rarest part of every record
+        n = max(least, int(np.ceil(early / load)))
+        late = max(1, n // 5)
+        self.cuts = self._at(np.concatenate([np.linspace(0, early, n - late + 1)[1:], np.linspace(early, self.total, late + 1)[1:-1]]), weight)
+        self.coarse = self._at(np.linspace(0, self.total, COARSE + 1)[1:-1], weight)
+
+    @staticmethod
+    def count(level: np.ndarray) -> np.ndarray:
+        """Upper bound of the records that an n-gram of a level is in (but for the level's rounding)."""
+        return np.exp2(np.asarray(level, np.float64) / 8) - 1
+
+    @staticmethod
+    def _at(sums: np.ndarray, weight: np.ndarray) -> np.ndarray:
+        """Keys at which the n-grams before make up each of the sums; hashes are even within a level."""
+        upto = np.cumsum(weight)
+        lev = np.minimum(np.searchsorted(upto, sums), 255)
+        part = np.clip((sums - (upto[lev] - weight[lev])) / np.maximum(weight[lev], 1e-9), 0, 1 - 1e-9)
+        return (lev.astype(np.uint64) << np.uint64(56)) | (part * float(1 << 56)).astype(np.uint64)
+
+    def key(self, h: np.ndarray) -> np.ndarray:
+        return (self.level[_bucket(h, self.bits)].astype(np.uint64) << np.uint64(56)) | (h >> np.uint64(8))
+
+    def fragments(self) -> int:
+        return len(self.cuts) + 1
+
+
+_POST = pa.schema([("unit", pa.int32()), ("c", pa.int64()), ("n", pa.int32()), ("p", pa.binary())])
+_POST_DDL = "unit int, c long, n int, p binary"
+
+
+def _packed(parts: list[np.ndarray], lens: list[np.ndarray]) -> pa.Array:
+    """A binary value per row: the row's elements of each part (flat uint32 arrays) one after another."""
+    total = sum(lens)
+    ends = np.concatenate(([0], np.cumsum(total)))
+    flat, at = np.empty(int(ends[-1]), np.uint32), ends[:-1].copy()
+    for x, n in zip(parts, lens):
+        flat[np.repeat(at - (np.cumsum(n) - n), n) + np.arange(len(x))] = x
+        at = at + n
+    return pa.Array.from_buffers(pa.binary(), len(total), [None, pa.py_buffer((ends * 4).astype(np.int32)), pa.py_buffer(flat)])
+
+
+def _classes(s: Sets, live: np.ndarray) -> np.ndarray:
+    raw = memoryview(s.h.tobytes())
+    return np.array([xxhash.xxh3_64_intdigest(raw[8 * s.begin[r] : 8 * s.begin[r + 1]]) for r in live], np.uint64).view(np.int64)
 
 
-def _posting_batches(batches: Iterator[pa.RecordBatch], args: tuple, level: np.ndarray, bits: int, t: float, fragments: int) -> Iterator[pa.RecordBatch]:
-    """Rows with n > 0 are postings; those with n = 0 tell the class c of record id."""
-    known, seen = WordHash(), set()
+def _posting_batches(batches: Iterator[pa.RecordBatch], args: tuple, order: Order, t: float) -> Iterator[pa.RecordBatch]:
+    """Rows with n > 0 are postings; those with n = 0 tell the class c of the record in p."""
+    known, seen, F_ = WordHash(), set(), order.fragments()
     for b in batches:
         s = Sets(b.column("__text").to_pylist(), known, *args)
         ids = b.column("__key").to_numpy(zero_copy_only=False)
         live = np.flatnonzero(s.size)
-        raw = memoryview(s.h.tobytes())
-        cls = np.array([xxhash.xxh3_64_intdigest(raw[8 * s.begin[r] : 8 * s.begin[r + 1]]) for r in live], np.uint64).view(np.int64)
-        none = pa.nulls(len(live), pa.binary())
-        yield pa.RecordBatch.from_arrays([pa.array((mix(ids[live].astype(np.uint64)) % np.uint64(fragments)).astype(np.int32)), pa.array(ids[live]), pa.array(cls), pa.array(np.zeros(len(live), np.int32)), none, none, none], schema=_POST)
+        cls = _classes(s, live)
+        of_id = pa.Array.from_buffers(pa.binary(), len(live), [None, pa.py_buffer((np.arange(len(live) + 1) * 8).astype(np.int32)), pa.py_buffer(np.ascontiguousarray(ids[live], np.int64))])
+        yield pa.RecordBatch.from_arrays([pa.array((mix(ids[live].astype(np.uint64)) % np.uint64(F_)).astype(np.int32)), pa.array(cls), pa.array(np.zeros(len(live), np.int32)), of_id], schema=_POST)
         if len(seen) > 1 << 20:
             seen.clear()
         first = np.zeros(len(s.size), bool)
@@ -182,29 +236,41 @@ def _posting_batches(batches: Iterator[pa.RecordBatch], args: tuple, level: np.n
         if not len(h):
             continue
         maps = bitmaps(h, rec, s.size)
-        o = np.lexsort((h, level[_bucket(h, bits)], rec))
-        h, rec = h[o], rec[o]
-        size = s.size[rec]
+        key = order.key(h)
+        o = np.lexsort((key, rec))
+        h, rec, key = h[o], rec[o], key[o]
         start = _runs(rec)
         place = np.arange(len(rec)) - np.repeat(start, np.diff(np.append(start, len(rec))))
+        size = s.size[rec]
         prefix = place < size - np.ceil(t * size - 1e-9).astype(np.int64) + 1
-        h, rec, place = h[prefix], rec[prefix], place[prefix]
-        frag = (mix(h + np.uint64(7)) % np.uint64(fragments)).astype(np.int32)
-        o = np.lexsort((place, frag, rec))
-        h, rec, place, frag = h[o], rec[o], place[o], frag[o]
-        at = _runs(rec, frag)
-        ends = np.append(at, len(h))
-        grams = pa.Array.from_buffers(pa.binary(), len(at), [None, pa.py_buffer((ends * 4).astype(np.int32)), pa.py_buffer((h & np.uint64(0xFFFFFFFF)).astype(np.uint32))])
-        places = pa.Array.from_buffers(pa.binary(), len(at), [None, pa.py_buffer((ends * 4).astype(np.int32)), pa.py_buffer(place.astype(np.uint32))])
+        h, rec, place, key = h[prefix], rec[prefix], place[prefix], key[prefix]
+        unit = np.searchsorted(order.cuts, key, "right")
+        blocks = np.ceil(order.count(key >> np.uint64(56)) / order.hot).astype(np.int64)
+        hot = blocks > 1
+        if hot.any():  # one row for each pair of blocks that the record's own is in
+            k, hr, hh = blocks[hot], rec[hot], h[hot]
+            own = (mix(of_class[hr].view(np.uint64)) % k.astype(np.uint64)).astype(np.int64)
+            x = np.repeat(np.arange(len(k)), k)
+            other = np.arange(len(x)) - np.repeat(np.cumsum(k) - k, k)
+            lo, hi = np.minimum(own[x], other), np.maximum(own[x], other)
+            mark = np.where(lo == hi, 0, _CROSS) | np.where((own[x] == hi) & (lo != hi), _SIDE, 0)
+            pair_unit = F_ + (mix(hh[x] + mix((lo * 65_537 + hi).astype(np.uint64))) % np.uint64(1 << 30)).astype(np.int64)
+            h, rec, unit = np.concatenate([h[~hot], hh[x]]), np.concatenate([rec[~hot], hr[x]]), np.concatenate([unit[~hot], pair_unit])
+            place = np.concatenate([place[~hot], place[hot][x] | mark])
+        o = np.lexsort((place, unit, rec))
+        h, rec, place, unit = h[o], rec[o], place[o], unit[o]
+        at = _runs(rec, unit)
+        n = np.diff(np.append(at, len(h)))
         rows = rec[at]
-        bitmap = pa.array([maps[r] for r in rows.tolist()], pa.binary())
-        yield pa.RecordBatch.from_arrays([pa.array(frag[at]), pa.array(ids[rows]), pa.array(of_class[rows]), pa.array(s.size[rows].astype(np.int32)), bitmap, grams, places], schema=_POST)
+        bits = [np.frombuffer(maps[r], np.uint32) for r in rows.tolist()]
+        p = _packed([np.concatenate(bits), (h & np.uint64(0xFFFFFFFF)).astype(np.uint32), place.astype(np.uint32)], [np.array([len(x) for x in bits]), n, n])
+        yield pa.RecordBatch.from_arrays([pa.array(unit[at].astype(np.int32)), pa.array(of_class[rows]), pa.array(s.size[rows].astype(np.int32)), p], schema=_POST)
 
 
-def _binary(column: pa.ChunkedArray, dtype) -> tuple[np.ndarray, np.ndarray]:
+def _binary(column: pa.ChunkedArray | pa.Array, dtype) -> tuple[np.ndarray, np.ndarray]:
     """All bytes of a binary column as one array, and the length of each value in elements."""
     flat, lens = [], []
-    for c in column.chunks:
+    for c in column.chunks if isinstance(column, pa.ChunkedArray) else [column]:
         off = np.frombuffer(c.buffers()[1], np.int32)[c.offset : c.offset + len(c) + 1]
         data = c.buffers()[2]
         flat.append(np.frombuffer(data, np.uint8)[off[0] : off[-1]] if data is not None and len(c) else np.zeros(0, np.uint8))
@@ -236,70 +302,110 @@ def _blocks(start: np.ndarray, length: np.ndarray, limit: int = 1 << 20) -> Iter
                     yield g + x, g + x + 1 + np.arange(len(x)) - np.repeat(np.cumsum(n) - n, n)
 
 
-_OUT = pa.schema([("a", pa.int64()), ("b", pa.int64()), ("shared", pa.int64())])
+_OUT = pa.schema([("a", pa.int64()), ("b", pa.int64()), ("member", pa.bool_())])
 
 
-def _count_fragment(batches: Iterator[pa.RecordBatch], t: float) -> Iterator[pa.RecordBatch]:
-    """Pairs of classes with their count in this partition's fragments; (class, id, 0) for members."""
-    rows = []
+def _meet_batches(batches: Iterator[pa.RecordBatch], t: float) -> Iterator[pa.RecordBatch]:
+    """Pairs of classes (a, b) that meet within the bounds; (class, id) with ``member`` set for records.
+
+    Rows come sorted by unit; whole units are worked on once enough rows are there, so a task holds a unit, not all of its own.
+    """
+    held: list[pa.RecordBatch] = []
+    waiting = 0
     for b in batches:
-        member = pc.equal(b.column("n"), 0)
-        m = b.filter(member)
-        yield pa.RecordBatch.from_arrays([m.column("c"), m.column("id"), pa.array(np.zeros(len(m), np.int64))], schema=_OUT)
-        rows.append(b.filter(pc.invert(member)))
-    tab = pa.Table.from_batches(rows) if rows else None
-    if tab is None or not len(tab):
-        return
-    c, frag = tab.column("c").to_numpy(), tab.column("frag").to_numpy().astype(np.int64)
-    n, gram, place = tab.column("n").to_numpy().astype(np.int64), *(_binary(tab.column(k), np.uint32)[0] for k in ("grams", "places"))
-    maps = Maps(*_binary(tab.column("bitmap"), np.uint64))
-    lens = _binary(tab.column("grams"), np.uint32)[1]
-    row = np.repeat(np.arange(len(c)), lens)
-    o = np.lexsort((c, frag))
+        member = b.column("n").to_numpy() == 0
+        m = b.filter(pa.array(member))
+        ids = _binary(m.column("p"), np.int64)[0]
+        yield pa.RecordBatch.from_arrays([m.column("c"), pa.array(ids), pa.array(np.ones(len(m), bool))], schema=_OUT)
+        b = b.filter(pa.array(~member))
+        if not len(b):
+            continue
+        unit = b.column("unit").to_numpy()
+        if waiting + len(b) > 1 << 15:
+            last = int(np.searchsorted(unit, unit[-1], "left"))  # rows before it belong to units that are complete
+            if held and (last or held[-1].column("unit")[-1].as_py() != unit[0]):
+                yield from _meet(pa.Table.from_batches([*held, b.slice(0, last)]), t)
+                held, waiting, b = [], 0, b.slice(last)
+        held.append(b)
+        waiting += len(b)
+    if held:
+        yield from _meet(pa.Table.from_batches(held), t)
+
+
+def _meet(tab: pa.Table, t: float) -> Iterator[pa.RecordBatch]:
+    c, unit = tab.column("c").to_numpy(), tab.column("unit").to_numpy().astype(np.int64)
+    n = tab.column("n").to_numpy().astype(np.int64)
+    flat, lens = _binary(tab.column("p"), np.uint32)
+    lens = lens.astype(np.int64)
+    width = map_bits(n) // 32
+    begin = np.cumsum(lens) - lens
+    k = (lens - width) // 2
+    inner = np.arange(int(k.sum())) - np.repeat(np.cumsum(k) - k, k)
+    row = np.repeat(np.arange(len(c)), k)
+    gram = flat[(begin + width)[row] + inner]
+    mark = flat[(begin + width + k)[row] + inner]
+    at_map = np.repeat(begin - (np.cumsum(width) - width), width) + np.arange(int(width.sum()))
+    maps = Maps(flat[at_map].view(np.uint64), width // 2)
+    o = np.lexsort((c, unit))
     dup = np.zeros(len(c), bool)  # copies that other map tasks posted
-    dup[o[1:]] = (c[o][1:] == c[o][:-1]) & (frag[o][1:] == frag[o][:-1])
+    dup[o[1:]] = (c[o][1:] == c[o][:-1]) & (unit[o][1:] == unit[o][:-1])
     keep = ~dup[row]
-    gram, place, row = gram[keep], place[keep].astype(np.int64), row[keep]
-    key = (frag[row].astype(np.uint64) << np.uint64(32)) | gram
-    o = np.argsort(key, kind="stable")
-    key, place, row = key[o], place[o], row[o]
-    start = _runs(key) if len(key) else np.zeros(0, np.int64)
-    codes = []
-    for i, j in _blocks(start, np.diff(np.append(start, len(key)))):
+    gram, mark, row = gram[keep], mark[keep], row[keep]
+    o = np.lexsort((gram, unit[row]))
+    gram, mark, row = gram[o], mark[o], row[o]
+    place, cross, side = (mark & np.uint32(_CROSS - 1)).astype(np.int64), (mark & np.uint32(_CROSS)) > 0, (mark & np.uint32(_SIDE)) > 0
+    start = _runs(unit[row], gram) if len(row) else np.zeros(0, np.int64)
+    found: list[np.ndarray] = []
+    for i, j in _blocks(start, np.diff(np.append(start, len(row)))):
         x, y = row[i], row[j]
-        nx, ny = n[x], n[y]
-        need = needed(nx, ny, t)
-        ok = (place[i] <= nx - need) & (place[j] <= ny - need)
+        need = needed(n[x], n[y], t)
+        ok = (place[i] <= n[x] - need) & (place[j] <= n[y] - need) & (~cross[i] | (side[i] != side[j]))
         x, y, need = x[ok], y[ok], need[ok]
         ok = n[x] + n[y] - maps.apart(x, y) >= 2 * need
         x, y = c[x[ok]], c[y[ok]]
-        swap = x > y
-        codes.append(np.stack([np.where(swap, y, x), np.where(swap, x, y)], 1))
-        if sum(map(len, codes)) > 1 << 21:
-            yield _pairs(codes)
-            codes = []
-    if codes:
-        yield _pairs(codes)
+        found.append(np.stack([np.minimum(x, y), np.maximum(x, y)], 1)[x != y])
+        if sum(map(len, found)) > 1 << 20:
+            yield _distinct(found)
+            found = []
+    if found:
+        yield _distinct(found)
 
 
-def _pairs(codes: list[np.ndarray]) -> pa.RecordBatch:
-    u, k = np.unique(np.concatenate(codes), axis=0, return_counts=True)
-    differ = u[:, 0] != u[:, 1]
-    return pa.RecordBatch.from_arrays([pa.array(u[differ, 0]), pa.array(u[differ, 1]), pa.array(k[differ].astype(np.int64))], schema=_OUT)
+def _distinct(found: list[np.ndarray]) -> pa.RecordBatch:
+    u = np.unique(np.concatenate(found), axis=0)
+    return pa.RecordBatch.from_arrays([pa.array(u[:, 0]), pa.array(u[:, 1]), pa.array(np.zeros(len(u), bool))], schema=_OUT)
 
 
-def _verify(batches: Iterator[pa.RecordBatch], args: tuple, t: float) -> Iterator[pa.RecordBatch]:
+def _fragment_batches(batches: Iterator[pa.RecordBatch], args: tuple, order: Order) -> Iterator[pa.RecordBatch]:
+    """(class, size, fragment, n-grams): the sets of records cut at the coarse cuts of the order."""
     known = WordHash()
     for b in batches:
-        a, c = (Sets(b.column(k).to_pylist(), known, *args) for k in ("text_a", "text_b"))
-        sim = np.zeros(len(b))
-        both = np.zeros(len(b), np.int64)
-        for r in range(len(b)):
-            x, y = a.h[a.begin[r] : a.begin[r + 1]], c.h[c.begin[r] : c.begin[r + 1]]
-            both[r] = len(np.intersect1d(x, y, assume_unique=True))
-            sim[r] = both[r] / max(1, len(x) + len(y) - both[r])
-        ok = pa.array(sim >= t - 1e-12)
-        yield pa.RecordBatch.from_arrays([b.column("a"), b.column("b"), pa.array(sim)], ["a", "b", "similarity"]).filter(ok)
+        s = Sets(b.column("__text").to_pylist(), known, *args)
+        live = np.flatnonzero(s.size)
+        of_class = np.zeros(len(s.size), np.int64)
+        of_class[live] = _classes(s, live)
+        frag = np.searchsorted(order.coarse, order.key(s.h), "right")
+        o = np.lexsort((s.h, frag, s.rec))
+        h, rec, frag = s.h[o], s.rec[o], frag[o]
+        at = _runs(rec, frag) if len(h) else np.zeros(0, np.int64)
+        n = np.diff(np.append(at, len(h)))
+        grams = _packed([h.view(np.uint32)], [2 * n])
+        yield pa.RecordBatch.from_arrays([pa.array(of_class[rec[at]]), pa.array(s.size[rec[at]].astype(np.int32)), pa.array(frag[at].astype(np.int32)), grams], ["c", "n", "frag", "grams"])
+
+
+def _overlap_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The partial overlap of each pair in one fragment; n-grams are distinct on either side."""
+    for b in batches:
+        h, rec = [], []
+        for side in ("grams_a", "grams_b"):
+            x, k = _binary(b.column(side), np.uint64)
+            h.append(x)
+            rec.append(np.repeat(np.arange(len(b)), k))
+        h, rec = np.concatenate(h), np.concatenate(rec)
+        o = np.lexsort((h, rec))
+        h, rec = h[o], rec[o]
+        same = rec[1:][(h[1:] == h[:-1]) & (rec[1:] == rec[:-1])]
+        yield pa.RecordBatch.from_arrays([b.column("a"), b.column("b"), pa.array(np.bincount(same, minlength=len(b)).astype(np.int64))], ["a", "b", "shared"])
 
 
 class NearDuplicates:
@@ -319,6 +425,8 @@ def near_duplicates(
     strip_tags: bool = False,
     order_bits: int = 20,
     fragments: int | None = None,
+    load: int = LOAD,
+    hot: int = HOT,
 ) -> NearDuplicates:
     """Classes of equal n-gram sets and the links between classes of similarity >= ``threshold``.
 
@@ -327,26 +435,36 @@ def near_duplicates(
     per distinct text. Ties at the threshold are links. Empty tables give no rows. Other columns
     are not read. Keys must be integers.
 
-    ``fragments`` defaults to ``spark.sql.shuffle.partitions``.
+    ``fragments`` is the least number of ranges of the order, ``spark.sql.shuffle.partitions`` by default; there are more
+    where the n-grams of all records ask for it (about ``load`` postings a range); lists longer than ``hot`` are cut into
+    blocks. None of the three changes the result. Sets have 64-bit keys.
     """
     spark = docs.sparkSession
     if not 0 < threshold <= 1:
         raise ValueError("threshold must be in (0, 1]")
-    fragments = fragments or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    least = fragments or int(spark.conf.get("spark.sql.shuffle.partitions"))
     args = (n, max(n, min_words), strip_tags)
     base = docs.where(F.col(text).isNotNull() & F.col(key).isNotNull()).select(F.col(key).cast("long").alias("__key"), F.col(text).alias("__text"))
-    level = spark.sparkContext.broadcast(order_levels(base, args, order_bits))
-    posted = base.mapInArrow(lambda it: _posting_batches(it, args, level.value, order_bits, threshold, fragments), _POST_DDL)
-    counted = cut_lineage(posted.repartitionById(fragments, "frag").mapInArrow(lambda it: _count_fragment(it, threshold), "a long, b long, shared long"))
-    members = counted.where("shared = 0").select(F.col("b").alias("id"), F.col("a").alias("class")).distinct()
-    sums = counted.where("shared > 0").groupBy("a", "b").agg(F.sum("shared").alias("shared"))
-    rep = members.groupBy("class").agg(F.min("id").alias("rep"))
-    pairs = cut_lineage(sums.join(rep.withColumnsRenamed({"class": "a", "rep": "id_a"}), "a").join(rep.withColumnsRenamed({"class": "b", "rep": "id_b"}), "b").select("a", "b", "id_a", "id_b"))
-    wanted = cut_lineage(pairs.select(F.col("id_a").alias("__key")).union(pairs.select("id_b")).distinct())
-    texts = semi_checked(base, wanted, "__key")
-    both = pairs.join(texts.withColumnsRenamed({"__key": "id_a", "__text": "text_a"}), "id_a").join(texts.withColumnsRenamed({"__key": "id_b", "__text": "text_b"}), "id_b")
-    links = both.select("a", "b", "text_a", "text_b").mapInArrow(lambda it: _verify(it, args, threshold), "a long, b long, similarity double")
-    links = links.groupBy(F.col("a").alias("class_a"), F.col("b").alias("class_b")).agg(F.max("similarity").alias("similarity"))
+    order = Order(order_levels(base, args, order_bits), order_bits, threshold, least, load, hot)
+    shared = spark.sparkContext.broadcast(order)
+    posted = base.mapInArrow(lambda it: _posting_batches(it, args, shared.value, threshold), _POST_DDL)
+    parts = order.fragments()
+    spread = posted.repartitionById(parts, F.pmod("unit", F.lit(parts))).sortWithinPartitions("unit")
+    met = cut_lineage(spread.mapInArrow(lambda it: _meet_batches(it, threshold), "a long, b long, member boolean"))
+    members = met.where("member").select(F.col("b").alias("id"), F.col("a").alias("class")).distinct()
+    pairs = cut_lineage(met.where("not member").select("a", "b").distinct())
+    wanted = pairs.select(F.col("a").alias("class")).union(pairs.select("b")).distinct()
+    rep = cut_lineage(members.join(wanted, "class").groupBy("class").agg(F.min("id").alias("__key")).select("__key"))
+    cut = semi_checked(base, rep, "__key").mapInArrow(lambda it: _fragment_batches(it, args, shared.value), "c long, n int, frag int, grams binary")
+    # a repeated key may bring several sets: those that no pair names fall out of the joins
+    cut = cut_lineage(cut.groupBy("c", "frag").agg(F.max("n").alias("n"), F.max("grams").alias("grams")))
+    both = pairs.join(cut.withColumnsRenamed({"c": "a", "n": "n_a", "grams": "grams_a"}), "a").join(cut.select(F.col("c").alias("b"), "frag", F.col("grams").alias("grams_b")), ["b", "frag"])
+    partial = both.select("a", "b", "grams_a", "grams_b").mapInArrow(_overlap_batches, "a long, b long, shared long")
+    sums = partial.groupBy("a", "b").agg(F.sum("shared").alias("shared"))
+    size = cut.groupBy("c").agg(F.max("n").alias("n"))
+    sums = sums.join(size.withColumnsRenamed({"c": "a", "n": "n_a"}), "a").join(size.withColumnsRenamed({"c": "b", "n": "n_b"}), "b")
+    similarity = F.col("shared") / (F.col("n_a") + F.col("n_b") - F.col("shared"))
+    links = sums.select(F.col("a").alias("class_a"), F.col("b").alias("class_b"), similarity.alias("similarity")).where(F.col("similarity") >= threshold - 1e-12)
     return NearDuplicates(cut_lineage(links), members)
 
 

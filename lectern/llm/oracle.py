@@ -65,7 +65,24 @@ f as (select distinct d from w semi join s using (h) union select d from t where
 select distinct doc_id from documents join t using (text) join f using (d)
 """
 
+_EDITED_GROUPS = f"""
+with recursive w as (
+  select variant_id, list_transform(regexp_extract_all(regexp_replace(text, '<[^<>]*>', ' ', 'g'), '[\\p{{L}}\\p{{N}}]+'), lambda x: lower(x)) as w
+  from content_variants where name = 'original' and text is not null
+), g as (
+  select distinct variant_id, hash(w[i], w[i + 1], w[i + 2]) as h from (select variant_id, w, unnest(range(1, len(w) - 1)) as i from w where len(w) >= 40)
+), s as (select variant_id, list_sort(list(h)) as h from g group by all),
+p as ({_EDITED}),
+e as (select variant_id_a as a, variant_id_b as b from p union all select variant_id_b, variant_id_a from p),
+r as (select variant_id as id, variant_id as group_id from s union select e.b, r.group_id from r join e on e.a = r.id where r.group_id < e.b),
+c as (select h, count(*) as n from s group by h),
+l as (select e.a, count(distinct y.h) as n from e join s x on x.variant_id = e.a join s y on y.variant_id = e.b where x.h <> y.h group by e.a)
+select s.variant_id, (select min(group_id) from r where r.id = s.variant_id) as group_id, c.n as n_copies, coalesce(l.n, 0) as n_links
+from s join c using (h) left join l on l.a = s.variant_id
+"""
+
 _SQL: dict[str, str] = {
+    "p3_groups": _EDITED_GROUPS,
     "p3_found": _EDITED,
     "p9_found": _SHARED,
     "p5_found": _PIECE_KIND,

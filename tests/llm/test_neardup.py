@@ -57,6 +57,13 @@ def test_matches_brute_force(spark, t, n, least):
     assert got == brute(rows, t, n, least)
 
 
+@pytest.mark.parametrize("load,hot", [(50, 1), (300, 3)])
+def test_many_ranges_and_split_lists(spark, load, hot):
+    rows = edited(9) + [(1_000 + i, " ".join(["same words stand in each of these texts"] * 6 + [f"end{i % 7}"])) for i in range(25)]
+    got = {(r.id_a, r.id_b) for r in expanded_pairs(near_duplicates(frame(spark, rows), "id", "text", 0.5, 3, 0, load=load, hot=hot)).collect()}
+    assert got == brute(rows, 0.5, 3)
+
+
 def test_cases(spark):
     text = " ".join(f"w{i}" for i in range(50))
     rows = [(1, text), (2, text.upper()), (3, text.replace(" ", ". ")), (4, None), (5, ""), (6, "short text"), (None, text), (7, text + " more"), (8, "q " * 3000), (9, "q " * 3000), (1, text)]
