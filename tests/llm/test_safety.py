@@ -19,19 +19,21 @@ def test_gradients_match_finite_differences():
     rng = np.random.default_rng(0)
     net = safety.Network(["a", "b", "c"], rng)
     net.p = {k: v.astype(np.float64) for k, v in net.p.items()}
-    word, grams = rng.integers(0, 4, (5, 3)), rng.integers(0, safety.GRAMS, (5, 3, 2))
-    part, mask, y = np.full((5, 3, 2), 0.7), np.ones((5, 3), bool), np.array([[1.0, 0], [0, 1], [0, 0]])
+    word, rows = rng.integers(0, 4, (5, 3)), rng.integers(0, 6, (5, 3))
+    lists = rng.integers(0, safety.GRAMS, 12), np.array([1, 2, 3, 1, 4, 1])
+    mask, y = np.ones((5, 3), bool), np.array([[1.0, 0], [0, 1], [0, 0]])
     mask[3:, 1] = False
-    _, g = net.step(word, grams, part, mask, y)
+    _, g = net.step(word, rows, lists, mask, y)
     eps = 1e-3
-    for name in ("Wf", "Ub", "cf", "A", "v", "o"):
+    for name in ("Wf", "Ub", "cf", "A", "v", "o", "char"):
         flat = net.p[name].reshape(-1)
-        for i in rng.choice(len(flat), min(4, len(flat)), replace=False):
+        some = np.flatnonzero(g[name].reshape(-1)) if name == "char" else len(flat)
+        for i in rng.choice(some, 4 if name != "o" else 2, replace=False):
             keep = flat[i]
             flat[i] = keep + eps
-            up = net.step(word, grams, part, mask, y)[0]
+            up = net.step(word, rows, lists, mask, y)[0]
             flat[i] = keep - eps
-            down = net.step(word, grams, part, mask, y)[0]
+            down = net.step(word, rows, lists, mask, y)[0]
             flat[i] = keep
             # the mean is over batch and axes, the gradient over the batch
             assert abs((up - down) / (2 * eps) * y.shape[1] - g[name].reshape(-1)[i]) < 2e-3, name
@@ -51,6 +53,25 @@ def test_cases_and_windows(spark, classifier):
     assert docs["a"] == 2
 
 
+def test_every_window_counts(classifier):
+    """Scores are those of the best window, wherever it begins, and equal pooling window by window."""
+    insult, calm = "You are a worthless idiot and everyone here knows it.", "the baker counted the silver coins beneath the old lighthouse "
+    alone = classifier.scores([insult])[0][0, 1]
+    for k in range(0, 40, 3):
+        words = (calm * 20).split()
+        score, windows = classifier.scores([" ".join(words[:k] + [insult] + words[k : 60 - k])])
+        assert score[0, 1] > 0.5 and alone > 0.5 and windows[0] == max(1, len(safety.tokens(" ".join(words[:k] + [insult] + words[k : 60 - k]))) - safety.WINDOW + 1)
+    x = np.random.default_rng(1).random((70, 2))
+    assert np.allclose(safety.sliding(x), [x[i : i + safety.WINDOW].sum(axis=0) for i in range(70)])
+
+
+def test_batches_of_texts_do_not_matter(classifier):
+    texts = ["You are a worthless idiot.", "", "The baker counted coins. " * 40, "x" * 5_000, "Calm words here.", "\u0441\u043b\u043e\u0432\u043e " * 30]
+    together = classifier.scores(texts)[0]
+    for i, t in enumerate(texts):
+        assert np.allclose(classifier.scores([t])[0][0], together[i], atol=1e-5)
+
+
 def test_held_out_accuracy(spark, data):
     rows = spark.read.parquet(f"{data}/safety_samples.parquet").orderBy("sample_id").collect()
     clean = [r.text for r in spark.read.parquet(f"{data}/lang_samples.parquet").collect()]
