@@ -20,29 +20,38 @@ from pyspark.sql import functions as F
 _PARAGRAPH = re.compile(r"\n\n")
 _SENTENCE = re.compile(r"(?<=[.!?…])\s")
 _WORD = re.compile(r"\s")
+#: Characters of the separator after each kind of part.
+SEPARATORS = {"paragraph": 2, "sentence": 1, "word": 1}
 
 
 def boundaries(text: str) -> dict[str, list[int]]:
     """Offsets after which a piece may end, by kind; each kind also holds the end of the text.
 
     A paragraph ends at two line feeds in a row, a sentence at white space right after ``. ! ? …`` within its
-    paragraph, a word at white space. The separators belong to the part before them.
+    paragraph, a word at white space. The separators belong to the part before them. A separator that ends the text
+    gives its end twice.
     """
     ends = {"paragraph": [m.end() for m in _PARAGRAPH.finditer(text)], "sentence": [m.end() for m in _SENTENCE.finditer(text)], "word": [m.end() for m in _WORD.finditer(text)]}
     for v in ends.values():
-        if not v or v[-1] != len(text):
-            v.append(len(text))
+        v.append(len(text))
     return ends
 
 
-def finest(text: str, room: int) -> str:
-    """The coarsest kind of part of which none has more than ``room`` characters, separators aside."""
-    paragraphs = text.split("\n\n")
-    if max(map(len, paragraphs)) <= room:
-        return "paragraph"
-    if max(len(s) for p in paragraphs for s in _SENTENCE.split(p)) <= room:
-        return "sentence"
-    return "word" if max(map(len, _WORD.split(text))) <= room else "none"
+def finest(kinds: list[tuple[str, list[int], int]], room: int) -> str:
+    """The coarsest kind of part of which none has more than ``room`` characters, read off the gaps between boundaries.
+
+    ``kinds`` has name, offsets after the boundaries (the end of the text last) and width of the separator, coarse to fine;
+    a part also ends at the boundaries of coarser kinds.
+    """
+    ends: list[tuple[int, int]] = []  # begin and end of the separators so far; the last is the end of the text
+    for name, at, width in kinds:
+        ends = sorted([*ends, *((e - width, e) for e in at[:-1])])
+        begin = widest = 0
+        for a, b in [*ends, (at[-1], at[-1])]:
+            widest, begin = max(widest, a - begin), max(begin, b)
+        if widest <= room:
+            return name
+    return "none"
 
 
 def pieces(length: int, limit: int, overlap: int, ends: list[tuple[str, list[int]]]) -> list[tuple[int, int, str]]:
@@ -76,8 +85,8 @@ def _text_pieces(batches: Iterator[pa.RecordBatch], limit: int, overlap: int) ->
         rows = []
         for key, text in zip(b.column("k").to_pylist(), b.column("t").to_pylist()):
             ends = boundaries(text)
-            fine = finest(text, limit - overlap)
-            for i, (a, z, cut) in enumerate(pieces(len(text), limit, overlap, [(k, ends[k]) for k in ("paragraph", "sentence", "word")])):
+            fine = finest([(k, ends[k], w) for k, w in SEPARATORS.items()], limit - overlap)
+            for i, (a, z, cut) in enumerate(pieces(len(text), limit, overlap, [(k, ends[k]) for k in SEPARATORS])):
                 rows.append(("text", key, fine, i, a, z, cut, text[a:z]))
         yield _emit(rows)
 
