@@ -7,8 +7,9 @@ summed by ranges of identifiers.
 Rows are first reduced to one per (record, term), so that a record with very many rows is
 pre-aggregated where it is read and its presence counts once wherever its rows lie. Identifiers are
 dense: they are numbered within hash partitions of the dictionary, and partition offsets (one number
-a partition) are added. A block keeps arrays only for identifier ranges that occur in it and passes them
-on when it holds ``BLOCK_RANGES`` of them, so memory is bounded.
+a partition) are added. A block is up to ``BLOCK`` rows; of its count arrays only the places in use are sent, packed
+into one row for each identifier range, so a shuffle carries as much as blocks have distinct terms. Ranges are spread
+evenly, as identifiers follow the hash of terms, and a task adds the arrays of a range as they come in.
 """
 
 from __future__ import annotations
@@ -22,7 +23,7 @@ from pyspark.sql import functions as F
 
 from lectern.plans import cut_lineage, join_checked
 
-RANGE, BLOCK_RANGES = 4096, 256
+RANGE, BLOCK = 4096, 1 << 20
 
 
 def normal_term(column):
@@ -44,28 +45,51 @@ def term_dictionary(terms: DataFrame) -> DataFrame:
     return named.join(F.broadcast(offset), "p").select("term", (F.col("m") + F.col("shift")).alias("id"))
 
 
+_CELLS = "range long, cells binary"
+
+
 def _count_blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(id, n) rows to (range, occurrences, records), arrays of RANGE counts."""
-    arrays: dict[int, np.ndarray] = {}
+    """(id, n) rows to one row per block and identifier range: (place, occurrences, records) of the ids in use."""
+
+    def out(ids: np.ndarray, n: np.ndarray) -> pa.RecordBatch:
+        o = np.argsort(ids, kind="stable")
+        at = np.flatnonzero(np.append(True, np.diff(ids[o]) != 0))
+        cells = np.empty((len(at), 3), np.int64)
+        cells[:, 1] = np.add.reduceat(n[o], at)
+        cells[:, 2] = np.diff(np.append(at, len(o)))
+        of, cells[:, 0] = np.divmod(ids[o][at], RANGE)
+        new = np.flatnonzero(np.append(True, np.diff(of) != 0))
+        packed = [x.tobytes() for x in np.split(cells, new[1:])]
+        return pa.RecordBatch.from_arrays([pa.array(of[new]), pa.array(packed, pa.binary())], ["range", "cells"])
+
+    held: list[tuple[np.ndarray, np.ndarray]] = []
+    for b in batches:
+        held.append((b.column("id").to_numpy(), b.column("n").to_numpy()))
+        if sum(len(x) for x, _ in held) >= BLOCK:
+            yield out(*map(np.concatenate, zip(*held)))
+            held = []
+    if any(len(x) for x, _ in held):
+        yield out(*map(np.concatenate, zip(*held)))
+
+
+def _sum_ranges(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows sorted by range to (id, n_uses, n_records); one array of RANGE counts is held."""
+    now, total = None, np.zeros((RANGE, 2), np.int64)
 
     def out() -> pa.RecordBatch:
-        keys = sorted(arrays)
-        lists = [pa.array([arrays[k][i] for k in keys], pa.list_(pa.int64())) for i in (0, 1)]
-        return pa.RecordBatch.from_arrays([pa.array(keys, pa.int64()), *lists], ["range", "occurrences", "records"])
+        used = np.flatnonzero(total[:, 1])
+        return pa.RecordBatch.from_arrays([pa.array(now * RANGE + used), pa.array(total[used, 0]), pa.array(total[used, 1])], ["id", "n_uses", "n_records"])
 
     for b in batches:
-        ids, n = b.column("id").to_numpy(), b.column("n").to_numpy()
-        for r in np.unique(ids // RANGE).tolist():
-            mine = ids // RANGE == r
-            if r not in arrays:
-                if len(arrays) >= BLOCK_RANGES:
+        for r, cells in zip(b.column("range").to_pylist(), b.column("cells").to_pylist()):
+            if r != now:
+                if now is not None:
                     yield out()
-                    arrays.clear()
-                arrays[r] = np.zeros((2, RANGE), np.int64)
-            at = ids[mine] - r * RANGE
-            np.add.at(arrays[r][0], at, n[mine])
-            arrays[r][1] += np.bincount(at, minlength=RANGE)
-    if arrays:
+                now = r
+                total[:] = 0
+            x = np.frombuffer(cells, np.int64).reshape(-1, 3)
+            total[x[:, 0]] += x[:, 1:]
+    if now is not None:
         yield out()
 
 
@@ -82,8 +106,7 @@ def term_frequency(rows: DataFrame, record: str, terms: str, min_records: int =
     total = held.select(F.coalesce(F.col("__record").cast("string"), F.lit("\0")).alias("r")).distinct().count()
     names = cut_lineage(term_dictionary(held))
     coded = join_checked(held, names, "term", row_bytes=80).select("id", "n")
-    blocks = coded.mapInArrow(_count_blocks, "range long, occurrences array<bigint>, records array<bigint>")
-    cells = blocks.select("range", F.posexplode(F.arrays_zip("occurrences", "records")).alias("i", "c")).where("c.records > 0")
-    sums = cells.groupBy((F.col("range") * RANGE + F.col("i")).alias("id")).agg(F.sum("c.occurrences").alias("n_uses"), F.sum("c.records").alias("n_records"))
+    blocks = coded.mapInArrow(_count_blocks, _CELLS)
+    sums = blocks.repartition("range").sortWithinPartitions("range").mapInArrow(_sum_ranges, "id long, n_uses long, n_records long")
     mark = F.when(F.col("n_records") < min_records, "rare").when(F.col("n_records") > F.lit(max_share) * total, "common")
     return sums.join(names, "id").select("term", "n_uses", "n_records", mark.alias("mark"))
