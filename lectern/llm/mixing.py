@@ -3,7 +3,7 @@
 Method: a multivariate-hypergeometric splitting tree. Every source is cut into blocks by a hash of its keys.
 The total is the largest for which no source must be repeated more than allowed; it gives each source
 an exact quota of tokens: whole passes over all its blocks, then blocks in random order, then part of
-one block record by record. The drawn blocks are partitioned among output shards by a tree: each node
+one block: sub-blocks by the next bits of the hash, and at last record by record. The drawn blocks are partitioned among output shards by a tree: each node
 splits its counts by source between its halves with one multivariate-hypergeometric draw, so quotas
 hold exactly and every shard is a random sample of the whole mix. Each source's blocks are permuted and dealt
 to the shards without overlap, and records are shuffled within their shard by a hash.
@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from lectern.plans import cut_lineage
+from lectern.plans import cut_lineage, join_checked
 
 
 def vocabulary_path(name: str = "byte_bpe_50k.tiktoken") -> str:
@@ -75,6 +75,50 @@ def split_quotas(counts: list[int], shards: int, rng: np.random.Generator) -> np
     return out
 
 
+def _upto(part: DataFrame, rooms: dict[str, tuple], key: str, fine: int = 2_000) -> DataFrame:
+    """Of each source's last block the records, by ``shuffle_key``, that fit its room (one block a source).
+
+    The range of keys is narrowed in 256 steps at a time by sums, until the step in which the room ends has at most
+    ``fine`` records; only those are ranked.
+    """
+    low = {s: (-(1 << 63), 64, r[2]) for s, r in rooms.items()}  # first key, bits of the range, room left
+    open_ = sorted(low)
+    rank = F.lit(False)
+    while open_:
+        at, inside = F.lit(None).cast("long"), F.lit(False)
+        for s in open_:
+            first, bits, _ = low[s]
+            mine = F.col("source") == s
+            if bits < 64:
+                mine = mine & F.col("shuffle_key").between(first, first + (1 << bits) - 1)
+            at = F.when(mine, F.shiftright(F.col("shuffle_key"), bits - 8)).otherwise(at)
+            inside = inside | mine
+        steps: dict[str, list] = {s: [] for s in open_}
+        for r in part.where(inside).groupBy("source", at.alias("k")).agg(F.sum("n_tokens").alias("t"), F.count("*").alias("n")).collect():
+            steps[r.source].append((r.k, r.t, r.n))
+        still = []
+        for s in open_:
+            first, bits, left = low[s]
+            for k, t, n in sorted(steps[s]):
+                if t > left:
+                    low[s] = (k << (bits - 8), bits - 8, left)
+                    if n > fine and bits > 8:
+                        still.append(s)
+                    break
+                left -= t
+        open_ = still
+    before = F.lit(False)
+    for s, (first, bits, left) in low.items():
+        mine = F.col("source") == s
+        before = before | (mine & (F.col("shuffle_key") < F.lit(first)))
+        rank = rank | (mine & F.col("shuffle_key").between(first, first + (1 << bits) - 1))
+    room = F.lit(0).cast("long")
+    for s, (_, _, left) in low.items():
+        room = F.when(F.col("source") == s, F.lit(left)).otherwise(room)
+    upto = F.sum("n_tokens").over(Window.partitionBy("source").orderBy("shuffle_key", key).rowsBetween(Window.unboundedPreceding, 0))
+    return part.where(before).unionByName(part.where(rank).withColumn("upto", upto).where(F.col("upto") <= room).drop("upto"))
+
+
 class Mix:
     """``chosen``: one row per chosen copy of a record; ``shares``: one row per target."""
 
@@ -107,13 +151,15 @@ def mix_sources(
     unique (repeated rows are so many records); other columns are not read.
     """
     spark: SparkSession = docs.sparkSession
-    sized = cut_lineage(token_counts(docs, key, text, source, path).where("n_tokens > 0"))
     goal = {}
     for r in targets.where("source is not null and target_share > 0 and max_repeats > 0").collect():
         name = "".join(r.source.lower().split())
         share, most = goal.get(name, (0.0, 0))
         goal[name] = (share + r.target_share, max(most, r.max_repeats))
-    size = {r.source: (r.n, r.t) for r in sized.groupBy("source").agg(F.count("*").alias("n"), F.sum("n_tokens").alias("t")).where(F.col("source").isin(*goal) if goal else F.lit(False)).collect()}
+    # texts of other sources aren't tokenised
+    named_rows = docs.where(F.regexp_replace(F.lower(source), r"(?U)\s+", "").isin(*goal) if goal else F.lit(False))
+    sized = cut_lineage(token_counts(named_rows, key, text, source, path).where("n_tokens > 0"))
+    size = {r.source: (r.n, r.t) for r in sized.groupBy("source").agg(F.count("*").alias("n"), F.sum("n_tokens").alias("t")).collect()}
     named = sorted(s for s in goal if s in size)
     whole = sum(goal[s][0] for s in named)
     most = min((goal[s][1] * size[s][1] * whole / goal[s][0] for s in named), default=0)
@@ -149,11 +195,9 @@ def mix_sources(
     plan = spark.createDataFrame(rows, "source string, block int, pass_no int, room long, shard int")
     order = F.xxhash64(key, "pass_no", F.lit(seed + 1))
     # at most sources * max_blocks * (max_repeats + 1) rows
-    joined = placed.join(F.broadcast(plan), ["source", "block"]).withColumn("shuffle_key", order)
+    joined = join_checked(placed, cut_lineage(plan), ["source", "block"], row_bytes=64).withColumn("shuffle_key", order)
     full = joined.where("room is null")
-    part = joined.where("room is not null")
-    upto = F.sum("n_tokens").over(Window.partitionBy("source", "block", "pass_no").orderBy("shuffle_key", key).rowsBetween(Window.unboundedPreceding, 0))
-    part = part.withColumn("upto", upto).where("upto <= room").drop("upto")
+    part = _upto(joined.where("room is not null"), {s: (b, p, rest, k) for s, b, p, rest, k in rows if rest is not None}, key)
     chosen = full.unionByName(part).select(key, "source", "pass_no", "shard", "shuffle_key", "n_tokens")
 
     listed = spark.createDataFrame([(s, float(w), int(m), int(size[s][0]) if s in size else 0, int(size[s][1]) if s in size else 0) for s, (w, m) in sorted(goal.items())], "source string, target_share double, max_repeats int, n_available long, tokens_available long")
