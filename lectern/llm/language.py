@@ -2,15 +2,16 @@
 
 Method: hyperdimensional profiles. Every letter has a random vector of +1 and -1; a letter trigram is
 bound by multiplying the vectors of its letters, permuted once per place (here: rotated); the
-trigrams of a language's samples are bundled by adding them. A word's resemblance to a language is
-the sum over its trigrams of their cosine with that language's prototype, less the mean of all
-languages. The prototypes are refined by the usual retraining: windows of samples that go to the wrong
-prototype are added to the right one and taken from the wrong one.
-
-As bundling is linear, the score of a text is the sum of the scores of its trigrams, so each distinct
-trigram and word is computed once per worker and kept. Stretches come from the best path through the
-words of a text (Viterbi) with a price for each change of language, lower at sentence ends.
-Capitalised words that no sample holds in lower case are taken for names and go with their surroundings.
+trigrams of a language's samples are bundled by adding them. Prototypes are refined by the usual retraining (windows
+of samples that go to the wrong prototype are added to the right one and taken from the wrong one), then the mean of all
+languages is taken from each and they are brought to length 1. A text's bundle is compared with them by cosine.
+
+As bundling is linear, a product of a bundle with a prototype is the sum of those of its trigrams, so each distinct
+trigram and word is computed once per worker and kept; the length of a bundle is that of independent
+vectors, the root of the sum of squared trigram counts. Stretches come from the best path through all words of a text
+(Viterbi) with a price for each change of language. Capitalised words that no sample holds in lower case are taken for names,
+and like numbers and words with digits in them they go with their surroundings. A stretch whose cosine is under ``FLOOR`` is of no
+known language (``und``): names, numbers, codes, other scripts.
 """
 
 from __future__ import annotations
@@ -26,7 +27,9 @@ from pyspark.sql import functions as F
 from lectern.llm.words import TAG, WORD
 
 TOKEN = re.compile(r"[^\W_]+|[.!?…\n]+")
-BLOCK = 4096
+FLOOR = 0.08
+UNKNOWN = "und"
+_CELLS = 1 << 21
 
 # Spellings of language labels, as ISO 639-1, ISO 639-2 (both kinds) and English names.
 LABELS = {
@@ -62,8 +65,6 @@ class Profiles:
         self.vectors = np.zeros((0, dim), np.int8)
         texts = [(self.langs.index(lang), [w for w in TOKEN.findall(t) if w[0].isalnum()]) for lang, t in samples]
         self.lower = {w for _, ws in texts for w in ws if w == w.lower()}
-        self.grams: dict[str, int] = {}
-        self.words: dict[str, int] = {}
         vocabulary = sorted({w for _, ws in texts for w in ws})
         grams = sorted({g for w in vocabulary for g in self._cut(w)})
         at = {g: i for i, g in enumerate(grams)}
@@ -98,9 +99,18 @@ class Profiles:
             np.add.at(bundle, y[bad], 0.02 * x[bad])
             np.add.at(bundle, wrong[bad], -0.02 * x[bad])
         bundle /= np.linalg.norm(bundle, axis=1, keepdims=True)
-        self.prototype = bundle - bundle.mean(axis=0)
+        bundle -= bundle.mean(axis=0)
+        self.prototype = bundle / np.maximum(np.linalg.norm(bundle, axis=1, keepdims=True), 1e-9)
+        self.forget()
+
+    def forget(self) -> None:
+        k = len(self.langs)
+        self.letters, self.vectors = {}, np.zeros((0, self.dim), np.int8)
+        self.grams, self.words = {}, {}
         self.gram_score = np.zeros((0, k), np.float32)
-        self.word_score = np.zeros((0, k + 1), np.float32)
+        self.word_score = np.zeros((0, k), np.float32)
+        #: Trigrams of all words one after another, and where each word's begin; words that tell nothing have none.
+        self.flat, self.first = np.zeros(0, np.int64), np.zeros(1, np.int64)
 
     def _name(self, w: str) -> bool:
         return w[0].isupper() and w[1:] == w[1:].lower() and w.lower() not in self.lower
@@ -124,74 +134,88 @@ class Profiles:
 
     def learn(self, tokens: set[str]) -> None:
         """Add the scores of new words."""
-        if len(self.words) > 1 << 18:
-            self.words.clear()
-            self.word_score = self.word_score[:0]
+        if len(self.words) > 1 << 18 or len(self.grams) > 1 << 18 or len(self.letters) > 1 << 14:
+            self.forget()
         new = [w for w in tokens if w not in self.words]
         if not new:
             return
-        cuts = [self._cut(w) for w in new]
+        cuts = [() if self._name(w) or not w.isalpha() else self._cut(w) for w in new]
         grams = sorted({g for c in cuts for g in c} - self.grams.keys())
         for low in range(0, len(grams), 4096):
             part = grams[low : low + 4096]
             self.grams.update({g: len(self.grams) + i for i, g in enumerate(part)})
             score = self._bind(part).astype(np.float32) @ self.prototype.T / np.sqrt(self.dim)
             self.gram_score = np.concatenate([self.gram_score, score.astype(np.float32)])
-        flat = np.array([self.grams[g] for c in cuts for g in c])
+        flat = np.array([self.grams[g] for c in cuts for g in c], np.int64)
         n = np.array([len(c) for c in cuts])
-        sums = np.add.reduceat(self.gram_score[flat], np.cumsum(n) - n)
-        dull = np.array([self._name(w) or w.isdigit() for w in new])
-        sums[dull] = 0
+        sums = np.zeros((len(new), len(self.langs)), np.float32)
+        sums[n > 0] = np.add.reduceat(self.gram_score[flat], (np.cumsum(n) - n)[n > 0]) if len(flat) else 0
         self.words.update({w: len(self.word_score) + i for i, w in enumerate(new)})
-        self.word_score = np.concatenate([self.word_score, np.concatenate([sums, np.where(dull, 0, n)[:, None]], 1).astype(np.float32)])
+        self.word_score = np.concatenate([self.word_score, sums])
+        self.flat, self.first = np.concatenate([self.flat, flat]), np.concatenate([self.first, self.first[-1] + np.cumsum(n)])
+
+    def cosines(self, ids: np.ndarray, of: np.ndarray, n: int) -> np.ndarray:
+        """(n, languages): cosine of each of n stretches; ``ids`` are the words of stretch ``of``."""
+        k = self.first[ids + 1] - self.first[ids]
+        gram = self.flat[np.repeat(self.first[ids] - (np.cumsum(k) - k), k) + np.arange(int(k.sum()))]
+        code, count = np.unique(np.repeat(of, k) * len(self.grams) + gram, return_counts=True) if len(gram) else (np.zeros(0, np.int64), np.zeros(0, np.int64))
+        square = np.bincount(code // max(1, len(self.grams)), count.astype(np.float64) ** 2, minlength=n)
+        begin = np.flatnonzero(np.append(True, np.diff(of) != 0)) if len(of) else np.zeros(0, np.int64)
+        sums = np.zeros((n, len(self.langs)))
+        if len(of):
+            sums[of[begin]] = np.add.reduceat(self.word_score[ids].astype(np.float64), begin)
+        return sums / np.sqrt(np.maximum(square, 1.0))[:, None]
 
-    def paths(self, texts: list[str], change: float, inside: float) -> tuple[list[list[tuple[int, int, int, float]]], np.ndarray]:
-        """For each text its stretches (first word, end word, language, confidence), and its word counts."""
+    def paths(self, texts: list[str], change: float, inside: float) -> list[list[tuple[int, int, int, float]]]:
+        """For each text its stretches (first word, end word, language or -1, confidence)."""
         split = [TOKEN.findall(t) for t in texts]
         self.learn({w for ws in split for w in ws if w[0].isalnum()})
         get = self.words.get
-        rows, ends, owner, base = [], [], [], []
-        count = np.zeros(len(texts), np.int64)
+        rows, ends, owner = [], [], []
         for k, tokens in enumerate(split):
             ids = np.array([get(w, -1) for w in tokens], np.int64)
             word = ids >= 0
             stop = np.zeros(int(word.sum()) + 1, bool)
             stop[np.cumsum(word)[~word]] = True
-            stop = stop[:-1]
-            ids = ids[word]
-            count[k] = len(ids)
-            for low in range(0, len(ids), BLOCK):
-                rows.append(ids[low : low + BLOCK])
-                ends.append(stop[low : low + BLOCK])
+            if word.any():
+                rows.append(ids[word])
+                ends.append(stop[:-1])
                 owner.append(k)
-                base.append(low)
         out: list[list[tuple[int, int, int, float]]] = [[] for _ in texts]
         order = sorted(range(len(rows)), key=lambda i: -len(rows[i]))
-        for low in range(0, len(order), 2048):
-            part = order[low : low + 2048]
-            for i, lang in zip(part, self._viterbi([rows[i] for i in part], [ends[i] for i in part], change, inside)):
-                edge = np.flatnonzero(np.diff(lang)) + 1
-                for a, b in zip([0, *edge.tolist()], [*edge.tolist(), len(lang)]):
-                    s = self.word_score[rows[i][a:b]].sum(axis=0)
-                    out[owner[i]].append((base[i] + a, base[i] + b, int(lang[a]), self.confidence(s[:-1], s[-1])[int(lang[a])]))
-        for k, parts in enumerate(out):
-            parts.sort()
-            merged: list[tuple[int, int, int, float]] = []
-            for p in parts:  # blocks of very long texts
-                if merged and merged[-1][2] == p[2]:
-                    q = merged.pop()
-                    n, m = q[1] - q[0], p[1] - p[0]
-                    p = (q[0], p[1], p[2], (q[3] * n + p[3] * m) / (n + m))
-                merged.append(p)
-            out[k] = merged
-        return out, count
+        low = 0
+        while low < len(order):  # texts side by side, the longest first
+            part = order[low : low + max(1, _CELLS // len(rows[order[low]]))]
+            low += len(part)
+            found = self._viterbi([rows[i] for i in part], [ends[i] for i in part], change, inside)
+            size = np.array([len(x) for x in found])
+            lang = np.concatenate(found)
+            begin = np.cumsum(size) - size
+            new = np.append(True, np.diff(lang) != 0)
+            new[begin] = True
+            edge = np.flatnonzero(new)
+            of = np.cumsum(new) - 1
+            cos = self.cosines(np.concatenate([rows[i] for i in part]), of, len(edge))
+            which = lang[edge].astype(int)
+            sure = self.confidence(cos)[np.arange(len(edge)), which]
+            own = cos[np.arange(len(edge)), which]
+            text = np.searchsorted(begin, edge, "right") - 1
+            stop = np.append(edge[1:], len(lang))
+            for t, a, z, w, c, p in zip(text.tolist(), edge.tolist(), stop.tolist(), which.tolist(), own.tolist(), sure.tolist()):
+                if c < FLOOR:
+                    w, p = -1, 1 - max(0.0, c) / FLOOR
+                parts, a, z = out[owner[part[t]]], a - int(begin[t]), z - int(begin[t])
+                if parts and parts[-1][2] == w:  # both of no known language
+                    q = parts.pop()
+                    a, p = q[0], (q[3] * (q[1] - q[0]) + p * (z - a)) / (z - q[0])
+                parts.append((a, z, w, p))
+        return out
 
     @staticmethod
-    def confidence(score: np.ndarray, grams: float, sharp: float = 60.0) -> np.ndarray:
-        """Softmax of the cosines of a text of ``grams`` trigrams."""
-        cos = score / max(1.0, float(grams))
-        e = np.exp(sharp * (cos - cos.max()))
-        return e / e.sum()
+    def confidence(cos: np.ndarray, sharp: float = 20.0) -> np.ndarray:
+        """Softmax of cosines over languages."""
+        e = np.exp(sharp * (cos - cos.max(axis=1, keepdims=True)))
+        return e / e.sum(axis=1, keepdims=True)
 
     def _viterbi(self, rows: list[np.ndarray], ends: list[np.ndarray], change: float, inside: float) -> list[np.ndarray]:
         """Best language of every word; rows are sorted by length, longest first."""
@@ -230,13 +254,13 @@ class Profiles:
 def _segment_batches(batches: Iterator[pa.RecordBatch], profiles: Profiles, change: float, inside: float) -> Iterator[pa.RecordBatch]:
     for b in batches:
         texts = [TAG.sub(lambda m: " " * len(m[0]), t) if "<" in t else t for t in b.column("__text").to_pylist()]
-        paths, _ = profiles.paths(texts, change, inside)
+        paths = profiles.paths(texts, change, inside)
         owner, cols = [], ([], [], [], [], [], [])
         for k, parts in enumerate(paths):
             spans = [m.span() for m in WORD.finditer(texts[k])] if len(parts) > 1 else []
             for i, (a, z, lang, sure) in enumerate(parts):
                 owner.append(k)
-                row = (i, profiles.langs[lang], float(sure), z - a, spans[a][0] if i else 0, spans[z][0] if i < len(parts) - 1 else len(texts[k]))
+                row = (i, profiles.langs[lang] if lang >= 0 else UNKNOWN, float(sure), z - a, spans[a][0] if i else 0, spans[z][0] if i < len(parts) - 1 else len(texts[k]))
                 for c, x in zip(cols, row):
                     c.append(x)
         idx = pa.array(owner, pa.int64())
@@ -251,15 +275,15 @@ def language_segments(
     key: str = "variant_id",
     text: str = "text",
     max_samples: int = 5_000,
-    change: float = 1.1,
-    inside: float = 2.2,
+    change: float = 0.6,
+    inside: float = 0.7,
 ) -> DataFrame:
     """The stretches of each text by language.
 
     One row per stretch: ``<doc>, <key>, segment_no, lang, confidence, n_words, char_begin, char_end``;
     stretches cover the text without gaps. Texts without a word, null texts and null document ids give
     no rows; empty tables give none; repeated rows give their rows again; other columns are not read.
-    Ties between languages go to the code that sorts first. The profiles are fitted on at most
+    Ties between languages go to the code that sorts first; stretches of no known language are ``und``. The profiles are fitted on at most
     ``max_samples`` labelled rows (the smallest by text hash), on the driver.
     """
     rows = samples.where(F.col("lang").isNotNull() & F.col("text").isNotNull()).select("lang", "text").orderBy(F.xxhash64("text"), "lang").limit(max_samples).collect()
@@ -290,7 +314,7 @@ def document_languages(segments: DataFrame, doc: str = "doc_uuid", min_words: in
 
 def missing_labels(segments: DataFrame, items: DataFrame, doc: str = "doc_uuid", min_words: int = 12) -> DataFrame:
     """``<doc>, lang`` of stretches of ``min_words`` whose language no ``language`` item of the document names."""
-    found = segments.where(F.col("n_words") >= min_words).select(doc, "lang").distinct()
+    found = segments.where((F.col("n_words") >= min_words) & (F.col("lang") != UNKNOWN)).select(doc, "lang").distinct()
     named = items.where((F.col("kind") == "categorization") & (F.col("category") == "language")).select(doc, F.explode("value").alias("label"))
     named = named.select(doc, label_code(F.col("label")).alias("lang")).where("lang is not null").distinct()
     return found.join(named, [doc, "lang"], "left_anti")
