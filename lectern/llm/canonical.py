@@ -2,38 +2,36 @@
 
 Method: values are made distinct and normalised; candidates come from an inverted index of character
 n-grams over the list's entries (names, aliases, and both with their words turned round); each is scored by
-cosine weighted with inverse frequency; the best is accepted above a threshold if it leads the best
-entry with another meaning by a margin. Near the threshold an edit distance over letters decides. A single
-long word means the entry whose name holds it, if no other name does; a value that is cut short means the only
-entry that begins so.
+weighted cosine; the best is accepted if its score reaches a threshold and leads that of the best other entry by
+a margin.
 
-The list is bounded (``max_entries``, checked); the values aren't, and are never collected.
+N-grams are runs of two and three letters, and runs of three with their letters in sorted order, which letters that
+changed places still share. They are hashed to ``1 << BITS`` places. A weight is the log of the inverse frequency among
+all distinct values, so what people put around a value counts little; n-grams of no entry keep
+``FAINT`` of their weight, as they tell how much of a value no entry explains.
+
+Entries go out in blocks of at most ``block_entries``, each of which sees all values; weights don't depend on blocks, so
+any number of entries gives the same result.
 """
 
 from __future__ import annotations
 
 import re
 import unicodedata
-from collections import defaultdict
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lectern.plans import cut_lineage, join_checked
 
-# Phrases around a value that don't change what it means.
-LABEL = ("theme", "themes", "tag", "tags", "genre")
-BEFORE = ("lots of", "a lot of", "a bit of", "a little", "some", "mostly", "mainly", "very", "kind of", "sort of")
-AFTER = ("kind of story", "sort of story", "type of story", "story", "stories", "trope", "tropes", "theme", "themes", "ish", "vibes", "stuff", "style", "plot", "etc", "i guess")
+BITS, FAINT = 20, 0.1
 
 _CAMEL = re.compile(r"(?<=[a-zà-ÿ])(?=[A-ZÀ-Þ])")
 _OTHER = re.compile(r"[^\w]+|_+")
-_LABEL = re.compile(rf"^\W*(?:{'|'.join(LABEL)})\s*[:=]\s*(?=\w)", re.I)
-_BEFORE = re.compile(rf"^(?:{'|'.join(sorted(BEFORE, key=len, reverse=True))}) +(?=\S)")
-_AFTER = re.compile(rf"(?<=\S) +(?:{'|'.join(sorted(AFTER, key=len, reverse=True))})$")
 
 
 def fold(value: str) -> str:
@@ -43,121 +41,101 @@ def fold(value: str) -> str:
     return _OTHER.sub(" ", v).strip().lower()
 
 
-def forms(value: str) -> list[str]:
-    """The folded value, and without what may stand around it."""
-    out = [fold(_LABEL.sub("", value))]
-    for cut in (_BEFORE, _AFTER):
-        for w in list(out):
-            if (x := cut.sub("", w)) != w and x not in out:
-                out.append(x)
-    return out
+def turned(folded: str) -> list[str]:
+    """A spelling and those with its first or last word at the other end."""
+    w = folded.split()
+    return list(dict.fromkeys([folded, " ".join(w[1:] + w[:1]), " ".join(w[-1:] + w[:-1])])) if w else []
+
+
+class Grams(dict):
+    """n-gram -> its place, kept per task."""
 
+    def __missing__(self, g: str) -> int:
+        if len(self) >= 1 << 18:
+            self.clear()
+        at = self[g] = xxhash.xxh32_intdigest(g.encode("utf-8", "surrogatepass")) >> (32 - BITS)
+        return at
 
-def grams(folded: str) -> list[str]:
-    p = f"^{folded.replace(' ', '')}$"
-    return [p[i : i + n] for n in (2, 3) for i in range(len(p) - n + 1)]
+    def of(self, folded: str) -> list[int]:
+        p = f"^{folded.replace(' ', '')}$"
+        three = [p[i : i + 3] for i in range(len(p) - 2)]
+        return [self[g] for g in (*(p[i : i + 2] for i in range(len(p) - 1)), *three, *("~" + "".join(sorted(g)) for g in three))]
 
 
-def edits(a: str, b: str) -> int:
-    """Edit distance where exchanged neighbours count once (optimal alignment)."""
-    before, row = [], list(range(len(b) + 1))
-    for i, x in enumerate(a, 1):
-        new = [i]
-        for j, y in enumerate(b, 1):
-            d = min(row[j] + 1, new[-1] + 1, row[j - 1] + (x != y))
-            if i > 1 and j > 1 and x == b[j - 2] and y == a[i - 2]:
-                d = min(d, before[j - 2] + 1)
-            new.append(d)
-        before, row = row, new
-    return row[-1]
+def _flat(lists: list[list[int]], weight: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(row, place, weight) of lists of places as unit vectors; places may repeat."""
+    n = np.array([len(x) for x in lists], np.int64)
+    row = np.repeat(np.arange(len(n)), n)
+    code, count = np.unique(row << BITS | np.fromiter((g for x in lists for g in x), np.int64, int(n.sum())), return_counts=True)
+    row, at = code >> BITS, code & ((1 << BITS) - 1)
+    w = count * weight[at]
+    norm = np.sqrt(np.bincount(row, w * w, minlength=len(n)))
+    return row, at, w / np.maximum(norm[row], 1e-12)
 
 
 class Entries:
-    """Inverted n-gram index over the list."""
-
-    LONG_WORD = 6
-
-    def __init__(self, rows: list[tuple[int, str, bool]]) -> None:
-        spelled = {}
-        holds: dict[str, set[int]] = defaultdict(set)
-        for k, name, own in rows:
-            for w in fold(name).split() if own else ():
-                holds[w].add(k)
-            f = fold(name)
-            if not f:
-                continue
-            spelled.setdefault(f, k)
-            words = f.split()
-            if len(words) > 1:
-                spelled.setdefault(" ".join(words[1:] + words[:1]), k)
-                spelled.setdefault(" ".join(words[-1:] + words[:-1]), k)
-        self.names, self.ids = list(spelled), list(spelled.values())
-        self.exact = {}
-        for f, k in spelled.items():
-            self.exact.setdefault(f.replace(" ", ""), k)
-        self.words = {w: min(ks) for w, ks in holds.items() if len(ks) == 1 and len(w) >= self.LONG_WORD}
-        df: dict[str, int] = defaultdict(int)
-        for f in spelled:
-            for g in set(grams(f)):
-                df[g] += 1
-        n = len(spelled)
-        self.idf = {g: float(np.log(1 + n / d)) for g, d in df.items()}
-        self.unseen = float(np.log(1 + n))
-        self.post: dict[str, list[tuple[int, float]]] = defaultdict(list)
-        for i, f in enumerate(spelled):
-            v = self.vector(f)
-            for g, w in v.items():
-                self.post[g].append((i, w))
-
-    def vector(self, folded: str) -> dict[str, float]:
-        v: dict[str, float] = defaultdict(float)
-        for g in grams(folded):
-            v[g] += self.idf.get(g, self.unseen)
-        norm = sum(w * w for w in v.values()) ** 0.5
-        return {g: w / norm for g, w in v.items()} if norm else {}
-
-    def best(self, folded: str, keep: int = 6) -> list[tuple[float, int]]:
-        """The entries nearest by cosine: (score, index)."""
-        score: dict[int, float] = defaultdict(float)
-        for g, w in self.vector(folded).items():
-            for i, x in self.post.get(g, ()):
-                score[i] += w * x
-        return sorted(((s, -i) for i, s in score.items()), reverse=True)[:keep]
-
-    def match(self, value: str, accept: float, margin: float, sure: float) -> tuple[int, float]:
-        """(id or -1, score) of a value."""
-        top = (0.0, -1)
-        whole = fold(value).replace(" ", "")
-        if whole in self.exact:
-            return self.exact[whole], 1.0
-        for form in forms(value):
-            flat = form.replace(" ", "")
-            if flat in self.exact:
-                return self.exact[flat], 1.0
-            if form in self.words:
-                return self.words[form], 0.9
-            begun = {k for f, k in self.exact.items() if f.startswith(flat)} if len(flat) >= self.LONG_WORD else ()
-            if len(begun) == 1:
-                return begun.pop(), 0.9
-            near = [(s, -i) for s, i in self.best(form)]
-            if not near:
-                continue
-            # the exact check: letters, among the candidates that the index gave
-            checked = sorted(((1 - edits(flat, self.names[i].replace(" ", "")) / max(len(flat), len(self.names[i].replace(" ", ""))), s, self.ids[i]) for s, i in near), reverse=True)
-            like, s, k = checked[0]
-            other = max((0.5 * (x + y) for x, y, z in checked if z != k), default=0.0)
-            unlike = max((x for x, _, z in checked if z != k), default=0.0)
-            score = 0.5 * (like + s)
-            if (s >= accept and like >= sure or score >= (accept + sure) / 2 or like >= 0.8) and like >= 0.6 and (score - other >= margin or like - unlike >= 2 * margin) and score > top[0]:
-                top = (score, k)
-        return top[1], top[0]
-
-
-def _map_batches(batches: Iterator[pa.RecordBatch], rows: list[tuple[int, str, bool]], accept: float, margin: float, sure: float) -> Iterator[pa.RecordBatch]:
-    entries = Entries(rows)
+    """Inverted n-gram index over a block of entries: (id, spelling) rows, sorted by id."""
+
+    def __init__(self, rows: list[tuple[int, str]], weight: np.ndarray) -> None:
+        self.weight, self.grams = weight, Grams()
+        forms = sorted({(k, f) for k, name in rows for f in turned(fold(name))})
+        self.ids = np.array(sorted({k for k, _ in forms}), np.int64)
+        self.first = np.searchsorted([k for k, _ in forms], self.ids)
+        self.n = len(forms)
+        row, at, w = _flat([self.grams.of(f) for _, f in forms], weight)
+        o = np.argsort(at, kind="stable")
+        self.at, self.form, self.w = at[o], row[o], w[o]
+
+    def best(self, values: list[str], room: int = 1 << 22) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """For each value the entry with the greatest cosine, that cosine, and the greatest of the other entries."""
+        k, top, other = (np.full(len(values), x) for x in (-1, 0.0, 0.0))
+        if not self.n:
+            return k.astype(np.int64), top, other
+        step = max(1, room // self.n)
+        for low in range(0, len(values), step):
+            part = [self.grams.of(fold(v)) for v in values[low : low + step]]
+            row, at, w = _flat(part, self.weight)
+            lo, hi = np.searchsorted(self.at, at, "left"), np.searchsorted(self.at, at, "right")
+            n = hi - lo
+            post = np.repeat(lo - (np.cumsum(n) - n), n) + np.arange(int(n.sum()))
+            cosine = np.bincount(np.repeat(row, n) * self.n + self.form[post], np.repeat(w, n) * self.w[post], minlength=len(part) * self.n)
+            per = np.maximum.reduceat(cosine.reshape(len(part), self.n), self.first, axis=1)
+            each, i = np.arange(len(part)), per.argmax(axis=1)
+            k[low : low + step], top[low : low + step] = self.ids[i], per[each, i]
+            per[each, i] = 0
+            other[low : low + step] = per.max(axis=1)
+        return k.astype(np.int64), top, other
+
+
+def _best_batches(batches: Iterator[pa.RecordBatch], rows: list[tuple[int, str]], weight: np.ndarray) -> Iterator[pa.RecordBatch]:
+    entries = Entries(rows, weight)
+    for b in batches:
+        k, top, other = entries.best(b.column("value").to_pylist())
+        yield pa.RecordBatch.from_arrays([b.column("value"), pa.array(k), pa.array(top), pa.array(other)], ["value", "k", "top", "other"])
+
+
+def _place_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(place, n): in how many values each n-gram is; place -1 counts the values."""
+    grams, total = Grams(), np.zeros((1 << BITS) + 1, np.int64)
     for b in batches:
-        found = [entries.match(v, accept, margin, sure) for v in b.column("value").to_pylist()]
-        yield pa.RecordBatch.from_arrays([b.column("value"), pa.array([k for k, _ in found], pa.int32()), pa.array([s for _, s in found], pa.float64())], ["value", "entry", "score"])
+        for v in b.column(0).to_pylist():
+            total[list({*grams.of(fold(v)), -1})] += 1
+    at = np.flatnonzero(total)
+    yield pa.RecordBatch.from_arrays([pa.array(np.where(at == 1 << BITS, -1, at).astype(np.int32)), pa.array(total[at])], ["place", "n"])
+
+
+def weights(values: DataFrame, spellings: DataFrame) -> np.ndarray:
+    """The weight of every place, from all distinct values and all spellings of the entries (one column each)."""
+    count = lambda df: {r.place: r.n for r in df.mapInArrow(_place_counts, "place int, n long").groupBy("place").agg(F.sum("n").alias("n")).collect()}
+    df = np.zeros(1 << BITS)
+    held = count(values)
+    total = held.pop(-1, 0)
+    df[list(held)] = list(held.values())
+    w = np.log1p(total / np.maximum(df, 1))
+    faint = np.ones(1 << BITS, bool)
+    faint[[p for p in count(spellings) if p >= 0]] = False
+    w[faint] *= FAINT
+    return w
 
 
 def map_values(
@@ -168,28 +146,41 @@ def map_values(
     name: str = "theme",
     aliases: str = "aliases",
     accept: float = 0.45,
-    margin: float = 0.05,
-    sure: float = 0.7,
-    max_entries: int = 100_000,
+    margin: float = 0.02,
+    block_entries: int = 20_000,
 ) -> DataFrame:
     """``value, entry, score`` for every distinct non-blank value; ``entry`` is -1 where none is accepted.
 
-    Ties between entries leave a value unmatched (the margin). Null and blank values give no rows, an empty
-    list leaves all values unmatched, an empty table gives no rows.
+    ``score`` is the cosine of the entry, or of the best one where none is accepted. A value whose best entries tie, such as an
+    alias of two, is unmatched (the margin). Null and blank values give no rows, an empty list leaves all values
+    unmatched, an empty table gives no rows, null entry ids are no entries.
     """
-    listed = entries.select(F.col(entry_id).cast("int").alias("k"), F.posexplode(F.concat(F.array(name), F.coalesce(F.col(aliases), F.array().cast("array<string>")))))
-    rows = [(r[0], r[2], r[1] == 0) for r in listed.where("col is not null").orderBy("k", "pos").limit(max_entries + 1).collect()]
-    if len(rows) > max_entries:
-        raise ValueError(f"more than {max_entries} entries")
     each = values.select(F.col(value).alias("value")).where(F.trim(F.regexp_replace("value", r"(?U)\s+", " ")) != "").distinct()
-    return each.mapInArrow(lambda it: _map_batches(it, rows, accept, margin, sure), "value string, entry int, score double")
+    # few values are worth many tasks: what is done with each outweighs moving it
+    parts = int(values.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    each = cut_lineage(each.repartition(parts, "value"))
+    listed = entries.where(F.col(entry_id).isNotNull()).select(F.col(entry_id).cast("long").alias("k"), F.explode(F.array_compact(F.array_append(F.coalesce(F.col(aliases), F.array().cast("array<string>")), F.col(name)))).alias("spelling"))
+    listed = cut_lineage(listed)
+    weight = each.sparkSession.sparkContext.broadcast(weights(each, listed.select("spelling")))
+    blocks = max(1, -(-listed.select("k").distinct().count() // block_entries))
+    found = None
+    for i in range(blocks):
+        rows = [(r.k, r.spelling) for r in (listed if blocks == 1 else listed.where(F.pmod(F.xxhash64("k"), F.lit(blocks)) == i)).collect()]
+        mine = each.mapInArrow(lambda it, rows=rows: _best_batches(it, rows, weight.value), "value string, k long, top double, other double")
+        found = mine if found is None else found.unionByName(mine)
+    if blocks > 1:  # the best of all blocks; the best other is one of theirs, or the second of its own
+        first = F.max_by(F.struct("k", "top", "other"), F.struct("top", -F.col("k")))
+        tops = F.array_sort(F.collect_list("top"))
+        found = found.groupBy("value").agg(first.alias("f"), F.coalesce(F.get(tops, F.size(tops) - 2), F.lit(0.0)).alias("second")).select("value", "f.k", "f.top", F.greatest("f.other", "second").alias("other"))
+    sure = (F.col("top") >= accept) & (F.col("top") - F.col("other") >= margin)
+    return found.select("value", F.when(sure, F.col("k")).otherwise(-1).cast("int").alias("entry"), F.col("top").alias("score"))
 
 
 def map_tags(rows: DataFrame, entries: DataFrame, key: str = "response_id", tags: str = "themes", **parameters) -> DataFrame:
     """``<key>, tag_no, tag, theme_id, score`` of every tag that isn't null, blank or spelled like a ``theme``."""
     placed = rows.select(F.col(key).alias("__key"), F.posexplode(tags).alias("tag_no", "value"))
-    names = F.broadcast(entries.where("theme is not null").select(F.col("theme").alias("value")).distinct().limit(100_000))
-    placed = placed.where(F.trim(F.regexp_replace("value", r"(?U)\s+", " ")) != "").join(names, "value", "left_anti")
+    names = cut_lineage(entries.where("theme is not null").select(F.col("theme").alias("value")).distinct())
+    placed = join_checked(placed.where(F.trim(F.regexp_replace("value", r"(?U)\s+", " ")) != ""), names, "value", "left_anti")
     mapped = cut_lineage(map_values(placed, entries, "value", **parameters))
     out = join_checked(placed, mapped, "value", row_bytes=64)
     return out.select(F.col("__key").alias(key), "tag_no", F.col("value").alias("tag"), F.col("entry").alias("theme_id"), "score")
