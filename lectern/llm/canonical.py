@@ -5,7 +5,7 @@ n-grams over the list's entries (names, aliases, and both with their words turne
 weighted cosine; the best is accepted if its score reaches a threshold and leads that of the best other entry by
 a margin.
 
-N-grams are runs of two and three letters, and runs of three with their letters in sorted order, which letters that
+N-grams are runs of one to three letters, and runs of three with their letters in sorted order, which letters that
 changed places still share. They are hashed to ``1 << BITS`` places. A weight is the log of the inverse frequency among
 all distinct values, so what people put around a value counts little; n-grams of no entry keep
 ``FAINT`` of their weight, as they tell how much of a value no entry explains.
@@ -59,7 +59,7 @@ class Grams(dict):
     def of(self, folded: str) -> list[int]:
         p = f"^{folded.replace(' ', '')}$"
         three = [p[i : i + 3] for i in range(len(p) - 2)]
-        return [self[g] for g in (*(p[i : i + 2] for i in range(len(p) - 1)), *three, *("~" + "".join(sorted(g)) for g in three))]
+        return [self[g] for g in (*p, *(p[i : i + 2] for i in range(len(p) - 1)), *three, *("~" + "".join(sorted(g)) for g in three))]
 
 
 def _flat(lists: list[list[int]], weight: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -114,26 +114,27 @@ def _best_batches(batches: Iterator[pa.RecordBatch], rows: list[tuple[int, str]]
         yield pa.RecordBatch.from_arrays([b.column("value"), pa.array(k), pa.array(top), pa.array(other)], ["value", "k", "top", "other"])
 
 
-def _place_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(place, n): in how many values each n-gram is; place -1 counts the values."""
+def _place_counts(batches: Iterator[pa.RecordBatch], turn: bool = False) -> Iterator[pa.RecordBatch]:
+    """(place, n): in how many values each n-gram is; place -1 counts the values. With ``turn``, turned spellings count too."""
     grams, total = Grams(), np.zeros((1 << BITS) + 1, np.int64)
     for b in batches:
         for v in b.column(0).to_pylist():
-            total[list({*grams.of(fold(v)), -1})] += 1
+            for f in turned(fold(v)) if turn else [fold(v)]:
+                total[list({*grams.of(f), -1})] += 1
     at = np.flatnonzero(total)
     yield pa.RecordBatch.from_arrays([pa.array(np.where(at == 1 << BITS, -1, at).astype(np.int32)), pa.array(total[at])], ["place", "n"])
 
 
 def weights(values: DataFrame, spellings: DataFrame) -> np.ndarray:
     """The weight of every place, from all distinct values and all spellings of the entries (one column each)."""
-    count = lambda df: {r.place: r.n for r in df.mapInArrow(_place_counts, "place int, n long").groupBy("place").agg(F.sum("n").alias("n")).collect()}
+    count = lambda df, turn=False: {r.place: r.n for r in df.mapInArrow(lambda it: _place_counts(it, turn), "place int, n long").groupBy("place").agg(F.sum("n").alias("n")).collect()}
     df = np.zeros(1 << BITS)
     held = count(values)
     total = held.pop(-1, 0)
     df[list(held)] = list(held.values())
     w = np.log1p(total / np.maximum(df, 1))
     faint = np.ones(1 << BITS, bool)
-    faint[[p for p in count(spellings) if p >= 0]] = False
+    faint[[p for p in count(spellings, True) if p >= 0]] = False
     w[faint] *= FAINT
     return w
 
@@ -145,7 +146,7 @@ def map_values(
     entry_id: str = "theme_id",
     name: str = "theme",
     aliases: str = "aliases",
-    accept: float = 0.45,
+    accept: float = 0.5,
     margin: float = 0.02,
     block_entries: int = 20_000,
 ) -> DataFrame:
