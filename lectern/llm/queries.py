@@ -104,6 +104,11 @@ def p7_found(spark: SparkSession, folder: str) -> DataFrame:
     return leakage.leaked_items(table(spark, folder, "documents"), table(spark, folder, "eval_items"))
 
 
+def p7_edited(spark: SparkSession, folder: str) -> DataFrame:
+    """Documents that hold a whole item of 12 words or more with up to 2 words changed, put in or left out."""
+    return leakage.leaked_items(table(spark, folder, "documents"), table(spark, folder, "eval_items"), window=None, max_edits=2, sampled=4)
+
+
 def p7_items(spark: SparkSession, folder: str) -> DataFrame:
     """Per leaked item, the documents that hold part of it."""
     return p7_found(spark, folder).groupBy("item_id").agg(F.count("*").alias("n_docs"), F.min("doc_id").alias("first_doc"))
@@ -125,6 +130,11 @@ def p9_found(spark: SparkSession, folder: str) -> DataFrame:
     return spans.shared_records(table(spark, folder, "documents"))
 
 
+def p9_kept(spark: SparkSession, folder: str) -> DataFrame:
+    """The texts without the sentences that a span of an earlier document covers."""
+    return spans.without_repeated_spans(table(spark, folder, "documents"))
+
+
 def p9_shares(spark: SparkSession, folder: str) -> DataFrame:
     return spans.shared_shares(table(spark, folder, "documents"))
 

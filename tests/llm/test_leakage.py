@@ -64,6 +64,35 @@ def test_edited_passages_reach_the_recall(spark):
     assert len(got) >= 0.95 * len(items) and all(a == b for a, b in got)
 
 
+def test_whole_items_with_edits_match_brute_force(spark):
+    """Windows of the items' own lengths, 0 to 4 random edits: recall against all pairs, and no wrong pair; both ways of searching."""
+    r = random.Random(8)
+    items = [(k, " ".join(f"y{r.randrange(300)}" for _ in range(r.choice([11, 12, 15, 20, 33])))) for k in range(150)]
+    docs = []
+    for k, t in items:
+        ws = t.split()
+        for _ in range(r.randrange(5)):
+            i, kind = r.randrange(len(ws)), r.randrange(3)
+            if kind == 0:
+                ws[i] = "changed"
+            elif kind == 1:
+                ws.insert(i, "more")
+            else:
+                del ws[i]
+        docs.append((k, " ".join([f"b{r.randrange(50)}" for _ in range(r.randrange(20))] + ws + [f"a{r.randrange(50)}" for _ in range(r.randrange(20))])))
+    want = set()
+    for d, text in docs:
+        ws = text.split()
+        for i, t in items:
+            x = t.split()
+            if len(x) >= 12 and any(edit_distance(ws[a : a + len(x)], x, 2) <= 2 for a in range(len(ws) - len(x) + 1)):
+                want.add((d, i))
+    a, b = frames(spark, docs, items)
+    for block in (20_000, 10):
+        got = {(x.doc_id, x.item_id) for x in leaked_items(a, b, window=None, max_edits=2, recall=0.95, sampled=4, block_items=block).collect()}
+        assert got <= want and len(got) >= 0.9 * len(want) > 50, (len(got), len(want))
+
+
 def test_embedding_keeps_equal_windows_and_distances():
     rng = np.random.default_rng(1)
     h = rng.integers(1, 1 << 60, 200).astype(np.uint64)
