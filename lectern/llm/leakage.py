@@ -30,6 +30,7 @@ from pyspark.sql import functions as F
 from lectern.llm.words import WORD, WordHash, mix, shingles
 
 PAIR_BITS = 22
+_LADDER = [int(8 * 1.3**k) for k in range(24)]
 
 
 def cgk(h: np.ndarray, window: int, seed: int, at: np.ndarray) -> np.ndarray:
@@ -156,7 +157,9 @@ class Search:
         self.window, self.max_edits, self.recall, self.sampled, self.least = window, max_edits, recall, sampled, least
 
     def repetitions(self, window: int) -> int:
-        return repetitions(self.max_edits, self.recall, self.sampled, window)
+        # measured at a few lengths: edits disturb a shorter window more, so the next one below is on the safe side
+        step = max((n for n in _LADDER if n <= window), default=window)
+        return repetitions(self.max_edits, self.recall, self.sampled, step)
 
 
 class ItemIndex:
