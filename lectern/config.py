@@ -5,23 +5,24 @@ from __future__ import annotations
 import os
 import re
 from collections.abc import Callable
+from string import Template
 from typing import Any
 
 from lectern.model import Corpus
 from lectern.operators import enrich, refine
 from lectern.operators.meta import refresh
 
-_VAR = re.compile(r"\$(?:\{(\w+)\}|(\w+))")
-
-
 def interpolate(node: Any, env: dict[str, str] | None = None) -> Any:
     """``$X`` and ``${X}`` in all strings replaced from the environment; unset ones stay."""
-    env = os.environ if env is None else env
-    if isinstance(node, dict):
-        return {k: interpolate(v, env) for k, v in node.items()}
-    if isinstance(node, list):
-        return [interpolate(v, env) for v in node]
-    return _VAR.sub(lambda m: env.get(m[1] or m[2], m[0]), node) if isinstance(node, str) else node
+    known = dict(os.environ if env is None else env)
+    match node:
+        case str():
+            return Template(node).safe_substitute(known)
+        case list():
+            return [interpolate(x, known) for x in node]
+        case dict():
+            return dict(zip(node, interpolate(list(node.values()), known)))
+    return node
 
 
 def literal(text: str) -> Any:

@@ -184,11 +184,15 @@ def posts(html: str | None) -> list[dict]:
     title = heading.text().strip() if heading else ""
     out = []
     for i, post in enumerate(n for n in root.walk() if n.tag == "article" and {"message", "message--post"} <= n.classes()):
-        links = [n.attrs.get("href", "") for n in post.walk() if n.tag == "a"]
-        href = next((h for h in links if re.search(r"/post(?:s/|-)\d+", h)), "")
+        # what the post says about itself stands outside of its body, where anyone may be quoted
+        written = next((n for n in post.walk() if n is not post and n.classes() & {"message-userContent", "message-body", "bbWrapper"}), None)
+        inside = set(map(id, written.walk())) if written else set()
+        own = [n for n in post.walk() if id(n) not in inside]
+        links = [n.attrs.get("href", "") for n in own if n.tag == "a"]
+        href = next((h for h in links if re.search(patterns.POST_URL, h)), "")
         post_id = _first(_number(patterns.POST_DATA, post.attrs.get("data-content")), _number(patterns.POST_ELEMENT, post.attrs.get("id")), next((x for x in (_number(patterns.POST_LINK, h) for h in links) if x), ""))
-        parent = post.find("meta", itemprop="parentItem")
-        thread_url = re.sub(r"/?post-\d+/?$", "", _first(parent.attrs.get("itemid") if parent else "", next((h for h in links if "threads/" in h), "")))
+        parent = next((n for n in own if n.tag == "meta" and n.attrs.get("itemprop") == "parentItem"), None)
+        thread_url = re.sub(r"/?post-\d+/?$", "", _first(parent.attrs.get("itemid") if parent else "", next((h for h in links if re.search(patterns.THREAD_URL, h)), "")))
         m = _THREAD.search(thread_url if thread_url.endswith("/") else thread_url + "/")
         body = post.find("div", "message-userContent")
         body = body.find("article", "message-body") or body.find("div", "bbWrapper") or body if body else post.find("article", "message-body") or post.find("div", "bbWrapper")
@@ -196,11 +200,11 @@ def posts(html: str | None) -> list[dict]:
         text = "".join(map(_source, inner.children)).strip() if inner else ""
         if not (post_id and m and text):
             continue
-        user = post.find("", "username")
-        time = post.find("time")
+        user = next((n for n in own if n.tag == "a" and n.attrs.get("data-user-id")), None)
+        time = next((n for n in own if n.tag == "time"), None)
         out.append(
             {
-                "post_index": i,
+                "post_index": i + 1,
                 "post_id": post_id,
                 "post_url": href,
                 "thread_id": m[2],

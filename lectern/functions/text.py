@@ -62,13 +62,15 @@ def normal_gender(c: Column) -> Column:
 
 
 def paragraphs(c: Column) -> Column:
-    """Non-empty paragraphs, parted by blank lines."""
-    return F.filter(F.transform(F.split(c, patterns.PARAGRAPH_END), strip), lambda p: p != "")
+    """Non-empty paragraphs, parted by lines without a visible character."""
+    line_end, blank_line = r"\r?\n", r"(?:[^\S\n]*\n)+"
+    return F.filter(F.transform(F.split(c, f"(?U){line_end}{blank_line}"), strip), lambda p: p != "")
 
 
 def joined_lines(c: Column) -> Column:
-    """A paragraph on one line: words hyphenated at line ends joined, white space collapsed."""
-    return strip(F.regexp_replace(F.regexp_replace(c, patterns.HYPHENATED, "$1$2"), r"(?U)\s+", " "))
+    """A paragraph on one line: a word that a line end parts at its hyphen is made whole, white space collapsed."""
+    whole = F.regexp_replace(c, r"(?U)(?<=\w)-\n\s*(?=\w)", "")
+    return strip(F.regexp_replace(whole, r"(?U)\s+", " "))
 
 
 def content_address(c: Column) -> Column:

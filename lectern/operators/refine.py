@@ -12,17 +12,20 @@ from lectern.functions.html import html_to_markdown
 from lectern.functions.text import strip
 from lectern.model import KINDS, Corpus
 from lectern.operators.meta import annotate, unannotate
-from lectern.operators.select import of_kinds, preferred_text, uuid_targets
+from lectern.operators.select import delivery, of_kinds, preferred_text, uuid_targets
 from lectern.plans import cut_lineage
 from lectern.plans.ordering import numbered
 
 
 def upsert_variant(variants: DataFrame, new: DataFrame, name: str) -> DataFrame:
-    """Variants with those of ``new`` (doc_uuid, item_id, text) under ``name``; other columns come from the original.
+    """Variants with those of ``new`` (doc_uuid, item_id, text) under ``name``; other columns come from the latest original.
 
-    Items that have the variant already get the new text in its place.
+    Items that have the variant already get the new text in its place. Each new variant has an id of its own, which
+    follows from document, item and name.
     """
-    base = variants.where("name = 'original'").join(new.withColumnRenamed("text", "__text"), ["doc_uuid", "item_id"]).withColumns({"name": F.lit(name), "text": F.col("__text")}).drop("__text")
+    base = variants.where("name = 'original'").groupBy("doc_uuid", "item_id").agg(F.max_by(F.struct(*(c for c in variants.columns if c not in ("doc_uuid", "item_id"))), delivery(variants)).alias("v")).select("doc_uuid", "item_id", "v.*").join(new.withColumnRenamed("text", "__text"), ["doc_uuid", "item_id"]).withColumns({"name": F.lit(name), "text": F.col("__text")}).drop("__text")
+    if "variant_id" in variants.columns:
+        base = base.withColumn("variant_id", F.xxhash64("doc_uuid", "item_id", "name").cast(variants.schema["variant_id"].dataType))
     rest = variants.join(new.select("doc_uuid", "item_id", F.lit(name).alias("name")), ["doc_uuid", "item_id", "name"], "left_anti")
     return rest.select(variants.columns).unionByName(base.select(variants.columns))
 
@@ -32,7 +35,7 @@ def refine_markdown(corpus: Corpus, kinds: tuple[str, ...] = ("narrative",), pre
     corpus = corpus.complete()
     at = of_kinds(corpus.items, list(kinds)).select("doc_uuid", "item_id")
     rank = F.array_position(F.array(*map(F.lit, preferred)), F.col("name"))
-    texts = corpus.variants.where(F.col("name").isin(*preferred)).groupBy("doc_uuid", "item_id").agg(F.min_by("text", rank).alias("text"))
+    texts = corpus.variants.where(F.col("name").isin(*preferred)).groupBy("doc_uuid", "item_id").agg(F.max_by("text", F.struct(-rank, delivery(corpus.variants))).alias("text"))
     new = texts.join(at, ["doc_uuid", "item_id"], "left_semi").where("text is not null").withColumn("text", html_to_markdown("text"))
     done = new.select("doc_uuid").distinct().withColumn("__done", F.lit(True))
     meta = corpus.meta.join(done, "doc_uuid", "left").withColumn("annotations", F.when(F.col("__done"), annotate(unannotate(F.col("annotations"), name), name, "HTML converted to Markdown")).otherwise(F.col("annotations"))).drop("__done")

@@ -55,17 +55,23 @@ def without_categories(meta: DataFrame, items: DataFrame, *categories: str) -> D
     return meta.join(done, "doc_uuid", "left_anti")
 
 
+def delivery(variants: DataFrame) -> Column:
+    """What orders the deliveries of one variant, the latest last."""
+    return F.struct(*(c for c in ("ingested_at", "variant_id") if c in variants.columns), F.xxhash64("text").alias("h"))
+
+
 def preferred_text(variants: DataFrame, preferred: list[str]) -> DataFrame:
-    """One text per item: of the first preferred variant name that isn't blank, else the first that isn't blank.
+    """One text per item: of the first preferred variant name that isn't blank, else the first of the others that isn't blank.
 
-    ``doc_uuid, item_id, name, text`` (stripped). Among variants of one rank the smallest ``variant_id`` counts.
+    ``doc_uuid, item_id, name, text`` (stripped). Of a variant that was delivered again the latest counts.
     """
     rank = F.lit(len(preferred))
     for i, name in reversed(list(enumerate(preferred))):
         rank = F.when(F.col("name") == name, F.lit(i)).otherwise(rank)
-    some = variants.select("doc_uuid", "item_id", "name", "variant_id", strip(F.col("text")).alias("text")).where("text <> ''")
-    best = some.groupBy("doc_uuid", "item_id").agg(F.min_by(F.struct("name", "text"), F.struct(rank.alias("rank"), F.col("variant_id"))).alias("best"))
-    return best.select("doc_uuid", "item_id", "best.name", "best.text")
+    some = variants.withColumn("text", strip(F.col("text"))).where("text <> ''")
+    one, wanted = F.struct("name", "text"), rank < len(preferred)
+    best = some.groupBy("doc_uuid", "item_id").agg(F.max_by(F.when(wanted, one), F.when(wanted, F.struct((-rank).alias("rank"), delivery(some)))).alias("a"), F.min_by(F.when(~wanted, one), F.when(~wanted, F.col("variant_id"))).alias("b"))
+    return best.select("doc_uuid", "item_id", F.coalesce("a", "b").alias("best")).select("doc_uuid", "item_id", "best.name", "best.text")
 
 
 def first_per(df: DataFrame, keys: list[str], order: list[Column], n: int = 1) -> DataFrame:

@@ -102,7 +102,7 @@ issues as (
 
 _WINDOW_TEXTS = f"""
 best as (
-  select doc_uuid, item_id, arg_min(t, row(case when name = 'original' then 0 else 1 end, variant_id)) as t
+  select doc_uuid, item_id, arg_max(t, row(case when name = 'original' then 1 else 0 end, ingested_at, variant_id)) as t
   from (select *, {_strip('text')} as t from content_variants) where t <> '' group by doc_uuid, item_id
 )
 """
@@ -156,7 +156,7 @@ from k left join i using (doc_uuid, id) group by all""",
     "source_scope": f"select {_SRC} as source, count(*) as n from doc_meta where {_SRC} in ('emberlamp/chatlogs', 'unknown') group by all",
     "variant_select": f"""
 select doc_uuid, item_id, x.name as name, x.text as text from (
-  select doc_uuid, item_id, arg_min({{'name': name, 'text': t}}, row(case name when 'refine-chat-grammar' then 0 when 'original' then 1 else 2 end, variant_id)) as x
+  select doc_uuid, item_id, arg_max({{'name': name, 'text': t}}, row(case name when 'refine-chat-grammar' then 2 when 'original' then 1 else 0 end, ingested_at, variant_id)) as x
   from (select *, {_strip('text')} as t from content_variants) where t <> '' group by doc_uuid, item_id)""",
     "variants_present": """
 select doc_uuid, item_id, kind from doc_items semi join

@@ -6,25 +6,36 @@ import os
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from lectern.functions.text import strip
 from lectern.model import DOCUMENT, KINDS, Corpus
 
 
-def json_lines(spark: SparkSession, path: str) -> DataFrame:
-    """``line_no, raw``: non-blank lines; ``line_no`` counts all lines of a file from 0.
+def in_file_order(rows: DataFrame, name: str) -> DataFrame:
+    """``rows`` of a file source with ``name``, their number from 0: files by time of writing, then name; rows as they stand.
 
-    A single file is split at line ends like any text; numbers come from per-partition line counts.
+    Only the number of rows of each split comes to the driver.
     """
-    lines = spark.read.text(path).withColumns({"p": F.spark_partition_id(), "m": F.monotonically_increasing_id()})
-    sizes = lines.groupBy("p").agg(F.count("*").alias("n"), F.min("m").alias("low")).orderBy("p").collect()
+    split = F.struct(F.col("_metadata.file_modification_time").alias("at"), F.col("_metadata.file_path").alias("path"), F.col("_metadata.file_block_start").alias("start"))
+    rows = rows.withColumns({"__split": split, "__m": F.monotonically_increasing_id()})
     at, shift = 0, []
-    for r in sizes:
-        shift.append((r.p, at - r.low))
+    for r in rows.groupBy("__split").agg(F.count("*").alias("n"), F.min("__m").alias("low")).orderBy("__split").collect():
+        shift.append((r["__split"], at - r.low))
         at += r.n
-    offsets = spark.createDataFrame(shift, "p int, shift long")
-    out = lines.join(F.broadcast(offsets), "p").select((F.col("m") + F.col("shift")).alias("line_no"), strip(F.col("value")).alias("raw"))
-    return out.where("raw <> ''")
+    offsets = rows.sparkSession.createDataFrame(shift, T.StructType([rows.schema["__split"], T.StructField("__shift", T.LongType())]))
+    return rows.join(F.broadcast(offsets), "__split").withColumn(name, F.col("__m") + F.col("__shift")).drop("__split", "__m", "__shift")
+
+
+def json_lines(spark: SparkSession, path: str) -> DataFrame:
+    """``line_no, raw``: non-blank lines; ``line_no`` counts all lines from 0, in the order of :func:`in_file_order`."""
+    lines = in_file_order(spark.read.text(path), "line_no")
+    return lines.select("line_no", strip(F.col("value")).alias("raw")).where("raw <> ''")
+
+
+def line_counts(spark: SparkSession, path: str) -> DataFrame:
+    """``file, n_lines`` of text files."""
+    return spark.read.text(path).groupBy(F.element_at(F.split("_metadata.file_path", "/"), -1).alias("file")).agg(F.count("*").alias("n_lines"))
 
 
 def documents(spark: SparkSession, folder: str) -> DataFrame:
@@ -34,7 +45,12 @@ def documents(spark: SparkSession, folder: str) -> DataFrame:
     """
     files = spark.read.format("binaryFile").option("pathGlobFilter", "*.json").load(folder).select(F.element_at(F.split("path", "/"), -1).alias("file"), F.decode("content", "UTF-8").alias("value"))
     files = files.unionByName(spark.createDataFrame([(n, None) for n in _blank_files(spark, folder)], "file string, value string"))
-    d = files.select("file", F.when(F.try_parse_json("value").isNotNull(), F.from_json("value", DOCUMENT)).alias("d"))
+    return parsed(files)
+
+
+def parsed(lines: DataFrame) -> DataFrame:
+    """Documents of (file, value) rows of JSON text: the model's columns, ``file`` and ``corrupt``."""
+    d = lines.select("file", F.when(F.try_parse_json("value").isNotNull(), F.from_json("value", DOCUMENT)).alias("d"))
     bad = F.col("d").isNull() | F.col("d.id").isNull() | F.coalesce(F.exists("d.items", lambda i: ~F.coalesce(i["kind"], F.lit("")).isin(*KINDS)), F.lit(False))
     return d.select("file", "d.*", F.coalesce(bad, F.lit(True)).alias("corrupt"))
 
@@ -84,15 +100,19 @@ def book(spark: SparkSession, path: str, native_id: str) -> DataFrame:
 
 
 def ledger(spark: SparkSession, path: str) -> DataFrame:
-    """All entries of a ledger in JSON lines; blank and unreadable lines are left out, repeats kept."""
-    fields = "source string, native_id string, uuid string, meta variant"
+    """All entries of a ledger in JSON lines; blank and unreadable lines are left out, repeats kept.
+
+    ``recorded_at`` is what the line says; ``line_no`` orders lines that don't say it or say the same.
+    """
+    fields = "source string, native_id string, uuid string, meta variant, recorded_at string"
     rows = json_lines(spark, path).where(F.try_parse_json("raw").isNotNull()).select("line_no", F.from_json("raw", fields).alias("r"))
-    return rows.where("r.uuid is not null").select("r.source", "r.native_id", "r.uuid", F.to_json("r.meta").alias("meta"), F.col("line_no").alias("recorded_at"))
+    return rows.where("r.uuid is not null").select("r.source", "r.native_id", "r.uuid", F.to_json("r.meta").alias("meta"), "r.recorded_at", "line_no")
 
 
 def ledger_index(entries: DataFrame) -> DataFrame:
     """The entry of each (source, native_id) that was written last."""
-    return entries.groupBy("source", "native_id").agg(F.max_by("uuid", F.struct("recorded_at", "uuid")).alias("uuid"))
+    order = [c for c in ("recorded_at", "line_no") if c in entries.columns]
+    return entries.groupBy("source", "native_id").agg(F.max_by("uuid", F.struct(*order, "uuid")).alias("uuid"))
 
 
 def cluster_manifest(spark: SparkSession, path: str) -> DataFrame:
@@ -102,8 +122,8 @@ def cluster_manifest(spark: SparkSession, path: str) -> DataFrame:
 
 def decisions(spark: SparkSession, path: str) -> DataFrame:
     """``row_no, cluster_id, human_label, action`` of a worked-through list in CSV."""
-    rows = spark.read.option("header", True).csv(path)
-    return rows.select(F.monotonically_increasing_id().alias("row_no"), F.col("cluster_id").cast("string").alias("cluster_id"), "human_label", "action")
+    rows = in_file_order(spark.read.option("header", True).csv(path), "row_no")
+    return rows.select("row_no", F.col("cluster_id").cast("string").alias("cluster_id"), "human_label", "action")
 
 
 def acquire(path: str, fetch=None) -> str:

@@ -20,6 +20,11 @@ def replace_table(df: DataFrame, path: str, partition_by: tuple[str, ...] = ())
     """Overwrite a table by writing beside it and renaming, so a failed job leaves the old one whole."""
     spark, stage = df.sparkSession, f"{path}.staged-{uuid.uuid4().hex[:8]}"
     df.write.partitionBy(*partition_by).parquet(stage)
+    _put(spark, stage, path)
+
+
+def _put(spark: SparkSession, stage: str, path: str) -> None:
+    """Move what is staged to its place; the old content is moved aside first and deleted last."""
     fs, at, path_of = _fs(spark, path)
     old = path_of(f"{path}.old-{uuid.uuid4().hex[:8]}")
     had = fs.exists(at)
@@ -46,7 +51,10 @@ def json_lines(lines: DataFrame, path: str, key: str = "doc_uuid") -> None:
 
 
 def append_ledger(entries: DataFrame, path: str) -> None:
-    entries.select(F.to_json(F.struct("source", "native_id", "uuid", "meta")).alias("line")).write.mode("append").text(path)
+    """Add entries; without a ``recorded_at`` of their own they get the time of writing, so that the last one written counts."""
+    at = F.col("recorded_at") if "recorded_at" in entries.columns else F.current_timestamp()
+    at = F.date_format(at.cast("timestamp"), "yyyy-MM-dd HH:mm:ss.SSSSSS").alias("recorded_at")
+    entries.select(F.to_json(F.struct("source", "native_id", "uuid", "meta", at)).alias("line")).write.mode("append").text(path)
 
 
 def rewrite_ledger(spark: SparkSession, path: str, gone: DataFrame) -> None:
@@ -55,10 +63,7 @@ def rewrite_ledger(spark: SparkSession, path: str, gone: DataFrame) -> None:
     kept = lines.join(gone.select("uuid").where("uuid is not null").distinct(), "uuid", "left_anti").select("value")
     stage = f"{path}.staged-{uuid.uuid4().hex[:8]}"
     kept.write.text(stage)
-    fs, at, path_of = _fs(spark, path)
-    fs.delete(at, True)
-    if not fs.rename(path_of(stage), at):
-        raise OSError(f"can't put {stage} in place")
+    _put(spark, stage, path)
 
 
 def cluster_file(clusters: DataFrame, total_terms: int) -> DataFrame:
@@ -72,16 +77,18 @@ def worklist_csv(rows: DataFrame, path: str) -> None:
     rows.orderBy(F.desc("freq"), "cluster_id").coalesce(1).write.mode("overwrite").option("header", True).csv(path)
 
 
-def text_report(sections: dict[str, dict[str, DataFrame]], rows: int = 50) -> str:
-    """Reports as fixed-width text, at most ``rows`` rows of each table."""
+def text_report(sections: dict[str, dict[str, DataFrame]], rows: int | None = None) -> str:
+    """Reports as fixed-width text; with ``rows`` at most so many of each table, and a line that tells how many more there are."""
     out = []
     for section, tables in sections.items():
         out.append(f"== {section} ==")
         for name, df in tables.items():
-            data = [[("" if v is None else f"{v:.2f}" if isinstance(v, float) else str(v)) for v in r] for r in df.limit(rows).collect()]
+            data = [[("" if v is None else f"{v:.2f}" if isinstance(v, float) else str(v)) for v in r] for r in (df if rows is None else df.limit(rows)).collect()]
             width = [max(map(len, c)) for c in zip(df.columns, *data)]
             out.append(f"-- {name}")
             out += ["  ".join(v.ljust(w) for v, w in zip(r, width)).rstrip() for r in [df.columns, *data]]
+            if rows is not None and (more := df.count() - len(data)) > 0:
+                out.append(f"({more} more)")
     return "\n".join(out)
 
 
