@@ -25,29 +25,54 @@ class RateLimited(Exception):
         self.retry_after = retry_after
 
 
+class NotJson(ValueError):
+    """The first stage failed: an answer that isn't JSON."""
+
+
+class OffSchema(ValueError):
+    """The second stage failed: JSON that breaks the schema."""
+
+
 class HttpBackend:
-    """Chat-completion services that answer with JSON of a schema."""
+    """Chat-completion services that answer with JSON of a schema.
+
+    ``think`` switches a model's reasoning on or off where the service knows such a switch; ``extra`` is added to every request's
+    body. ``calls``, ``tokens_in``, ``tokens_out`` and ``seconds`` count what was asked and used.
+    """
 
-    def __init__(self, base_url: str, model: str, api_key: str = "", timeout: float = 300.0) -> None:
+    def __init__(self, base_url: str, model: str, api_key: str = "", timeout: float = 300.0, think: bool | None = None, extra: dict[str, Any] | None = None) -> None:
         self.base_url, self.model, self.api_key, self.timeout = base_url.rstrip("/"), model, api_key, timeout
+        self.extra = ({} if think is None else {"chat_template_kwargs": {"enable_thinking": think}}) | (extra or {})
+        self.calls = self.tokens_in = self.tokens_out = 0
+        self.seconds = 0.0
 
     def generate(self, prompt: str, schema: dict[str, Any], temperature: float = 0.2, max_tokens: int | None = None) -> dict[str, Any]:
         import urllib.error
         import urllib.request
 
-        body: dict[str, Any] = {"model": self.model, "temperature": temperature, "messages": [{"role": "user", "content": prompt}], "response_format": {"type": "json_schema", "json_schema": {"name": "answer", "schema": schema}}}
+        body: dict[str, Any] = {"model": self.model, "temperature": temperature, "messages": [{"role": "user", "content": prompt}], "response_format": {"type": "json_schema", "json_schema": {"name": "answer", "schema": schema}}} | self.extra
         if max_tokens:
             body["max_tokens"] = max_tokens
         request = urllib.request.Request(f"{self.base_url}/chat/completions", json.dumps(body).encode(), {"Content-Type": "application/json"} | ({"Authorization": f"Bearer {self.api_key}"} if self.api_key else {}))
+        began = time.monotonic()
         try:
             with urllib.request.urlopen(request, timeout=self.timeout) as r:
-                text = json.load(r)["choices"][0]["message"]["content"]
+                said = json.load(r)
+            text, used = said["choices"][0]["message"]["content"], said.get("usage") or {}
+            self.tokens_in += used.get("prompt_tokens") or 0
+            self.tokens_out += used.get("completion_tokens") or 0
         except urllib.error.HTTPError as e:
             if e.code == 429:
                 after = e.headers.get("Retry-After", "")
                 raise RateLimited(float(after) if after.replace(".", "", 1).isdigit() else None) from None
             raise ValueError(f"service answered {e.code}") from None
-        return json.loads(text)
+        finally:
+            self.calls += 1
+            self.seconds += time.monotonic() - began
+        try:
+            return json.loads(text)
+        except json.JSONDecodeError as e:
+            raise NotJson(f"no JSON: {e}") from None
 
 
 def delay(attempt: int, retry_after: float | None = None, base: float = 2.0, most: float = 2480.0) -> float:
@@ -96,7 +121,7 @@ def call(backend: Backend, prompt: str, schema: dict[str, Any], retries: int = 3
             wait(delay(attempt, e.retry_after))
     wrong = violations(answer, closed(schema))
     if wrong:
-        raise ValueError("; ".join(wrong))
+        raise OffSchema("; ".join(wrong))
     return answer
 
 
@@ -137,16 +162,21 @@ def refine_turns(turns: DataFrame, make_backend: Callable[[], Backend], context:
     """
     schema = schema or {"type": "object", "properties": {"text": {"type": "string"}}}
 
-    def one(p: pd.DataFrame) -> pd.DataFrame:
-        backend, past, rows = make_backend(), [], []
-        for _, r in p.sort_values(["item_pos", "item_id"]).iterrows():
-            prompt = "\n".join([*past[-context:], "---", r["text"]]) if past else r["text"]
-            try:
-                text = call(backend, prompt, schema)["text"]
-            except (ValueError, RateLimited):
-                continue
-            past.append(text)
-            rows.append((r["doc_uuid"], r["item_id"], text))
-        return pd.DataFrame(rows, columns=["doc_uuid", "item_id", "text"])
-
-    return turns.where("text <> ''").groupBy("doc_uuid").applyInPandas(one, "doc_uuid string, item_id string, text string")
+    def batches(it: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        backend, doc, past = make_backend(), None, []
+        for b in it:  # sorted by document and place: only the last answers are held
+            rows = []
+            for d, item, text in zip(b["doc_uuid"], b["item_id"], b["text"]):
+                if d != doc:
+                    doc, past = d, []
+                prompt = "\n".join([*past, "---", text]) if past else text
+                try:
+                    answer = call(backend, prompt, schema)["text"]
+                except (ValueError, RateLimited):
+                    continue
+                past = [*past, answer][-context:] if context else []
+                rows.append((d, item, answer))
+            yield pd.DataFrame(rows, columns=["doc_uuid", "item_id", "text"])
+
+    spread = turns.where("text <> ''").repartition("doc_uuid").sortWithinPartitions("doc_uuid", "item_pos", "item_id")
+    return spread.select("doc_uuid", "item_id", "text").mapInPandas(batches, "doc_uuid string, item_id string, text string")

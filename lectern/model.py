@@ -72,3 +72,11 @@ class Corpus:
         drop = lambda df: df.join(keys, "doc_uuid", "left_anti")
         ledger = self.ledger.join(keys.withColumnRenamed("doc_uuid", "uuid"), "uuid", "left_anti").select(self.ledger.columns)
         return Corpus(drop(self.meta), drop(self.items), drop(self.variants), ledger)
+
+    def joined(self, other: Corpus) -> Corpus:
+        """Both corpora's documents; columns that one lacks are null."""
+        both = lambda a, b: a.unionByName(b, allowMissingColumns=True)
+        a, b = self.complete(), other.complete()
+        shape = {f.name: f.dataType for f in a.ledger.schema}
+        entries = b.ledger.select(*(F.col(c).cast(shape[c]).alias(c) if c in shape else F.col(c) for c in b.ledger.columns))
+        return Corpus(both(a.meta, b.meta), both(a.items, b.items), both(a.variants, b.variants), both(a.ledger, entries))

@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from lectern.functions.text import normal_gender, sanitize_tags
 from lectern.inference import Backend, answers, refine_turns
 from lectern.model import GENDERS, GENRES, IDENTITY, SEXUAL, TOXICITY, VIOLENCE, Corpus
-from lectern.operators.refine import _noted, append_categories, character_card, opening, prepend_characters, upsert_variant
+from lectern.operators.refine import noted, append_categories, character_card, opening, prepend_characters, upsert_variant
 from lectern.operators.select import of_source, preferred_text, with_variant, without_categories
 from lectern.plans import cut_lineage
 
@@ -70,7 +70,7 @@ def refine_safety(corpus: Corpus, make: Make, source: str = "emberlamp/chatlogs"
     a = _answered(corpus, without_categories(of_source(corpus.meta, source), corpus.items, *axes), make, "safety", "sexual_axis string, violence_axis string, toxicity_axis string", preferred, **options)
     cells = F.explode(F.array(*(F.struct(F.lit(c).alias("category"), F.array(F.col(f"a.{f}")).alias("value")) for c, f in zip(axes, ("sexual_axis", "violence_axis", "toxicity_axis")))))
     new = a.select("doc_uuid", cells.alias("c")).select("doc_uuid", "c.*")
-    return replace(corpus, items=append_categories(corpus.items, new, *axes), meta=_noted(corpus.meta, new, "refine-chat-safety-dials", "safety dials set"))
+    return replace(corpus, items=append_categories(corpus.items, new, *axes), meta=noted(corpus.meta, new, "refine-chat-safety-dials", "safety dials set"))
 
 
 def refine_genre(corpus: Corpus, make: Make, source: str = "emberlamp/chatlogs", preferred: tuple[str, ...] = ("original",), **options: Any) -> Corpus:
@@ -79,7 +79,7 @@ def refine_genre(corpus: Corpus, make: Make, source: str = "emberlamp/chatlogs",
     a = _answered(corpus, without_categories(of_source(corpus.meta, source), corpus.items, "genre", "theme"), make, "genre", "primary_genre string, themes array<string>", preferred, **options)
     cells = F.explode(F.array(F.struct(F.lit("genre").alias("category"), F.array("a.primary_genre").alias("value")), F.struct(F.lit("theme").alias("category"), sanitize_tags(F.col("a.themes")).alias("value"))))
     new = a.select("doc_uuid", cells.alias("c")).select("doc_uuid", "c.*")
-    return replace(corpus, items=append_categories(corpus.items, new, "genre", "theme"), meta=_noted(corpus.meta, new, "refine-chat-genre-theme", "genre and themes set"))
+    return replace(corpus, items=append_categories(corpus.items, new, "genre", "theme"), meta=noted(corpus.meta, new, "refine-chat-genre-theme", "genre and themes set"))
 
 
 def without_user_profile(meta: DataFrame, items: DataFrame) -> DataFrame:
@@ -106,7 +106,7 @@ def refine_characters(corpus: Corpus, make: Make, source: str = "emberlamp/chatl
     known = F.array(_identity(F.col("a.user_character"), F.lit("user"), True), _identity(F.col("a.bot_character"), F.col("bot"), False)).cast(f"array<{IDENTITY}>")
     meta = corpus.meta.join(a.select("doc_uuid", known.alias("__new")), "doc_uuid", "left").withColumn("identities", F.coalesce("__new", "identities")).drop("__new")
     return Corpus(
-        _noted(meta, rows, "refine-chat-characters", "characters described"),
+        noted(meta, rows, "refine-chat-characters", "characters described"),
         prepend_characters(corpus.items, rows.select("doc_uuid", "item_id", "entity_id", "place")),
         corpus.variants.unionByName(texts, allowMissingColumns=True),
         corpus.ledger,
@@ -136,4 +136,4 @@ def refine_grammar(corpus: Corpus, make: Make, source: str = "emberlamp/chatlogs
     texts = named.join(others, "doc_uuid", "left").join(preferred_text(corpus.variants, ["original"]).select("doc_uuid", "item_id", "text"), ["doc_uuid", "item_id"])
     asked = texts.select("doc_uuid", "item_id", "item_pos", grammar_prompt(F.col("text"), F.col("actor_name"), F.array_remove(F.coalesce("__all", F.array().cast("array<string>")), F.col("actor_name"))).alias("text"))
     new = cut_lineage(refine_turns(asked, make, schema=SCHEMAS["grammar"]))
-    return replace(corpus, variants=upsert_variant(corpus.variants, new, name), meta=_noted(corpus.meta, new, name, "turns rewritten"))
+    return replace(corpus, variants=upsert_variant(corpus.variants, new, name), meta=noted(corpus.meta, new, name, "turns rewritten"))

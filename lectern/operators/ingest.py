@@ -74,9 +74,11 @@ def _variants(doc: str, item: str, text: Column, annotation: Column | None = Non
     return [F.col(doc).alias("doc_uuid"), F.col(item).alias("item_id"), F.lit("original").alias("name"), text.alias("text")] + [(c if c is not None else null).alias(n) for c, n in ((annotation, "annotation"), (author, "author_id"), (post, "post_id"), (at, "posted_at"))]
 
 
-def conversations(records: DataFrame, ledger: DataFrame, recorded_at: Column, source: str = "emberlamp/chatlogs", limit: int | None = None) -> Corpus:
+def conversations(records: DataFrame, ledger: DataFrame, recorded_at: Column, source: str = "emberlamp/chatlogs", limit: int | None = None, existing: DataFrame | None = None) -> Corpus:
     """Documents of the conversation records that the ledger doesn't know.
 
+    With ``existing`` (doc_uuid), documents that the ledger knows but that aren't there are built again under their uuid.
+
     ``records`` has ``raw`` (JSON text) and ``line_no``. Records that aren't JSON, lack a bot id or a time are left
     out; ``limit`` counts lines. Equal records (whatever their key order) become one document.
     """
@@ -86,7 +88,13 @@ def conversations(records: DataFrame, ledger: DataFrame, recorded_at: Column, so
     r = records.where(F.try_parse_json("raw").isNotNull()).select("raw", F.from_json("raw", fields).alias("r"), "line_no").where("r.bot_id <> '' and r.submission_timestamp is not null")
     r = r.withColumn("native_id", conversation_address(F.col("raw"))).withColumn("source", F.lit(source))
     r = r.groupBy("source", "native_id").agg(F.min_by(F.struct("r", "raw"), "line_no").alias("x")).select("source", "native_id", "x.r.*", "x.raw")
-    new = r.join(register(r, ledger, recorded_at).where("is_new"), ["source", "native_id"]).withColumnRenamed("uuid", "doc")
+    known = register(r, ledger, recorded_at)
+    if existing is not None:
+        there = existing.select(F.col("doc_uuid").alias("uuid"), F.lit(True).alias("there")).distinct()
+        known = known.join(there, "uuid", "left").where(F.col("is_new") | F.col("there").isNull())
+    else:
+        known = known.where("is_new")
+    new = r.join(known.select("source", "native_id", "uuid", "is_new"), ["source", "native_id"]).withColumnRenamed("uuid", "doc")
     turns = new.select("doc", "bot_id", F.posexplode("conversation").alias("i", "t")).withColumn("item_id", item_id("turn", F.col("i") + 1))
     actor = F.when(F.col("t.is_human"), F.lit("user")).otherwise(F.col("bot_id"))
     shown = new.where(strip(F.coalesce("bot_description", F.lit(""))) != "").withColumn("item_id", F.lit("character-000001"))
@@ -99,10 +107,18 @@ def conversations(records: DataFrame, ledger: DataFrame, recorded_at: Column, so
     texts = shown.select(*_variants("doc", "item_id", strip(F.col("bot_description")))).unionByName(turns.select(*_variants("doc", "item_id", strip(F.coalesce("t.message", F.lit(""))))))
     note = F.array(F.struct(F.lit("ingest").alias("kind"), F.lit("conversation ingested").alias("content"), F.lit(None).cast("string").alias("reasoning")))
     meta = new.select(F.col("doc").alias("doc_uuid"), F.lit("document").alias("kind"), F.col("source").alias("source_identity"), "native_id", default_identities(F.col("bot_id"), F.col("bot_name")).alias("identities"), note.alias("annotations"))
-    added = new.select("source", "native_id", F.col("doc").alias("uuid"), F.lit(None).cast("string").alias("meta"), recorded_at.alias("recorded_at"))
+    added = new.where("is_new").select("source", "native_id", F.col("doc").alias("uuid"), F.lit(None).cast("string").alias("meta"), recorded_at.alias("recorded_at"))
     return Corpus(meta, items, texts, added)
 
 
+def conversation_rejects(records: DataFrame) -> DataFrame:
+    """``line_no, reason`` of the records that :func:`conversations` leaves out."""
+    r = records.select("line_no", F.try_parse_json("raw").alias("v"))
+    bot, at = (F.try_variant_get("v", f"$.{k}", "string") for k in ("bot_id", "submission_timestamp"))
+    reason = F.when(F.col("v").isNull(), "not JSON").when(F.coalesce(bot, F.lit("")) == "", "no bot").when(at.isNull(), "no time")
+    return r.select("line_no", reason.alias("reason")).where("reason is not null")
+
+
 def page_posts(pages: DataFrame) -> DataFrame:
     """The posts of forum pages (``section_url, contents``), one row each; pages without a post give none."""
     return pages.where("contents <> ''").select("section_url", F.explode(extract_posts("contents")).alias("p")).select("section_url", "p.*")
@@ -224,3 +240,24 @@ def book_sequences(rows: DataFrame, key: str = "native_id") -> DataFrame:
     whole = rows.groupBy(key).agg(F.array_sort(F.collect_list(F.struct("paragraph_no", "item_id"))).alias("r")).select(key, F.lit("seq-book-000001").alias("item_id"), F.lit(None).cast("string").alias("title"), F.transform("r", lambda x: x["item_id"]).alias("item_ids"))
     return one.unionByName(whole)
 
+
+def books(texts: DataFrame, ledger: DataFrame, recorded_at: Column, source: str = "quillhouse/books") -> Corpus:
+    """Books (native_id, text) as documents: a narrative for each paragraph, a sequence for each section and one for the book.
+
+    Books that the ledger knows keep their uuid; new ones are added to it.
+    """
+    named = texts.withColumn("source", F.lit(source))
+    known = cut_lineage(register(named, ledger, recorded_at))
+    rows = cut_lineage(book_paragraphs(texts).join(known.select("native_id", F.col("uuid").alias("doc")), "native_id"))
+    seq = book_sequences(rows.drop("native_id").withColumnRenamed("doc", "native_id"))
+    purpose = F.to_json(F.struct(F.when(F.col("title").isNull(), "book").otherwise("chapter").alias("sequence_for"), "title"))
+    last = rows.groupBy(F.col("doc").alias("native_id")).agg(F.max("paragraph_no").alias("last"))
+    place = F.row_number().over(Window.partitionBy("native_id").orderBy("item_id"))
+    seq = seq.join(last, "native_id").withColumn("item_pos", F.col("last") + place)
+    items = rows.select(*_empty_items(F.col("doc"), item_pos=F.col("paragraph_no") - 1, item_id=F.col("item_id"), kind=F.lit("narrative")))
+    items = items.unionByName(seq.select(*_empty_items(F.col("native_id"), item_pos=F.col("item_pos") - 1, item_id=F.col("item_id"), kind=F.lit("sequence"), item_ids=F.col("item_ids"), data=purpose)))
+    variants = rows.select(*_variants("doc", "item_id", F.col("text"), F.col("annotation")))
+    note = F.array(F.struct(F.lit("ingest").alias("kind"), F.lit("book ingested").alias("content"), F.lit(None).cast("string").alias("reasoning")))
+    meta = known.select(F.col("uuid").alias("doc_uuid"), F.lit("document").alias("kind"), F.col("source").alias("source_identity"), "native_id", note.alias("annotations"))
+    added = known.where("is_new").select("source", "native_id", "uuid", F.lit(None).cast("string").alias("meta"), recorded_at.alias("recorded_at"))
+    return Corpus(meta, items, variants, added).complete()

@@ -126,6 +126,13 @@ def stats(corpus: Corpus) -> DataFrame:
     return out.fillna(0)
 
 
+def described(corpus: Corpus) -> DataFrame:
+    """Statistics with the resolved axes: ``Unset`` where an axis has no value, empty lists where there are no themes or languages."""
+    d = stats(corpus).join(resolve(corpus.items), "doc_uuid", "left")
+    none = F.array().cast("array<string>")
+    return d.select("doc_uuid", "items", "turns", "narratives", "characters", "words", *(F.coalesce(a, F.lit("Unset")).alias(a) for a in SCALES), F.coalesce("themes", none).alias("themes"), F.coalesce("languages", none).alias("languages"))
+
+
 def refresh(corpus: Corpus, rules: Rules | None = None) -> Corpus:
     """The corpus with resolved axes, then health, then statistics recomputed in its metadata."""
     corpus = corpus.complete()

@@ -101,10 +101,11 @@ def refine_language(corpus: Corpus, samples: DataFrame, targets: dict[str, list[
     items = corpus.items if mode != "skip-if-present" else corpus.items.join(held.select("doc_uuid").distinct(), "doc_uuid", "left_anti")
     found = detected_languages(trigram_scores(language_windows(items, corpus.variants, targets or {"turn": ["original"]}, size), samples), least, most)
     new = found.select("doc_uuid", F.col("languages").alias("value"), F.col("trace").alias("reasoning"))
-    return replace(corpus, items=upsert_category(corpus.items, new, "language"), meta=_noted(corpus.meta, new, "refine-cdm-language", "languages detected"))
+    return replace(corpus, items=upsert_category(corpus.items, new, "language"), meta=noted(corpus.meta, new, "refine-cdm-language", "languages detected"))
 
 
-def _noted(meta: DataFrame, docs: DataFrame, kind: str, content: str) -> DataFrame:
+def noted(meta: DataFrame, docs: DataFrame, kind: str, content: str) -> DataFrame:
+    """The metadata with the annotation of a step, once, for the documents of ``docs``."""
     done = docs.select("doc_uuid").distinct().withColumn("__done", F.lit(True))
     return meta.join(done, "doc_uuid", "left").withColumn("annotations", F.when(F.col("__done"), annotate(unannotate(F.col("annotations"), kind), kind, content)).otherwise(F.col("annotations"))).drop("__done")
 

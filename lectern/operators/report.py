@@ -11,6 +11,7 @@ from lectern.functions.text import filled, percent, strip
 from lectern.model import BUCKETS, CONTENT_KINDS, Corpus
 from lectern.operators.meta import Rules, health, resolve, stats
 from lectern.operators.select import source_identity
+from lectern.plans import cut_lineage
 from lectern.plans.ordering import numbered, positions
 
 
@@ -65,13 +66,22 @@ def shares(df: DataFrame, key: str, total: int | None = None) -> DataFrame:
 def distribution(df: DataFrame, value: str) -> DataFrame:
     """One row: count, total, least, greatest, mean and upper median of a column of integers.
 
-    The median comes from counts per distinct value, so no group is collected.
+    The median comes from counts per distinct value: ranges of values are summed first, and only the range that holds
+    the middle is added up value by value.
     """
+    parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     per = df.where(F.col(value).isNotNull()).groupBy(F.col(value).alias("v")).agg(F.count("*").alias("k"))
     all_ = per.agg(F.sum("k").alias("n"), F.sum(F.col("v") * F.col("k")).cast("long").alias("total"), F.min("v").alias("least"), F.max("v").alias("greatest"))
-    upto = per.withColumn("upto", F.sum("k").over(Window.orderBy("v").rowsBetween(Window.unboundedPreceding, 0)))
-    median = upto.join(F.broadcast(all_.select("n"))).where(F.col("upto") > F.floor(F.col("n") / 2)).agg(F.min("v").alias("median"))
-    return all_.join(F.broadcast(median)).select("n", "total", "least", "greatest", (F.col("total") / F.col("n")).alias("mean"), "median")
+    ranged = cut_lineage(per.repartitionByRange(parts, "v").withColumn("p", F.spark_partition_id()))
+    sums = [(r.p, r.k) for r in ranged.groupBy("p").agg(F.sum("k").alias("k")).orderBy("p").collect()]
+    before, middle, here = 0, sum(k for _, k in sums) // 2, -1
+    for here, k in sums:
+        if before + k > middle:
+            break
+        before += k
+    upto = F.lit(before) + F.sum("k").over(Window.partitionBy("p").orderBy("v").rowsBetween(Window.unboundedPreceding, 0))
+    median = ranged.where(F.col("p") == here).withColumn("upto", upto).where(F.col("upto") > middle).agg(F.min("v").alias("median"))
+    return all_.crossJoin(F.broadcast(median)).select("n", "total", "least", "greatest", (F.col("total") / F.col("n")).alias("mean"), "median")
 
 
 def histogram(df: DataFrame, value: str) -> DataFrame:
@@ -117,9 +127,9 @@ def exploded_share(df: DataFrame, values: str, name: str, records: int) -> DataF
     return df.select(F.explode(values).alias(name)).groupBy(name).agg(F.count("*").alias("n")).select(name, "n", percent(F.col("n"), F.lit(records)).alias("pct"))
 
 
-def top_with_rest(counts: DataFrame, key: str, n: str = "n", k: int = 25) -> DataFrame:
-    """The ``k`` most frequent keys (ties by key) and one row ``(other)`` for the rest."""
-    top = counts.orderBy(F.desc(n), key).limit(k)
+def top_with_rest(counts: DataFrame, key: str, n: str = "n", k: int = 25, first: str | None = None) -> DataFrame:
+    """The ``k`` most frequent keys and one row ``(other)`` for the rest; ties by where a key came ``first``, else by key."""
+    top = counts.orderBy(F.desc(n), *([first] if first else []), key).limit(k)
     rest = counts.join(F.broadcast(top.select(key)), key, "left_anti").agg(F.coalesce(F.sum(n), F.lit(0)).alias(n)).select(F.lit("(other)").alias(key), n)
     return top.select(key, n).unionByName(rest)
 

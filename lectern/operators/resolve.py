@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Iterator
+from dataclasses import replace
 
 import numpy as np
 import pandas as pd
@@ -11,7 +12,10 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from lectern.functions.text import slug, theme_term
+from lectern.model import SEXUAL, TOXICITY, VIOLENCE, Corpus
 from lectern.operators.components import connected_components
+from lectern.operators.meta import resolve
+from lectern.operators.refine import noted, upsert_category
 from lectern.plans import cut_lineage, join_checked
 
 CUT = 0.35
@@ -181,3 +185,34 @@ def curate(tags: DataFrame, mapping: DataFrame, key: str = "doc_uuid", tag: str
     j = join_checked(named, mapping.withColumn("mapped", F.lit(True)), "term", "left", row_bytes=96)
     canonical = F.when(F.col("mapped"), F.col("canonical")).otherwise(slug(F.col("term")))
     return j.select(key, canonical.alias("theme")).groupBy(key).agg(F.array_sort(F.collect_set("theme")).alias("themes"))
+
+
+def theme_tags(items: DataFrame) -> DataFrame:
+    """``doc_uuid, tag`` of the theme categorizations."""
+    return items.where("kind = 'categorization' and category = 'theme'").select("doc_uuid", F.explode("value").alias("tag"))
+
+
+def document_axes(corpus: Corpus) -> DataFrame:
+    """``doc_uuid, genre, sexuality, violence, toxicity, language``: a row per document and language, with the values of what isn't set."""
+    r = corpus.meta.select("doc_uuid").join(resolve(corpus.items), "doc_uuid", "left")
+    spoken = F.when(F.size("languages") > 0, F.col("languages")).otherwise(F.array(F.lit("en")))
+    unset = {"genre": "Unset", "sexuality": SEXUAL[0], "violence": VIOLENCE[0], "toxicity": TOXICITY[0]}
+    return r.select("doc_uuid", *(F.coalesce(c, F.lit(v)).alias(c) for c, v in unset.items()), F.explode(spoken).alias("language"))
+
+
+def corpus_crosstab(corpus: Corpus) -> DataFrame:
+    """``term, axis, value, n``: documents' theme terms against their axes; a document counts once for each of its languages."""
+    axes = document_axes(corpus)
+    tags = theme_tags(corpus.items).withColumn("term", theme_term(F.col("tag"))).where("term <> ''")
+    single = axes.drop("language").distinct()
+    one = crosstab(tags.join(single, "doc_uuid"), ["genre", "sexuality", "violence", "toxicity"])
+    return one.unionByName(crosstab(tags.join(axes.select("doc_uuid", "language"), "doc_uuid"), ["language"]))
+
+
+def curate_corpus(corpus: Corpus, mapping: DataFrame, step: str = "resolve-theme-curation") -> Corpus:
+    """Put each document's canonical themes in place of its themes; documents whose themes stay the same aren't touched."""
+    corpus = corpus.complete()
+    new = curate(theme_tags(corpus.items), mapping).withColumnRenamed("themes", "value")
+    old = resolve(corpus.items).select("doc_uuid", F.col("themes").alias("old"))
+    changed = cut_lineage(new.join(old, "doc_uuid").where(~F.col("value").eqNullSafe(F.col("old"))).select("doc_uuid", "value", F.lit(None).cast("string").alias("reasoning")))
+    return replace(corpus, items=upsert_category(corpus.items, changed, "theme"), meta=noted(corpus.meta, changed, step, "themes curated"))

@@ -133,3 +133,14 @@ def acquire(path: str, fetch=None) -> str:
             raise FileNotFoundError(f"{path} is missing and no fetcher is given")
         fetch(path)
     return path
+
+
+def acquire_dataset(name: str, folder: str, fetch=None, files: tuple[str, ...] = ()) -> list[str]:
+    """The files of a published dataset in ``folder``, fetched with ``fetch(name, file, path)`` where they aren't there.
+
+    There is no network here: without a fetcher a missing file is an error.
+    """
+    paths = [os.path.join(folder, f) for f in files]
+    for file, path in zip(files, paths):
+        acquire(path, None if fetch is None else lambda p, file=file: fetch(name, file, p))
+    return paths
