@@ -31,11 +31,15 @@ def query(f: Query) -> Query:
 
 
 def queries() -> dict[str, Query]:
-    return dict(_QUERIES)
+    from lectern import catalog_flows
+
+    return _QUERIES | catalog_flows.queries()
 
 
 def oracle_sql() -> dict[str, str]:
-    return {k: v for k, v in SQL.items() if k in _QUERIES}
+    from lectern import oracle_flows
+
+    return {k: v for k, v in (SQL | oracle_flows.SQL).items() if k in queries()}
 
 
 def _corpus(spark: SparkSession, folder: str) -> Corpus:
@@ -249,8 +253,14 @@ def narrative_distribution(spark, folder):
 @query
 def safety_distribution(spark, folder):
     docs = table(spark, folder, "doc_meta").select("doc_uuid")
-    last = table(spark, folder, "safety_dials").groupBy("doc_uuid").agg(F.max_by("sexual_axis", F.struct("responded_at", "response_id")).alias("sexual_axis"))
-    return report.shares(docs.join(last, "doc_uuid", "left").select(F.coalesce("sexual_axis", F.lit("Unset")).alias("value")), "value")
+    axes = ("sexual_axis", "violence_axis", "toxicity_axis")
+    last = table(spark, folder, "safety_dials").groupBy("doc_uuid").agg(F.max_by(F.struct(*axes), F.struct("responded_at", "response_id")).alias("x"))
+    each = docs.join(last, "doc_uuid", "left").select(*(F.coalesce(f"x.{a}", F.lit("Unset")).alias(a) for a in axes))
+    out = None
+    for a in axes:
+        one = report.shares(each.withColumnRenamed(a, "value"), "value").withColumn("axis", F.lit(a))
+        out = one if out is None else out.unionByName(one)
+    return out
 
 
 @query
@@ -284,12 +294,12 @@ def health_flags(spark, folder):
 
 @query
 def stage_breakdown(spark, folder):
-    return report.stage_breakdown(_health(spark, folder)).where("check in ('passed', 'prose', 'narrative')")
+    return report.stage_breakdown(_health(spark, folder))
 
 
 @query
 def issue_counts(spark, folder):
-    return report.issue_counts(_health(spark, folder)).where("issue like 'Missing%' or issue like 'Unset%'")
+    return report.issue_counts(_health(spark, folder))
 
 
 @query

@@ -94,7 +94,7 @@ def in_scope(step: Step) -> Step:
         corpus = corpus.complete()
         inside = in_range(corpus.meta, start, stop)
         done, rest = step(corpus.only(inside), p), corpus.without(inside)
-        return replace(rest.joined(done), ledger=corpus.ledger)
+        return replace(rest.joined(done), ledger=done.ledger)
 
     return scoped
 

@@ -18,7 +18,10 @@ from lectern.plans.ordering import numbered
 
 
 def conversation_address(record: Column) -> Column:
-    """SHA-256 of a JSON record with sorted keys, compact, nulls kept: equal records have equal addresses."""
+    """SHA-256 of a JSON record with sorted keys, compact, nulls kept: equal records have equal addresses.
+
+    Null for what isn't JSON as a whole, such as a line with more behind the record.
+    """
     return _canonical(record)
 
 
@@ -28,9 +31,13 @@ def _canonical(records: pd.Series) -> pd.Series:
     import json
 
     def one(r: str | None) -> str | None:
-        if r is None:
+        try:
+            read = json.loads(r) if r is not None else None
+        except ValueError:
+            read = None
+        if read is None:
             return None
-        return hashlib.sha256(json.dumps(json.loads(r), sort_keys=True, separators=(",", ":"), ensure_ascii=False).encode("utf-8", "surrogatepass")).hexdigest()
+        return hashlib.sha256(json.dumps(read, sort_keys=True, separators=(",", ":"), ensure_ascii=False).encode("utf-8", "surrogatepass")).hexdigest()
 
     return records.map(one)
 
@@ -86,7 +93,7 @@ def conversations(records: DataFrame, ledger: DataFrame, recorded_at: Column, so
         records = records.where(F.col("line_no") < limit)
     fields = "bot_id string, bot_name string, bot_description string, submission_timestamp string, conversation array<struct<message:string,is_human:boolean>>"
     r = records.where(F.try_parse_json("raw").isNotNull()).select("raw", F.from_json("raw", fields).alias("r"), "line_no").where("r.bot_id <> '' and r.submission_timestamp is not null")
-    r = r.withColumn("native_id", conversation_address(F.col("raw"))).withColumn("source", F.lit(source))
+    r = r.withColumn("native_id", conversation_address(F.col("raw"))).withColumn("source", F.lit(source)).where("native_id is not null")
     r = r.groupBy("source", "native_id").agg(F.min_by(F.struct("r", "raw"), "line_no").alias("x")).select("source", "native_id", "x.r.*", "x.raw")
     known = register(r, ledger, recorded_at)
     if existing is not None:
@@ -113,7 +120,7 @@ def conversations(records: DataFrame, ledger: DataFrame, recorded_at: Column, so
 
 def conversation_rejects(records: DataFrame) -> DataFrame:
     """``line_no, reason`` of the records that :func:`conversations` leaves out."""
-    r = records.select("line_no", F.try_parse_json("raw").alias("v"))
+    r = records.select("line_no", F.when(conversation_address(F.col("raw")).isNotNull(), F.try_parse_json("raw")).alias("v"))
     bot, at = (F.try_variant_get("v", f"$.{k}", "string") for k in ("bot_id", "submission_timestamp"))
     reason = F.when(F.col("v").isNull(), "not JSON").when(F.coalesce(bot, F.lit("")) == "", "no bot").when(at.isNull(), "no time")
     return r.select("line_no", reason.alias("reason")).where("reason is not null")

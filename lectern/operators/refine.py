@@ -3,8 +3,11 @@
 from __future__ import annotations
 
 import math
+from collections.abc import Iterator
 from dataclasses import replace
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -13,7 +16,6 @@ from lectern.functions.text import strip
 from lectern.model import KINDS, Corpus
 from lectern.operators.meta import annotate, unannotate
 from lectern.operators.select import delivery, of_kinds, preferred_text, uuid_targets
-from lectern.plans import cut_lineage
 from lectern.plans.ordering import numbered
 
 
@@ -60,27 +62,46 @@ def language_windows(items: DataFrame, variants: DataFrame, targets: dict[str, l
 def trigram_scores(windows: DataFrame, samples: DataFrame, smooth: float = 0.5) -> DataFrame:
     """``doc_uuid, window_no, lang, score``: softmax over languages of mean trigram log-probability of a window.
 
-    The profile table (bounded by the samples' trigrams) is broadcast; windows are cut into trigrams, which are joined
-    with it and summed where they are read.
+    The profile (bounded by the samples' trigrams) goes to the workers; each window is cut into trigrams and summed where it is
+    read, without a row per trigram.
     """
     clean = lambda c: F.concat(F.lit(" "), F.lower(strip(F.regexp_replace(c, r"(?U)[^\p{L}]+", " "))), F.lit(" "))
-    # the letters are a column of their own: substr on a long string would walk it for every trigram
-    cut_up = lambda df, *keys: df.select(*keys, F.split(clean(F.col("text")), "").alias("c")).select(*keys, F.explode(F.transform("c", lambda x, i: F.concat(x, F.get("c", i + 1), F.get("c", i + 2)))).alias("g")).where("g is not null")
-    counts = cut_lineage(cut_up(samples.where("text is not null and lang is not null"), "lang").groupBy("lang", "g").agg(F.count("*").alias("n")))
-    size = {r.lang: (r.n, r.k) for r in counts.groupBy("lang").agg(F.sum("n").alias("n"), F.count("*").alias("k")).collect()}
-    langs = sorted(size)
-    # one row per trigram with the gain of each language over an unseen trigram; languages without it gain nothing
-    gain = lambda lang: F.sum(F.when(F.col("lang") == lang, F.log(F.col("n") / smooth + 1))).alias(f"g{langs.index(lang)}")
-    profile = F.broadcast(counts.groupBy("g").agg(*map(gain, langs)))
-    # texts become fifty times as many rows here: spread by the key of the sums first, in a number AQE keeps
-    parts = int(windows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    sums = cut_up(windows.repartition(parts, "doc_uuid", "window_no"), "doc_uuid", "window_no").join(profile, "g", "left").groupBy("doc_uuid", "window_no").agg(F.count("*").alias("k"), *(F.coalesce(F.sum(f"g{i}"), F.lit(0.0)).alias(f"g{i}") for i in range(len(langs))))
-    floor = lambda lang: math.log(smooth / (size[lang][0] + smooth * size[lang][1]))
-    means = F.array(*(F.struct(F.lit(lang).alias("lang"), (F.lit(floor(lang)) + F.col(f"g{i}") / F.col("k")).alias("m")) for i, lang in enumerate(langs)))
-    best = sums.select("doc_uuid", "window_no", F.least(F.col("k"), F.lit(40)).alias("k"), means.alias("r")).withColumn("top", F.array_max(F.transform("r", lambda x: x["m"])))
-    e = best.select("doc_uuid", "window_no", F.transform("r", lambda x: F.struct(x["lang"].alias("lang"), F.exp((x["m"] - F.col("top")) * F.col("k")).alias("e"))).alias("r"))
-    total = F.aggregate("r", F.lit(0.0), lambda acc, x: acc + x["e"])
-    return e.withColumn("total", total).select("doc_uuid", "window_no", F.explode("r").alias("x"), "total").select("doc_uuid", "window_no", "x.lang", (F.col("x.e") / F.col("total")).alias("score"))
+    known: dict[str, dict[str, int]] = {}
+    for r in samples.where("text is not null and lang is not null").select("lang", clean(F.col("text")).alias("c")).collect():
+        mine = known.setdefault(r.lang, {})
+        for i in range(len(r.c) - 2):
+            mine[r.c[i : i + 3]] = mine.get(r.c[i : i + 3], 0) + 1
+    profile = _Profile(known, smooth)
+    shared = windows.sparkSession.sparkContext.broadcast(profile)
+    kinds = ", ".join(f"{k} {windows.schema[k].dataType.simpleString()}" for k in ("doc_uuid", "window_no"))
+    return windows.select("doc_uuid", "window_no", clean(F.col("text")).alias("c")).where("length(c) > 2").mapInArrow(lambda it: shared.value.scores(it), f"{kinds}, lang string, score double")
+
+
+class _Profile:
+    """Gains in log-probability of trigrams over unseen ones, a row per trigram and a column per language."""
+
+    def __init__(self, known: dict[str, dict[str, int]], smooth: float) -> None:
+        self.langs = sorted(known)
+        self.at = {g: i for i, g in enumerate(sorted({g for m in known.values() for g in m}))}
+        self.gain = np.zeros((len(self.at) + 1, len(self.langs)))  # the last row: unseen
+        self.floor = np.zeros(len(self.langs))
+        for j, lang in enumerate(self.langs):
+            for g, n in known[lang].items():
+                self.gain[self.at[g], j] = math.log(n / smooth + 1)
+            self.floor[j] = math.log(smooth / (sum(known[lang].values()) + smooth * len(known[lang])))
+
+    def scores(self, batches: Iterator[pa.RecordBatch], most: int = 40) -> Iterator[pa.RecordBatch]:
+        get, unseen, n = self.at.get, len(self.at), len(self.langs)
+        for b in batches:
+            out = np.zeros((len(b), n))
+            for i, c in enumerate(b.column("c").to_pylist()):
+                ids = [get(c[k : k + 3], unseen) for k in range(len(c) - 2)]
+                mean = self.floor + self.gain[ids].sum(axis=0) / len(ids)
+                e = np.exp((mean - mean.max()) * min(len(ids), most))
+                out[i] = e / e.sum()
+            row = pa.array(np.repeat(np.arange(len(b)), n))
+            langs = pa.array(self.langs * len(b), pa.string())
+            yield pa.RecordBatch.from_arrays([b.column("doc_uuid").take(row), b.column("window_no").take(row), langs, pa.array(out.ravel())], ["doc_uuid", "window_no", "lang", "score"])
 
 
 def detected_languages(scores: DataFrame, least: float = 0.05, most: int = 999) -> DataFrame:

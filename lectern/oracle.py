@@ -83,7 +83,7 @@ issues as (
     case when not noted then 'Missing ''refine-cdm-language'' annotation' end,
     case when not language then 'Unset or empty language categorization' end,
     case when forum and not noted then 'Missing ''refine-cdm-html-to-markdown'' annotation' end,
-    case when forum and narratives > narratives_done then 'lack html' end,
+    case when forum and narratives > narratives_done then (narratives - narratives_done) || ' narratives lack variant ''refine-cdm-html-to-markdown''' end,
     case when chat and not noted then 'Missing ''refine-chat-characters'' annotation' end,
     case when chat and not bot then 'Missing bot character profile' end,
     case when chat and not usr then 'Missing user character profile' end,
@@ -95,7 +95,7 @@ issues as (
     case when chat and not genre then 'Unset genre categorization' end,
     case when chat and not themes then 'Unset thematic categorization' end,
     case when chat and not noted then 'Missing ''refine-chat-grammar'' annotation' end,
-    case when chat and turns > turns_done then 'lack prose' end
+    case when chat and turns > turns_done then (turns - turns_done) || ' turns lack variant ''refine-chat-grammar''' end
   ], lambda x: x is not null)) as issue from checks
 )
 """
@@ -189,7 +189,10 @@ select (select count(*) from content_variants where coalesce(trim(name), '') = '
     "turn_distribution": _distribution(_TURNS, "turns"),
     "turn_buckets": f"select bucket_no, bucket, count(turns) as n, count(turns) * 100e0 / (select count(*) from doc_meta) as pct from {_BUCKETS} left join {_TURNS} t on turns between low and high group by all",
     "narrative_distribution": _distribution("(select length(text) as chars from documents)", "chars"),
-    "safety_distribution": _shares(f"(select coalesce(x[1], 'Unset') as value from doc_meta left join {_DIAL} using (doc_uuid))", "value"),
+    "safety_distribution": " union all ".join(
+        f"select *, '{axis}' as axis from ({_shares(f"(select coalesce(x[{i}], 'Unset') as value from doc_meta left join {_DIAL} using (doc_uuid))", 'value')})"
+        for i, axis in enumerate(("sexual_axis", "violence_axis", "toxicity_axis"), 1)
+    ),
     "genre_mix": _shares("(select coalesce(primary_genre, 'Unset') as genre from genre_themes)", "genre"),
     "theme_top25": f"""
 with t as (select distinct response_id, {_sanitize('tag')} as tag from {_TAGS}), c as (select tag, count(*) as n from t where tag <> '' group by tag),
@@ -205,16 +208,14 @@ select doc_uuid, source, coalesce(n, 0) = 0 as is_healthy, coalesce(n, 0) as n_i
 from checks left join (select doc_uuid, count(*) as n from issues group by doc_uuid) using (doc_uuid)""",
     "stage_breakdown": f"""
 with {_FACTS}, s as (
-  select 'refine-cdm-language' as stage, 'passed' as "check", noted and language as ok from checks
-  union all select 'refine-cdm-html-to-markdown', 'passed', noted and html from checks where forum
-  union all select 'refine-cdm-html-to-markdown', 'narrative', html from checks where forum
-  union all select 'refine-chat-characters', 'passed', noted and bot and usr from checks where chat
-  union all select 'refine-chat-safety-dials', 'passed', noted and sex and violence and toxicity from checks where chat
-  union all select 'refine-chat-genre-theme', 'passed', noted and genre and themes from checks where chat
-  union all select 'refine-chat-grammar', 'passed', noted and prose from checks where chat
-  union all select 'refine-chat-grammar', 'prose', prose from checks where chat)
+  select 'refine-cdm-language' as stage, unnest(['annotation', 'categorization_item', 'passed']) as "check", unnest([noted, language, noted and language]) as ok from checks
+  union all select 'refine-cdm-html-to-markdown', unnest(['annotation', 'narrative', 'passed']), unnest([noted, html, noted and html]) from checks where forum
+  union all select 'refine-chat-characters', unnest(['annotation', 'bot detail', 'user info', 'passed']), unnest([noted, bot, usr, noted and bot and usr]) from checks where chat
+  union all select 'refine-chat-safety-dials', unnest(['annotation', 'sexuality axis', 'violence axis', 'toxicity axis', 'passed']), unnest([noted, sex, violence, toxicity, noted and sex and violence and toxicity]) from checks where chat
+  union all select 'refine-chat-genre-theme', unnest(['annotation', 'primary genre', 'themes', 'passed']), unnest([noted, genre, themes, noted and genre and themes]) from checks where chat
+  union all select 'refine-chat-grammar', unnest(['annotation', 'prose', 'passed']), unnest([noted, prose, noted and prose]) from checks where chat)
 select stage, "check", count(*) filter (ok) as n_passed, count(*) as n_due, count(*) filter (ok) * 100e0 / count(*) as pct from s group by all""",
-    "issue_counts": f"with {_FACTS}, {_ISSUES} select issue, count(*) as n_documents from issues where issue like 'Missing%' or issue like 'Unset%' group by all",
+    "issue_counts": f"with {_FACTS}, {_ISSUES} select issue, count(*) as n_documents from issues group by all",
     "source_breakdown": _shares(f"(select {_SRC} as source from doc_meta)", "source"),
     "conversion_summary": f"with {_FACTS}, t as (select sum(turns)::bigint as total_turns, sum(turns_converted)::bigint as converted_turns from checks) select *, converted_turns * 100e0 / total_turns as pct, (total_turns - converted_turns) * 5e0 / 3600e0 as hours_left from t",
     "char_names": """
@@ -245,6 +246,23 @@ select variant_id, estimate, greatest(8192, floor(estimate * 3e0)::int) as budge
     "language_windows": f"""
 with {_WINDOW_TEXTS}, i as (select doc_uuid, item_id, item_pos, ((row_number() over (partition by doc_uuid order by item_pos, item_id) - 1) // 5)::int as window_no from doc_items where kind in ('turn', 'narrative'))
 select doc_uuid, window_no, sha256(string_agg(t, chr(10) order by item_pos, item_id)) as text_sha from i join best using (doc_uuid, item_id) group by doc_uuid, window_no""",
+    "language_scores": f"""
+with {_WINDOW_TEXTS}, i as (select doc_uuid, item_id, item_pos, (row_number() over (partition by doc_uuid order by item_pos, item_id) - 1) // 5 as window_no from doc_items where kind in ('turn', 'narrative')),
+w as (select doc_uuid, window_no, string_agg(t, chr(10) order by item_pos, item_id) as text from i join best using (doc_uuid, item_id) group by doc_uuid, window_no),
+letters as (
+  select doc_uuid, window_no, null as lang, string_split(' ' || lower({_strip("regexp_replace(text, '[^\\p{L}]+', ' ', 'g')")}) || ' ', '') as c from w
+  union all select null, null, lang, string_split(' ' || lower({_strip("regexp_replace(text, '[^\\p{L}]+', ' ', 'g')")}) || ' ', '') from lang_samples where text is not null and lang is not null
+), g as (select doc_uuid, window_no, lang, c[k] || c[k + 1] || c[k + 2] as g from (select *, unnest(range(1, len(c) - 1)) as k from letters)),
+counts as (select lang, g, count(*) as n from g where lang is not null group by all),
+size as (select lang, ln(0.5 / (sum(n) + 0.5 * count(*))) as least from counts group by lang),
+mine as (select doc_uuid, window_no, g, count(*) as m from g where lang is null group by all),
+total as (select doc_uuid, window_no, sum(m) as k from mine group by all),
+gains as (select doc_uuid, window_no, lang, sum(m * ln(n / 0.5 + 1)) as gain from mine join counts using (g) group by all),
+means as (select doc_uuid, window_no, k, size.lang, least + coalesce(gain, 0) / k as m from total cross join size left join gains using (doc_uuid, window_no, lang)),
+e as (select *, exp((m - max(m) over (partition by doc_uuid, window_no)) * least(k, 40)) as e from means),
+s as (select doc_uuid, window_no, lang, e / sum(e) over (partition by doc_uuid, window_no) as score from e),
+b as (select doc_uuid, lang, max(score) as score, count(*) as n from s group by doc_uuid, lang having max(score) >= 0.05)
+select doc_uuid, string_agg(lang, ',' order by score desc, lang) as languages, max(n) as n_windows from b group by doc_uuid""",
     "latest_annotations": "select doc_uuid, item_id, arg_max(annotation, row(ingested_at, variant_id)) as annotation, count(*) as n from content_variants where annotation is not null group by all",
     "html_extract": "select variant_id, regexp_extract(text, '^<([a-z0-9]+)', 1) as first_tag, len(regexp_extract_all(text, '<(/?[a-z0-9]+)[^<>]*>', 1)) as n_tags from content_variants where text like '%<%'",
     "scalpel_items": "select doc_uuid, count(*) as n_items from doc_items where not coalesce(kind = 'categorization' and category in ('language', 'genre', 'theme'), false) group by doc_uuid",
