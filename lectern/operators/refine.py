@@ -59,15 +59,15 @@ def language_windows(items: DataFrame, variants: DataFrame, targets: dict[str, l
     return out.groupBy("doc_uuid", "window_no").agg(F.array_join(F.transform(rows, lambda r: r["text"]), "\n").alias("text"))
 
 
-def trigram_scores(windows: DataFrame, samples: DataFrame, smooth: float = 0.5) -> DataFrame:
+def trigram_scores(windows: DataFrame, samples: DataFrame, smooth: float = 0.5, max_samples: int = 20_000) -> DataFrame:
     """``doc_uuid, window_no, lang, score``: softmax over languages of mean trigram log-probability of a window.
 
-    The profile (bounded by the samples' trigrams) goes to the workers; each window is cut into trigrams and summed where it is
+    The profile goes to the workers, fitted on at most ``max_samples`` samples (those of the smallest hashes); each window is cut into trigrams and summed where it is
     read, without a row per trigram.
     """
     clean = lambda c: F.concat(F.lit(" "), F.lower(strip(F.regexp_replace(c, r"(?U)[^\p{L}]+", " "))), F.lit(" "))
     known: dict[str, dict[str, int]] = {}
-    for r in samples.where("text is not null and lang is not null").select("lang", clean(F.col("text")).alias("c")).collect():
+    for r in samples.where("text is not null and lang is not null").orderBy(F.xxhash64("text", "lang")).limit(max_samples).select("lang", clean(F.col("text")).alias("c")).collect():
         mine = known.setdefault(r.lang, {})
         for i in range(len(r.c) - 2):
             mine[r.c[i : i + 3]] = mine.get(r.c[i : i + 3], 0) + 1
