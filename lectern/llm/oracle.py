@@ -81,7 +81,57 @@ select s.variant_id, (select min(group_id) from r where r.id = s.variant_id) as
 from s join c using (h) left join l on l.a = s.variant_id
 """
 
+_PIECES = """
+with recursive t as (
+  select variant_id as key, text, length(text) as n, string_split(text, '') as c from content_variants where length(text) > 2000
+), ends as (
+  select key, n, text, c, list_filter(range(1, n + 1), lambda i: c[i] in (' ', chr(9), chr(10), chr(11), chr(12), chr(13), chr(28), chr(29), chr(30), chr(31), chr(133), chr(160), chr(5760), chr(8232), chr(8233), chr(8239), chr(8287), chr(12288)) or (unicode(c[i]) between 8192 and 8202)) as spaces
+  from t
+), kinds as (
+  select key, text, n, spaces,
+    (select list(x) from (select sum(length(p) + 2) over (order by i) as x, i, len(ps) as k from (select unnest(range(1, len(ps) + 1)) as i, unnest(ps) as p, ps from (select string_split(text, chr(10) || chr(10)) as ps))) where i < k) as paragraphs,
+    list_filter(spaces, lambda i: i > 1 and c[i - 1] in ('.', '!', '?', '…')) as sentences
+  from ends
+), cut as (
+  select key, n, 0::bigint as no, 0::bigint as a,
+    coalesce(list_max(list_filter(paragraphs, lambda x: x <= 2000 and x > 200)), list_max(list_filter(sentences, lambda x: x <= 2000 and x > 200)), list_max(list_filter(spaces, lambda x: x <= 2000 and x > 200)), 2000)::bigint as z,
+    case when list_max(list_filter(paragraphs, lambda x: x <= 2000 and x > 200)) is not null then 'paragraph' when list_max(list_filter(sentences, lambda x: x <= 2000 and x > 200)) is not null then 'sentence'
+      when list_max(list_filter(spaces, lambda x: x <= 2000 and x > 200)) is not null then 'word' else 'hard' end as kind
+  from kinds
+  union all
+  select key, n, no + 1, b,
+    case when n - b <= 2000 then n else coalesce(p, s, w, b + 2000) end, case when n - b <= 2000 then 'end' when p is not null then 'paragraph' when s is not null then 'sentence' when w is not null then 'word' else 'hard' end
+  from (
+    select c.key, c.n, c.no, c.z - 200 as b,
+      list_max(list_filter(k.paragraphs, lambda x: x <= c.z + 1800 and x > c.z)) as p, list_max(list_filter(k.sentences, lambda x: x <= c.z + 1800 and x > c.z)) as s, list_max(list_filter(k.spaces, lambda x: x <= c.z + 1800 and x > c.z)) as w
+    from cut c join kinds k using (key) where c.kind <> 'end')
+), runs as (
+  select item_key as key, len(item_ids) as n, unnest(range(0, (len(item_ids) - 11) // 90 + 1)) as no from doc_items where kind = 'sequence' and len(item_ids) > 100
+)
+select 'text' as obj, key as obj_key, f.finest, no::int as piece_no, a::int as piece_begin, z::int as piece_end, kind as cut, substring(text, a + 1, z - a) as piece_text
+from cut join t using (key) join (__FINEST__) f on f.obj = 'text' and f.obj_key = key
+union all
+select 'sequence', key, 'item', no::int, (no * 90)::int, least(n, no * 90 + 100)::int, case when no * 90 + 100 >= n then 'end' else 'item' end, null from runs
+""".replace("__FINEST__", _PIECE_KIND)
+
+_WINDOWS = """
+t as (select doc_id, text, length(text) as n from documents where text is not null and length(text) >= 240),
+w as (select doc_id, i, hash(substring(text, i, 240)) as h from (select *, unnest(range(1, n - 238)) as i from t)),
+s as (select h, min(doc_id) as first from w group by h having min(doc_id) <> max(doc_id)),
+m as (select doc_id, i, first < doc_id as late from w join s using (h))
+"""
+_UNION = """(select doc_id, sum(z - a)::bigint as chars from (
+  select doc_id, least(i + 240, coalesce(lead(i) over (partition by doc_id order by i), i + 240)) as z, i as a from m where {0}) group by doc_id)"""
+_SHARES = f"""
+with {_WINDOWS}
+select d.doc_id, coalesce(length(d.text), 0)::bigint as n_chars, coalesce(a.chars, 0) as shared_chars, coalesce(b.chars, 0) as removable_chars,
+  case when length(d.text) > 0 then coalesce(a.chars, 0) / length(d.text)::double else 0 end as shared_share
+from documents d left join {_UNION.format('true')} a using (doc_id) left join {_UNION.format('late')} b using (doc_id)
+"""
+
 _SQL: dict[str, str] = {
+    "p5_pieces": _PIECES,
+    "p9_shares": _SHARES,
     "p3_groups": _EDITED_GROUPS,
     "p3_found": _EDITED,
     "p9_found": _SHARED,
