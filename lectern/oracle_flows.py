@@ -64,8 +64,9 @@ _STATS = f"({_CORE['doc_stats']})"
 _AXES = f"""
 axes as (
   select d.doc_uuid, coalesce(r.genre, 'Unset') as genre, coalesce(sexuality, 'Clean') as sexuality, coalesce(violence, 'None') as violence, coalesce(toxicity, 'Safe') as toxicity,
-    case when coalesce(languages, '') = '' then ['en'] else string_split(languages, '|') end as languages
+    coalesce(l.languages, ['en']) as languages
   from doc_meta d left join {_RESOLVED} r using (doc_uuid)
+  left join (select doc_uuid, list(v) as languages from (select distinct doc_uuid, unnest(value) as v from doc_items where kind = 'categorization' and category = 'language') group by doc_uuid) l using (doc_uuid)
 ), tags as (select doc_uuid, {_term('tag')} as term from (select doc_uuid, unnest(value) as tag from doc_items where kind = 'categorization' and category = 'theme'))
 """
 
