@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lectern import config, inference
-from lectern.functions.text import normal_gender, thread_identity
+from lectern.functions.text import normal_gender, stamp, thread_identity
 from lectern.model import GENRES, SEXUAL, TOXICITY, VIOLENCE, Corpus
 from lectern.operators import enrich, ingest, meta, package, refine, report, resolve, select
 from lectern.plans import checkpoint_dir, counted, cut_lineage, table
@@ -275,6 +275,69 @@ def package_variants(spark, folder):
     return c.variants.select("doc_uuid", "item_id", "name", F.md5("text").alias("text_md5"), "annotation")
 
 
+@query
+def package_order(spark, folder):
+    """Packaged lines stand in the order of ids."""
+    return readers.json_lines(spark, _packed(spark, folder)).select("line_no", F.get_json_object("raw", "$.id").alias("doc_uuid"))
+
+
+@query
+def records_overwritten(spark, folder):
+    """Records written again take the place of theirs, and of no others."""
+    m, path = table(spark, folder, "doc_meta"), _place(spark, "records")
+    writers.overwrite_records(m.select("doc_uuid", F.lit("old").alias("line")), path)
+    writers.overwrite_records(m.where("is_healthy").select("doc_uuid", F.lit("new").alias("line")), path)
+    return spark.read.parquet(path).select("doc_uuid", "line")
+
+
+@query
+def record_listing(spark, folder):
+    """Names and sizes of record files, blank ones among them."""
+    path = _place(spark, "files").removeprefix("file:")
+    writers.stage_workspace(path, [])
+    for name, text in (("a.json", '{"id":"a"}'), ("b.json", ""), ("c.txt", "x")):
+        with open(f"{path}/{name}", "w", encoding="utf-8") as f:
+            f.write(text)
+    return readers.record_files(spark, path)
+
+
+@query
+def acquired_files(spark, folder):
+    """Files fetched where they are missing, and left alone where they are there."""
+    path = _place(spark, "raw").removeprefix("file:")
+    writers.stage_workspace(path, [])
+    with open(f"{path}/one.jsonl", "w", encoding="utf-8") as f:
+        f.write("old\n")
+
+    def fetch(name, file, to):
+        with open(to, "w", encoding="utf-8") as f:
+            f.write(f"{name}/{file}\n")
+
+    got = readers.acquire_dataset("set", path, fetch, ("one.jsonl", "two.jsonl"))
+    return spark.read.text(got).select("value")
+
+
+@query
+def rendered_templates(spark, folder):
+    path = _place(spark, "templates").removeprefix("file:")
+    writers.stage_workspace(path, [])
+    with open(f"{path}/t.txt", "w", encoding="utf-8") as f:
+        f.write("Say $what to ${who}.")
+    return spark.createDataFrame([(readers.template(f"{path}/t.txt").substitute(what=w, who="all"),) for w in ("hello", "no")], "text string")
+
+
+@query
+def run_stamps(spark, folder):
+    return table(spark, folder, "ledger").select("uuid", "recorded_at", stamp(F.col("recorded_at")).alias("stamp"))
+
+
+@query
+def ranked_sources(spark, folder):
+    """The three sources with most documents; ties by where a source came first."""
+    m = positions(table(spark, folder, "doc_meta").select("doc_uuid", select.source_identity().alias("source")), "doc_uuid")
+    return report.top_with_rest(m.groupBy("source").agg(F.count("*").alias("n"), F.min("pos").alias("first")), "source", k=3, first="first")
+
+
 @query
 def validated_documents(spark, folder):
     """Lines of which some are cut short, without id, or with an item of no kind."""

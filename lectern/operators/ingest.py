@@ -183,8 +183,9 @@ def threads(pages: DataFrame, corpus: Corpus, recorded_at: Column, source: str =
     seq = seq.select(*_empty_items(F.col("doc_uuid"), item_pos=F.lit(1 << 30), item_id=F.lit("seq-thread-000001"), kind=F.lit("sequence"), item_ids=F.col("item_ids"), data=F.lit('{"sequence_for":"thread"}')))
     shape = seq.columns
     items = corpus.items.select(*shape).join(seq.select("doc_uuid", "item_id"), ["doc_uuid", "item_id"], "left_anti").unionByName(new_items).unionByName(seq)
-    made = known.where("is_new")
-    added = made.select("source", "native_id", "uuid", F.lit(None).cast("string").alias("meta"), recorded_at.alias("recorded_at"))
+    there = corpus.meta.select(F.col("doc_uuid").alias("uuid"), F.lit(True).alias("there")).distinct()
+    made = known.join(there, "uuid", "left").where("there is null")  # new, or known to the ledger only
+    added = made.where("is_new").select("source", "native_id", "uuid", F.lit(None).cast("string").alias("meta"), recorded_at.alias("recorded_at"))
     meta = made.select(F.col("uuid").alias("doc_uuid"), F.lit("document").alias("kind"), F.col("source").alias("source_identity"), "native_id")
     full = corpus.complete().meta
     return Corpus(full.unionByName(meta, allowMissingColumns=True), items, merged, corpus.ledger.select(*added.columns).unionByName(added))

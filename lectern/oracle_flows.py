@@ -115,6 +115,15 @@ select 'meta' as part, count(*) as n from doc_meta union all select 'items', cou
 select doc_uuid, item_id, i.kind, entity_id, actor_id, category, array_to_string(value, '|') as value, reasoning, coalesce(len(item_ids), -1) as n_ids from doc_items i semi join doc_meta using (doc_uuid)""",
     "package_variants": """
 select doc_uuid, item_id, v.name, md5(v.text) as text_md5, annotation from content_variants v semi join doc_items using (doc_uuid, item_id) where doc_uuid in (select doc_uuid from doc_meta)""",
+    "package_order": "select row_number() over (order by doc_uuid) - 1 as line_no, doc_uuid from doc_meta",
+    "records_overwritten": "select doc_uuid, case when is_healthy then 'new' else 'old' end as line from doc_meta",
+    "record_listing": "select * from (values ('a.json', 10), ('b.json', 0)) as t(file, n_bytes)",
+    "acquired_files": "select * from (values ('old'), ('set/two.jsonl')) as t(value)",
+    "rendered_templates": "select * from (values ('Say hello to all.'), ('Say no to all.')) as t(text)",
+    "run_stamps": "select uuid, recorded_at, strftime(recorded_at, '%Y%m%d%H%M%S') as stamp from ledger",
+    "ranked_sources": f"""
+with c as (select {_SRC} as source, count(*) as n, min(doc_uuid) as first from doc_meta group by all), top as (select source, n from c order by n desc, first limit 3)
+select * from top union all select '(other)', coalesce(sum(n), 0)::bigint from c anti join top using (source)""",
     "validated_documents": """
 with n as (select doc_uuid, count(*) as n, count(*) filter (kind = 'turn') as t from doc_items group by doc_uuid),
 d as (select coalesce(n, 0) as n, case when is_healthy is null then 'short' when source_identity is null then 'nameless' when not is_healthy and coalesce(t, 0) > 0 then 'kind' else '' end as fault from doc_meta left join n using (doc_uuid))

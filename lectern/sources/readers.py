@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+from string import Template
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -12,12 +13,12 @@ from lectern.functions.text import strip
 from lectern.model import DOCUMENT, KINDS, Corpus
 
 
-def in_file_order(rows: DataFrame, name: str) -> DataFrame:
-    """``rows`` of a file source with ``name``, their number from 0: files by time of writing, then name; rows as they stand.
+def in_file_order(rows: DataFrame, name: str, by_time: bool = False) -> DataFrame:
+    """``rows`` of a file source with ``name``, their number from 0: files by name (``by_time``: by time of writing first), rows as they stand.
 
     Only the number of rows of each split comes to the driver.
     """
-    split = F.struct(F.col("_metadata.file_modification_time").alias("at"), F.col("_metadata.file_path").alias("path"), F.col("_metadata.file_block_start").alias("start"))
+    split = F.struct((F.col("_metadata.file_modification_time") if by_time else F.lit(None).cast("timestamp")).alias("at"), F.col("_metadata.file_path").alias("path"), F.col("_metadata.file_block_start").alias("start"))
     rows = rows.withColumns({"__split": split, "__m": F.monotonically_increasing_id()})
     at, shift = 0, []
     for r in rows.groupBy("__split").agg(F.count("*").alias("n"), F.min("__m").alias("low")).orderBy("__split").collect():
@@ -27,9 +28,9 @@ def in_file_order(rows: DataFrame, name: str) -> DataFrame:
     return rows.join(F.broadcast(offsets), "__split").withColumn(name, F.col("__m") + F.col("__shift")).drop("__split", "__m", "__shift")
 
 
-def json_lines(spark: SparkSession, path: str) -> DataFrame:
+def json_lines(spark: SparkSession, path: str, by_time: bool = False) -> DataFrame:
     """``line_no, raw``: non-blank lines; ``line_no`` counts all lines from 0, in the order of :func:`in_file_order`."""
-    lines = in_file_order(spark.read.text(path), "line_no")
+    lines = in_file_order(spark.read.text(path), "line_no", by_time)
     return lines.select("line_no", strip(F.col("value")).alias("raw")).where("raw <> ''")
 
 
@@ -88,6 +89,19 @@ def to_corpus(docs: DataFrame, ledger: DataFrame) -> Corpus:
     return Corpus(meta, items, variants, ledger)
 
 
+def record_files(spark: SparkSession, folder: str, pattern: str = "*.json") -> DataFrame:
+    """``file, n_bytes`` of the record files of a folder, blank ones included; their contents aren't read."""
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{folder}/{pattern}")
+    found = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).globStatus(path) or []
+    return spark.createDataFrame([(s.getPath().getName(), s.getLen()) for s in found], "file string, n_bytes long")
+
+
+def template(path: str) -> Template:
+    """A prompt template: text with ``${name}`` where values go; :meth:`string.Template.substitute` fails on a missing one."""
+    with open(path, encoding="utf-8") as f:
+        return Template(f.read())
+
+
 def forum_pages(spark: SparkSession, path: str, limit: int | None = None) -> DataFrame:
     """``section_url, contents`` of page files; a limit takes the first pages by address."""
     pages = spark.read.parquet(path).select("section_url", "contents")
@@ -105,7 +119,7 @@ def ledger(spark: SparkSession, path: str) -> DataFrame:
     ``recorded_at`` is what the line says; ``line_no`` orders lines that don't say it or say the same.
     """
     fields = "source string, native_id string, uuid string, meta variant, recorded_at string"
-    rows = json_lines(spark, path).where(F.try_parse_json("raw").isNotNull()).select("line_no", F.from_json("raw", fields).alias("r"))
+    rows = json_lines(spark, path, by_time=True).where(F.try_parse_json("raw").isNotNull()).select("line_no", F.from_json("raw", fields).alias("r"))
     return rows.where("r.uuid is not null").select("r.source", "r.native_id", "r.uuid", F.to_json("r.meta").alias("meta"), "r.recorded_at", "line_no")
 
 

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lectern.model import Corpus
+from lectern.plans import cut_lineage
 
 
 def _fs(spark: SparkSession, path: str):
@@ -36,6 +37,21 @@ def _put(spark: SparkSession, stage: str, path: str) -> None:
         fs.delete(old, True)
 
 
+def overwrite_records(lines: DataFrame, path: str, key: str = "doc_uuid", buckets: int = 64) -> None:
+    """Write records (``key``, line) in the place of those with their keys; other records stay.
+
+    Records lie in buckets of their key, and only the buckets that are touched are read and replaced.
+    """
+    spark = lines.sparkSession
+    new = cut_lineage(lines.select(key, "line").withColumn("bucket", F.pmod(F.xxhash64(key), F.lit(buckets)).cast("int")))
+    fs, at, _ = _fs(spark, path)
+    if fs.exists(at):
+        touched = [r[0] for r in new.select("bucket").distinct().collect()]
+        old = spark.read.schema(new.schema).parquet(path).where(F.col("bucket").isin(*touched) if touched else F.lit(False))
+        new = cut_lineage(new.unionByName(old.join(new.select(key).distinct(), key, "left_anti")))
+    new.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("bucket").parquet(path)
+
+
 def save(corpus: Corpus, folder: str) -> None:
     for name, df in (("doc_meta", corpus.meta), ("doc_items", corpus.items), ("content_variants", corpus.variants), ("ledger", corpus.ledger)):
         replace_table(df, f"{folder}/{name}.parquet")
