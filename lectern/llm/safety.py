@@ -23,6 +23,7 @@ in flagged documents mostly; and clean sentences that the network scores high, o
 
 from __future__ import annotations
 
+import functools
 import hashlib
 import re
 from collections.abc import Iterator
@@ -60,6 +61,7 @@ def tokens(text: str) -> list[str]:
     return TOKEN.findall(_SPLIT.sub("", text))
 
 
+@functools.lru_cache(1 << 18)
 def normal(token: str) -> str:
     """A token in lower case, with letters restored that other characters stand for or that are drawn out."""
     t = token.lower()
