@@ -52,12 +52,26 @@ LOOKALIKE = str.maketrans({"$": "s", "@": "a", "0": "o", "1": "i", "!": "i", "3"
 _DRAWN = re.compile(r"([^\W\d_])\1{2,}")
 
 
-def tokens(text: str) -> list[str]:
+def apart(letters: str, words: set[str] | frozenset[str]) -> str:
+    """Letters written one by one, as the fewest known words that they make up, or else as one word."""
+    low, best = letters.lower(), [(0, 0)]
+    for j in range(1, len(letters) + 1):
+        best.append(min(((best[i][0] + 1, i) for i in range(max(0, j - 24), j) if low[i:j] in words), default=(len(letters) + 1, 0)))
+    if best[-1][0] > len(letters):
+        return letters
+    out, j = [], len(letters)
+    while j:
+        out.append(letters[best[j][1] : j])
+        j = best[j][1]
+    return " ".join(reversed(out))
+
+
+def tokens(text: str, words: set[str] | frozenset[str] = frozenset()) -> list[str]:
     """Tokens of a text after undoing invisible characters, letters spaced out and marks put into words."""
     text = plain(text)
     if not text.isascii():
         text = _HIDDEN.sub("", text)
-    text = _SPACED.sub(lambda m: m[0][::2], text)
+    text = _SPACED.sub(lambda m: apart(m[0][::2], words), text)
     return TOKEN.findall(_SPLIT.sub("", text))
 
 
@@ -308,10 +322,13 @@ class Classifier:
         ``find_more`` gives texts of clean documents that hold any of the given words.
         """
         weak = Weak(*bags) if bags else None
-        rows = [(tokens(x), a, b) for x, a, b in passages] + [(tokens(x), None, None) for x in clean]
+        texts = [x for x, _, _ in passages] + list(clean)
+        #: Words as they are written out, to read those whose letters stand apart.
+        self.written = {w for x in texts for w in map(normal, tokens(_SPACED.sub(" ", plain(x)))) if w.isalpha() and (len(w) > 1 or w in "ai")}
+        rows = [(self.tokens(x), a, b) for x, a, b in passages] + [(self.tokens(x), None, None) for x in clean]
         if weak:
-            rows += [(tokens(x), 1.0, 0.0) for x in weak.cases(0)] + [(tokens(x), 0.0, 1.0) for x in weak.cases(1)]
-            rows += [(tokens(x), None, None) for _, x in bags[2][:: max(1, len(bags[2]) // 4_000)]]
+            rows += [(self.tokens(x), 1.0, 0.0) for x in weak.cases(0)] + [(self.tokens(x), 0.0, 1.0) for x in weak.cases(1)]
+            rows += [(self.tokens(x), None, None) for _, x in bags[2][:: max(1, len(bags[2]) // 4_000)]]
         self._fit(rows, steps, batch, seed)
         if weak:
             # clean sentences that score high are learnt until none is left, but for those that look like cases
@@ -326,7 +343,7 @@ class Classifier:
                 if not new:
                     break
                 hard |= new
-                rows += [(tokens(x), 0.0, 0.0) for x in sorted(new)]
+                rows += [(self.tokens(x), 0.0, 0.0) for x in sorted(new)]
                 self._fit(rows, steps // 2, batch, seed + 1 + again, more=True)
 
     def _fit(self, rows: list, steps: int, batch: int, seed: int, more: bool = False) -> None:
@@ -345,6 +362,9 @@ class Classifier:
         self._train(texts, steps, batch, rng, more)
         self.table = {d: np.zeros((1, 3 * HIDDEN), np.float32) for d in "fb"}
 
+    def tokens(self, text: str) -> list[str]:
+        return tokens(text, self.written)
+
     def _read(self, token: str) -> str:
         t = normal(token)
         return self.masked.get((t[0], t[-1], len(t)), t) if "**" in t else t
@@ -427,7 +447,7 @@ class Classifier:
 
     def scores(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """For each text the greatest window score on each axis, and the number of windows."""
-        split = [tokens(t) for t in texts]
+        split = [self.tokens(t) for t in texts]
         self.learn({w for ws in split for w in ws})
         get = self.known.__getitem__
         n = np.array([len(ws) for ws in split], np.int64)

@@ -89,6 +89,12 @@ def test_tokens_undo_disguises():
     assert t("A b c") == ["a", "b", "c"] and t("end.Next") == ["end", "next"]
 
 
+def test_letters_apart_make_known_words():
+    known = {"filthy", "animals", "a", "an"}
+    assert safety.tokens("they are f i l t h y a n i m a l s here", known)[2:4] == ["filthy", "animals"]
+    assert safety.tokens("x q z w k here", known) == ["xqzwk", "here"] and safety.apart("aan", known) == "a an"
+
+
 def test_axis_values(spark):
     from pyspark.sql import functions as F
 

@@ -171,3 +171,20 @@ def test_tokens_read_back(spark):
     docs = spark.createDataFrame([(1, text, "S x")], "k long, text string, source string")
     r = mixing.token_counts(docs, "k", "text", "source").first()
     assert r.n_tokens == len(code.encode_ordinary(text)) and r.source == "sx"
+
+
+@pytest.mark.parametrize("fine", [1, 7, 2_000])
+def test_a_block_is_cut_where_its_room_ends(spark, fine):
+    r = random.Random(6)
+    rows = [(k, s, r.randrange(-(1 << 63), 1 << 63), r.randrange(1, 50)) for k, s in enumerate(["a"] * 300 + ["b"] * 40 + ["c"] * 5)]
+    room = {"a": 2_500, "b": 1, "c": 10_000}
+    want = set()
+    for s, left in room.items():
+        for k, _, _, n in sorted((x for x in rows if x[1] == s), key=lambda x: x[2]):
+            left -= n
+            if left < 0:
+                break
+            want.add(k)
+    df = spark.createDataFrame(rows, "doc_id long, source string, shuffle_key long, n_tokens int")
+    got = mixing._upto(df, {s: (0, 0, left, 0) for s, left in room.items()}, "doc_id", fine)
+    assert {x.doc_id for x in got.collect()} == want
