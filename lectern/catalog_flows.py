@@ -275,6 +275,13 @@ def package_variants(spark, folder):
     return c.variants.select("doc_uuid", "item_id", "name", F.md5("text").alias("text_md5"), "annotation")
 
 
+@query
+def package_parts(spark, folder):
+    """Documents in lines of at most 20 items."""
+    p = package.part_lines(Corpus.load(spark, folder), 20)
+    return p.select("doc_uuid", "part_no", F.coalesce(F.json_array_length(F.get_json_object("line", "$.items")), F.lit(0)).cast("long").alias("n_items"), F.get_json_object("line", "$.items[0].id").alias("first_item"))
+
+
 @query
 def package_order(spark, folder):
     """Packaged lines stand in the order of ids."""

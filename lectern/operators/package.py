@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lectern.model import Corpus
+from lectern.plans.ordering import numbered
 
 
 def documents_json(corpus: Corpus) -> DataFrame:
@@ -21,6 +22,23 @@ def documents_json(corpus: Corpus) -> DataFrame:
     return d.select("doc_uuid", F.to_json(F.struct(F.col("doc_uuid").alias("id"), "kind", meta.alias("meta"), F.coalesce(ordered, F.array()).alias("items"))).alias("line"))
 
 
+def part_lines(corpus: Corpus, size: int = 1_000) -> DataFrame:
+    """``doc_uuid, part_no, line``: documents as compact JSON of at most ``size`` items a line, in order, numbered from 0.
+
+    Items are numbered over ranges and each line is gathered by itself, so a document of any length is never in one task.
+    Documents without items have one line.
+    """
+    order = ("variant_id",) if "variant_id" in corpus.variants.columns else ("name",)
+    variants = corpus.variants.groupBy("doc_uuid", "item_id").agg(F.array_sort(F.collect_list(F.struct(*order, F.struct("name", "text", "annotation").alias("v")))).alias("v"))
+    items = numbered(corpus.items, "doc_uuid", "item_pos", "item_id", name="__n").withColumn("part_no", F.floor((F.col("__n") - 1) / size).cast("int"))
+    items = items.join(variants, ["doc_uuid", "item_id"], "left")
+    body = F.struct(F.col("item_id").alias("id"), "kind", "entity_id", "actor_id", "category", "value", "reasoning", "item_ids", F.transform("v", lambda x: x["v"]).alias("content"))
+    lines = items.groupBy("doc_uuid", "part_no").agg(F.transform(F.array_sort(F.collect_list(F.struct("__n", body.alias("i")))), lambda x: x["i"]).alias("items"))
+    d = corpus.meta.select("doc_uuid", "kind").join(lines, "doc_uuid", "left")
+    part = F.coalesce("part_no", F.lit(0))
+    return d.select("doc_uuid", part.alias("part_no"), F.to_json(F.struct(F.col("doc_uuid").alias("id"), "kind", part.alias("part"), F.coalesce("items", F.array()).alias("items"))).alias("line"))
+
+
 def rejects(lines: DataFrame) -> DataFrame:
     """Documents that can't be packaged: no id, or a line that doesn't read back."""
     return lines.where(F.col("doc_uuid").isNull() | F.try_parse_json("line").isNull())

@@ -147,11 +147,44 @@ def average_linkage(x: np.ndarray, cut: float) -> np.ndarray:
     return label
 
 
-def clusters(vectors: DataFrame, cut: float = CUT) -> DataFrame:
+def chained_linkage(x: np.ndarray, cut: float) -> np.ndarray:
+    """The same clusters (ties apart) without a matrix of all pairs, by chains of nearest neighbours.
+
+    The mean cosine of two clusters of unit vectors is the product of their sums over the product of their sizes. A cluster
+    whose nearest other is not below the cut is final: merging others never brings one nearer than they were.
+    """
+    n = len(x)
+    sums, size, live, label = x.copy(), np.ones(n), np.ones(n, bool), np.arange(n)
+    chain: list[int] = []
+    while live.any():
+        if not chain:
+            chain.append(int(live.argmax()))
+        a = chain[-1]
+        near = np.where(live, (sums @ sums[a]) / (size * size[a]), -np.inf)
+        near[a] = -np.inf
+        b = int(near.argmax())
+        if len(chain) > 1 and near[chain[-2]] >= near[b]:
+            b = chain[-2]
+        if 1 - near[b] >= cut:
+            live[a] = False
+            chain.pop()
+        elif len(chain) > 1 and b == chain[-2]:
+            keep, gone = min(a, b), max(a, b)
+            sums[keep] += sums[gone]
+            size[keep] += size[gone]
+            live[gone] = False
+            label[label == gone] = keep
+            del chain[-2:]
+        else:
+            chain.append(b)
+    return label
+
+
+def clusters(vectors: DataFrame, cut: float = CUT, dense: int = 2_000) -> DataFrame:
     """``id, cluster_id``: average-linkage clusters; the cluster's id is its least member.
 
     A merge below the cut never crosses connected components of the graph of pairs below it, so each component is
-    clustered by itself and the matrix of all pairs is never built.
+    clustered by itself; one of more than ``dense`` members without the matrix of its pairs.
     """
     kind = vectors.schema["id"].dataType.simpleString()
     edges = cut_lineage(near_pairs(vectors, cut))
@@ -160,7 +193,7 @@ def clusters(vectors: DataFrame, cut: float = CUT) -> DataFrame:
 
     def one(p: pd.DataFrame) -> pd.DataFrame:
         p = p.sort_values("id")
-        label = average_linkage(_unit(p.vector), cut)
+        label = (average_linkage if len(p) <= dense else chained_linkage)(_unit(p.vector), cut)
         ids = p.id.to_numpy()
         return pd.DataFrame({"id": ids, "cluster_id": ids[label]})
 

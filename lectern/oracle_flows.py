@@ -115,6 +115,10 @@ select 'meta' as part, count(*) as n from doc_meta union all select 'items', cou
 select doc_uuid, item_id, i.kind, entity_id, actor_id, category, array_to_string(value, '|') as value, reasoning, coalesce(len(item_ids), -1) as n_ids from doc_items i semi join doc_meta using (doc_uuid)""",
     "package_variants": """
 select doc_uuid, item_id, v.name, md5(v.text) as text_md5, annotation from content_variants v semi join doc_items using (doc_uuid, item_id) where doc_uuid in (select doc_uuid from doc_meta)""",
+    "package_parts": """
+with i as (select doc_uuid, item_id, (row_number() over (partition by doc_uuid order by item_pos, item_id) - 1) as n from doc_items where doc_uuid in (select doc_uuid from doc_meta))
+select doc_uuid, (n // 20)::int as part_no, count(*) as n_items, arg_min(item_id, n) as first_item from i group by doc_uuid, n // 20
+union all select doc_uuid, 0, 0, null from doc_meta where doc_uuid not in (select doc_uuid from i)""",
     "package_order": "select row_number() over (order by doc_uuid) - 1 as line_no, doc_uuid from doc_meta",
     "records_overwritten": "select doc_uuid, case when is_healthy then 'new' else 'old' end as line from doc_meta",
     "record_listing": "select * from (values ('a.json', 10), ('b.json', 0)) as t(file, n_bytes)",

@@ -31,6 +31,6 @@ def numbered(df: DataFrame, key: str, *order: str, name: str = "n") -> DataFrame
 
     Only the first place of every key is aggregated and joined back, which AQE may split or broadcast.
     """
-    placed = cut_lineage(positions(df.where(F.col(key).isNotNull()), key, *order, name="__pos"))
+    placed = positions(df.where(F.col(key).isNotNull()), key, *order, name="__pos")  # from a checkpoint, so reading it twice is cheap
     first = placed.groupBy(key).agg(F.min("__pos").alias("__first"))
     return placed.join(first, key).withColumn(name, F.col("__pos") - F.col("__first") + 1).drop("__pos", "__first")

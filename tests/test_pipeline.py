@@ -370,3 +370,16 @@ def test_inference(spark):
     assert inference.answers(prompts, Echo, schema, budget=2).count() == 2
     turns = spark.createDataFrame([("d", i, f"t{i}", "fail" if i == 1 else f"w{i}") for i in range(4)], "doc_uuid string, item_pos int, item_id string, text string")
     assert [r.text for r in inference.refine_turns(turns, Echo).orderBy("item_id").collect()] == ["W0(0)", "W2(2)", "W3(3)"]
+
+
+def test_linkage_by_chains_gives_the_same_clusters():
+    import numpy as np
+    from lectern.operators.resolve import average_linkage, chained_linkage
+
+    for seed in range(6):
+        r = np.random.default_rng(seed)
+        x = r.normal(size=(12, 8))[r.integers(0, 12, 90)] + r.normal(size=(90, 8)) * 0.5
+        x /= np.linalg.norm(x, axis=1, keepdims=True)
+        for cut in (0.1, 0.35, 0.7):
+            a, b = average_linkage(x, cut), chained_linkage(x, cut)
+            assert len(set(zip(a, b))) == len(set(a)) == len(set(b))
