@@ -41,6 +41,8 @@ from lectern.plans import cut_lineage, join_checked
 WINDOW, WIDTH, HIDDEN, GRAMS = 24, 24, 16, 1 << 12
 #: Bound of the attention's exponents, and least length of a training passage.
 STEEP, LONG = 20.0, 48
+#: Tokens that are scored side by side.
+PLACES = 1 << 18
 AXES = ("sexual", "toxicity")
 TOKEN = re.compile(r"[^\W_]+(?:[$@*!]+[^\W_]+|[$@]+(?=\W|$))*|[\"“”«»!?]")
 _HIDDEN = re.compile("[\u00ad\u200b-\u200f\u2060\ufeff]")
@@ -75,7 +77,7 @@ def tokens(text: str, words: set[str] | frozenset[str] = frozenset()) -> list[st
     return TOKEN.findall(_SPLIT.sub("", text))
 
 
-@functools.lru_cache(1 << 18)
+@functools.lru_cache(1 << 16)
 def normal(token: str) -> str:
     """A token in lower case, with letters restored that other characters stand for or that are drawn out."""
     t = token.lower()
@@ -456,11 +458,20 @@ class Classifier:
         order = np.argsort(-n, kind="stable")[: int((n > 0).sum())]
         if not len(order):
             return out, windows
+        room = np.cumsum(n[order] + WINDOW)
+        low = 0
+        while low < len(order):  # some PLACES at a time, of texts of about one length
+            high = max(low + 1, int(np.searchsorted(room, (room[low - 1] if low else 0) + PLACES, "right")))
+            part = order[low:high]
+            out[part] = self._best(n[part], windows[part], np.fromiter((get(w) for k in part.tolist() for w in split[k]), np.int64, int(n[part].sum())))
+            low = high
+        return out, windows
+
+    def _best(self, size: np.ndarray, windows: np.ndarray, ids: np.ndarray) -> np.ndarray:
+        """The greatest window score of texts on each axis; texts are sorted, longest first, ``ids`` are all their tokens."""
         # texts lie one after another, each with WINDOW empty places behind it
-        size = n[order]
         room = size + WINDOW
         begin = np.cumsum(room) - room
-        ids = np.fromiter((get(w) for k in order.tolist() for w in split[k]), np.int64, int(size.sum()))
         at = np.repeat(begin - (np.cumsum(size) - size), size) + np.arange(len(ids))
         placed = np.zeros(int(room.sum()), np.int64)
         placed[at] = ids
@@ -469,11 +480,10 @@ class Classifier:
         weight = np.zeros_like(e)
         weight[at] = np.exp(e[at])
         total, mean = sliding(weight), sliding(weight * value)
-        first = np.repeat(begin - (np.cumsum(windows[order]) - windows[order]), windows[order]) + np.arange(int(windows[order].sum()))
-        logit = mean[first] / total[first]
-        top = np.maximum.reduceat(logit, np.cumsum(windows[order]) - windows[order])
-        out[order] = self.net._gate((top + self.net.p["o"]).astype(np.float32))
-        return out, windows
+        start = np.cumsum(windows) - windows
+        first = np.repeat(begin - start, windows) + np.arange(int(windows.sum()))
+        top = np.maximum.reduceat(mean[first] / total[first], start)
+        return self.net._gate((top + self.net.p["o"]).astype(np.float32))
 
     def _views(self, ids: np.ndarray, begin: np.ndarray, size: np.ndarray) -> np.ndarray:
         """What the pooling needs of every place's state: attention and value on both axes. Texts are sorted, longest first."""
