@@ -28,7 +28,7 @@ from pyspark.sql import functions as F
 
 from lectern.plans import cut_lineage, join_checked
 
-BITS, FAINT = 20, 0.1
+BITS, FAINT, TAIL = 20, 0.1, 0.1
 
 _CAMEL = re.compile(r"(?<=[a-zà-ÿ])(?=[A-ZÀ-Þ])")
 _OTHER = re.compile(r"[^\w]+|_+")
@@ -79,38 +79,59 @@ class Entries:
     def __init__(self, rows: list[tuple[int, str]], weight: np.ndarray) -> None:
         self.weight, self.grams = weight, Grams()
         forms = sorted({(k, f) for k, name in rows for f in turned(fold(name))})
-        self.ids = np.array(sorted({k for k, _ in forms}), np.int64)
-        self.first = np.searchsorted([k for k, _ in forms], self.ids)
+        self.ids = np.array([k for k, _ in forms], np.int64)
         self.n = len(forms)
         row, at, w = _flat([self.grams.of(f) for _, f in forms], weight)
+        #: Weights by spelling and place, and the same as postings by place.
+        self.key, self.key_w = row << BITS | at, w
         o = np.argsort(at, kind="stable")
         self.at, self.form, self.w = at[o], row[o], w[o]
 
-    def best(self, values: list[str], room: int = 1 << 22) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """For each value the entry with the greatest cosine, that cosine, and the greatest of the other entries."""
-        k, top, other = (np.full(len(values), x) for x in (-1, 0.0, 0.0))
-        if not self.n:
-            return k.astype(np.int64), top, other
-        step = max(1, room // self.n)
-        for low in range(0, len(values), step):
+    def best(self, values: list[str], least: float = 0.0, room: int = 1 << 22) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """For each value the entry with the greatest cosine, that cosine, and the greatest of the other entries.
+
+        Cosines under ``least`` may come out as 0. That spares the long postings: a value's n-grams of least weight, which
+        together can't add more than ``TAIL``, are looked up only for spellings that the others bring near enough.
+        """
+        k, top, other = np.full(len(values), -1, np.int64), np.zeros(len(values)), np.zeros(len(values))
+        tail = TAIL if least > TAIL else 0.0
+        step = max(1, room // max(1, self.n))
+        for low in range(0, len(values) if self.n else 0, step):
             part = [self.grams.of(fold(v)) for v in values[low : low + step]]
             row, at, w = _flat(part, self.weight)
-            lo, hi = np.searchsorted(self.at, at, "left"), np.searchsorted(self.at, at, "right")
+            o = np.lexsort((-w, row))
+            row, at, w = row[o], at[o], w[o]
+            upto = np.concatenate(([0.0], np.cumsum(w * w)))
+            start = np.searchsorted(row, np.arange(len(part) + 1))
+            left = upto[start[row + 1]] - upto[:-1]  # squared weight from this n-gram on
+            head = left > tail * tail
+            lo, hi = np.searchsorted(self.at, at[head], "left"), np.searchsorted(self.at, at[head], "right")
             n = hi - lo
             post = np.repeat(lo - (np.cumsum(n) - n), n) + np.arange(int(n.sum()))
-            cosine = np.bincount(np.repeat(row, n) * self.n + self.form[post], np.repeat(w, n) * self.w[post], minlength=len(part) * self.n)
-            per = np.maximum.reduceat(cosine.reshape(len(part), self.n), self.first, axis=1)
-            each, i = np.arange(len(part)), per.argmax(axis=1)
-            k[low : low + step], top[low : low + step] = self.ids[i], per[each, i]
-            per[each, i] = 0
-            other[low : low + step] = per.max(axis=1)
-        return k.astype(np.int64), top, other
-
-
-def _best_batches(batches: Iterator[pa.RecordBatch], rows: list[tuple[int, str]], weight: np.ndarray) -> Iterator[pa.RecordBatch]:
+            score = np.bincount(np.repeat(row[head], n) * self.n + self.form[post], np.repeat(w[head], n) * self.w[post], minlength=len(part) * self.n)
+            near = np.flatnonzero(score > max(0.0, least - tail - 1e-9))
+            of, form, score = near // self.n, near % self.n, score[near]
+            rest = np.flatnonzero(~head)
+            first = np.searchsorted(row[rest], np.arange(len(part) + 1))
+            m = (first[1:] - first[:-1])[of]
+            pair = np.repeat(np.arange(len(near)), m)
+            g = rest[np.repeat(first[of] - (np.cumsum(m) - m), m) + np.arange(int(m.sum()))] if len(rest) else np.zeros(0, np.int64)
+            want = form[pair[: len(g)]] << BITS | at[g]
+            i = np.minimum(np.searchsorted(self.key, want), len(self.key) - 1)
+            score += np.bincount(pair[: len(g)], np.where(self.key[i] == want, w[g] * self.key_w[i], 0.0), minlength=len(near))
+            o = np.lexsort((self.ids[form], -score, of))
+            of, entry, score = of[o], self.ids[form][o], score[o]
+            lead = np.flatnonzero(np.append(True, of[1:] != of[:-1])) if len(of) else np.zeros(0, np.int64)
+            k[low + of[lead]], top[low + of[lead]] = entry[lead], score[lead]
+            differ = entry != k[low + of]
+            np.maximum.at(other, low + of[differ], score[differ])
+        return k, top, other
+
+
+def _best_batches(batches: Iterator[pa.RecordBatch], rows: list[tuple[int, str]], weight: np.ndarray, least: float) -> Iterator[pa.RecordBatch]:
     entries = Entries(rows, weight)
     for b in batches:
-        k, top, other = entries.best(b.column("value").to_pylist())
+        k, top, other = entries.best(b.column("value").to_pylist(), least)
         yield pa.RecordBatch.from_arrays([b.column("value"), pa.array(k), pa.array(top), pa.array(other)], ["value", "k", "top", "other"])
 
 
@@ -152,7 +173,7 @@ def map_values(
 ) -> DataFrame:
     """``value, entry, score`` for every distinct non-blank value; ``entry`` is -1 where none is accepted.
 
-    ``score`` is the cosine of the entry, or of the best one where none is accepted. A value whose best entries tie, such as an
+    ``score`` is the cosine of the entry, or of the best one where none is accepted (0 where it is too small to count). A value whose best entries tie, such as an
     alias of two, is unmatched (the margin). Null and blank values give no rows, an empty list leaves all values
     unmatched, an empty table gives no rows, null entry ids are no entries.
     """
@@ -167,7 +188,7 @@ def map_values(
     found = None
     for i in range(blocks):
         rows = [(r.k, r.spelling) for r in (listed if blocks == 1 else listed.where(F.pmod(F.xxhash64("k"), F.lit(blocks)) == i)).collect()]
-        mine = each.mapInArrow(lambda it, rows=rows: _best_batches(it, rows, weight.value), "value string, k long, top double, other double")
+        mine = each.mapInArrow(lambda it, rows=rows: _best_batches(it, rows, weight.value, accept - margin), "value string, k long, top double, other double")
         found = mine if found is None else found.unionByName(mine)
     if blocks > 1:  # the best of all blocks; the best other is one of theirs, or the second of its own
         first = F.max_by(F.struct("k", "top", "other"), F.struct("top", -F.col("k")))

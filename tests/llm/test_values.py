@@ -69,6 +69,11 @@ def test_index_equals_dense_cosine():
         order = sorted(best.values())
         k, top, other = e.best([value])
         assert best[int(k[0])] == order[-1] and abs(top[0] - order[-1]) < 1e-9 and abs(other[0] - order[-2]) < 1e-9
+        for least in (0.35, 0.48):
+            k2, top2, other2 = e.best([value, "zzz"], least)
+            if top[0] >= least:
+                assert k2[0] == k[0] and abs(top2[0] - top[0]) < 1e-9 and (other[0] < least or abs(other2[0] - other[0]) < 1e-9)
+            assert k2[1] == -1 and top2[1] == 0
 
 
 def test_term_frequency_matches_counting(spark):
