@@ -39,6 +39,7 @@ from lectern.plans import cut_lineage, join_checked, semi_checked
 
 ORDER_PARTS, MAP_BITS, MAP_LOAD = 16, 256, 120
 LOAD, HOT, COARSE = 1 << 19, 20_000, 8
+MOST_RANGES, MOST_PARTS = 1 << 20, 10_000
 _SIDE, _CROSS = 1 << 31, 1 << 30
 
 
@@ -163,11 +164,13 @@ class Order:
     """The global order: rare buckets first, by hash within a level; and its cuts into fragments."""
 
     def __init__(self, level: np.ndarray, bits: int, threshold: float, least: int, load: int = LOAD, hot: int = HOT) -> None:
-        self.level, self.bits, self.hot = level, bits, hot
+        self.level, self.bits = level, bits
         weight = np.bincount(level, minlength=256) * self.count(np.arange(256))
         self.total = float(weight.sum())
         early = (1 - threshold) * self.total  # about what is posted, the rarest part of every record
-        n = max(least, int(np.ceil(early / load)))
+        n = min(max(least, int(np.ceil(early / load))), max(least, MOST_RANGES))
+        # a bucket holds many n-grams where data are large: only what stands out of them is a long list
+        self.hot = max(hot, 8 * self.total / (1 << bits))
         late = max(1, n // 5)
         self.cuts = self._at(np.concatenate([np.linspace(0, early, n - late + 1)[1:], np.linspace(early, self.total, late + 1)[1:-1]]), weight)
         self.coarse = self._at(np.linspace(0, self.total, COARSE + 1)[1:-1], weight)
@@ -436,8 +439,9 @@ def near_duplicates(
     are not read. Keys must be integers.
 
     ``fragments`` is the least number of ranges of the order, ``spark.sql.shuffle.partitions`` by default; there are more
-    where the n-grams of all records ask for it (about ``load`` postings a range); lists longer than ``hot`` are cut into
-    blocks. None of the three changes the result. Sets have 64-bit keys.
+    where the n-grams of all records ask for it (about ``load`` postings a range, up to ``MOST_RANGES``); lists longer than ``hot``,
+    and 8 times what a bucket of the sketch holds on average, are cut into blocks, so ``order_bits`` should grow with data
+    beyond some hundred GB. None of these changes the result. Sets have 64-bit keys.
     """
     spark = docs.sparkSession
     if not 0 < threshold <= 1:
@@ -448,7 +452,7 @@ def near_duplicates(
     order = Order(order_levels(base, args, order_bits), order_bits, threshold, least, load, hot)
     shared = spark.sparkContext.broadcast(order)
     posted = base.mapInArrow(lambda it: _posting_batches(it, args, shared.value, threshold), _POST_DDL)
-    parts = order.fragments()
+    parts = min(order.fragments(), max(least, MOST_PARTS))
     spread = posted.repartitionById(parts, F.pmod("unit", F.lit(parts))).sortWithinPartitions("unit")
     met = cut_lineage(spread.mapInArrow(lambda it: _meet_batches(it, threshold), "a long, b long, member boolean"))
     members = met.where("member").select(F.col("b").alias("id"), F.col("a").alias("class")).distinct()
