@@ -134,14 +134,15 @@ def _report(corpus: Corpus, p: dict[str, Any]) -> Corpus:
     start, stop = p.get("start_uuid"), p.get("stop_uuid")
     part = corpus if start is None and stop is None else corpus.only(in_range(corpus.meta, start, stop))
     wrong = report.unknown_sections(p.get("report_sections") or [])
-    text = writers.text_report(report.report(part, p.get("report_sections")))
+    # a table of all documents is shown in part, and the text tells how much more there is
+    text = writers.text_report(report.report(part, p.get("report_sections")), p.get("rows", 1_000))
     _say("\n".join([text, *(f"no section {s}" for s in wrong)]), p)
     return corpus
 
 
 def _report_records(corpus: Corpus, p: dict[str, Any]) -> Corpus:
     m = corpus.meta.select("doc_uuid", source_identity().alias("source"))
-    _say(writers.text_report({"records": {"sources": report.shares(m, "source"), "ranges": report.source_ranges(m, "doc_uuid", "source"), "samples": report.position_samples(m, "doc_uuid"), "orphans": report.ledger_orphans(corpus.meta, corpus.ledger)}}), p)
+    _say(writers.text_report({"records": {"sources": report.shares(m, "source"), "ranges": report.source_ranges(m, "doc_uuid", "source"), "samples": report.position_samples(m, "doc_uuid"), "orphans": report.ledger_orphans(corpus.meta, corpus.ledger)}}, p.get("rows", 1_000)), p)
     return corpus
 
 
