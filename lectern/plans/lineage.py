@@ -20,7 +20,7 @@ def checkpoint_dir(spark: SparkSession) -> str:
         return current
     wanted = spark.conf.get("spark.checkpoint.dir", None)
     if not wanted:
-        if not sc.master.startswith("local["):
+        if sc.master != "local" and not sc.master.startswith("local["):
             raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         wanted = tempfile.mkdtemp(prefix="lectern-checkpoint-")
     sc.setCheckpointDir(wanted)
