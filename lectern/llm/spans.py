@@ -214,14 +214,15 @@ def _window_batches(batches: Iterator[pa.RecordBatch], cuts: Cuts) -> Iterator[p
             yield pa.RecordBatch.from_arrays([pa.array(h), none, pa.nulls(len(h), pa.int32())], ["h", "__key", "at"])
 
 
-def _partner_batches(batches: Iterator[pa.RecordBatch], cuts: Cuts) -> Iterator[pa.RecordBatch]:
-    """(h, __key, at) of windows within shared runs that hold one of the seeds at ``open``."""
+def _partner_batches(batches: Iterator[pa.RecordBatch], cuts: Cuts, anywhere: bool) -> Iterator[pa.RecordBatch]:
+    """(h, __key, at) of windows that hold one of the seeds at ``open``: those within shared runs, or ``anywhere``."""
     m = cuts.min_chars
     for batch in batches:
         for low, c in _chunks(batch, cuts):
             seed = np.isin(c.seed, _lists(batch.column("open"), low, c))
             first, last = np.maximum(c.begin[c.of], c.stop - m), np.minimum(c.seed, c.end[c.of] - m)
-            at = np.flatnonzero((_cover(len(c.code), first[seed], last[seed]) > 0) & _within(c, batch, low))
+            held = _cover(len(c.code), first[seed], last[seed]) > 0
+            at = np.flatnonzero(held if anywhere else held & _within(c, batch, low))
             of = np.searchsorted(c.begin, at, "right") - 1
             yield pa.RecordBatch.from_arrays([pa.array(c.hash(at, at + m)), batch.column("__key").take(pa.array(low + of)), pa.array((at - c.begin[of]).astype(np.int32))], ["h", "__key", "at"])
 
@@ -245,7 +246,8 @@ class _Shared:
         runs = cut_lineage(texts.mapInArrow(lambda it: _run_batches(it, cuts), f"h long, __key {kind}, b int, e int"))
         both = cut_lineage(runs.groupBy("h").agg(F.min("__key").alias("first"), F.max("__key").alias("last")).where("first < last").select("h", "first"))
         sure = cut_lineage(join_checked(runs, both, "h").select("__key", "b", "e", (F.col("first") == F.col("__key")).alias("is_first")).unionByName(whole))
-        # windows within any of these runs need no hash of their own
+        # windows within any of these runs need no hash of their own; where only records are asked for, no window of their records does,
+        # but then all those with a seed of an open window are its possible partners
         inside = cut_lineage(sure.groupBy("__key").agg(F.collect_list("b").alias("b"), F.collect_list("e").alias("e")))
         listed = join_checked(held, inside, "__key", "left", row_bytes=40 + 8 * F.size("b"))
         asked = listed.where("b is null") if records_only else listed
@@ -256,7 +258,7 @@ class _Shared:
         places = join_checked(found, wanted, "h", "left_semi", row_bytes=24).groupBy("__key").agg(F.collect_set("at").alias("open"))
         places = cut_lineage(join_checked(places, inside, "__key", row_bytes=40 + 8 * F.size("b")))
         partners = join_checked(base.select("__key", "__text"), places, "__key", row_bytes=40 + 4 * F.size("open") + 8 * F.size("b"))
-        windows = windows.where("at is not null").unionByName(partners.mapInArrow(lambda it: _partner_batches(it, cuts), f"h long, __key {kind}, at int"))
+        windows = windows.where("at is not null").unionByName(partners.mapInArrow(lambda it: _partner_batches(it, cuts, records_only), f"h long, __key {kind}, at int"))
         two = windows.groupBy("h").agg(F.min("__key").alias("first"), F.max("__key").alias("last")).where("first < last").select("h", "first")
         hits = windows.join(two, "h").select("__key", F.col("at").alias("b"), (F.col("at") + min_chars).alias("e"), (F.col("first") == F.col("__key")).alias("is_first"))
         self.parts = sure.unionByName(hits)

@@ -106,6 +106,14 @@ def test_spans_and_shares_match_brute_force(spark):
     assert spans == {k: n for k, n in want.items() if n}
 
 
+def test_record_that_shares_only_with_one_that_has_a_run_elsewhere(spark, sentence):
+    """What 3 shares with 1 lies beside the run that 1 shares with 2, and begins and ends within sentences."""
+    a, b = (" ".join(sentence() for _ in range(6)) for _ in "ab")
+    rows = [(1, f"{a} {b}"), (2, f"{sentence()} {a} {sentence()}"), (3, f"{sentence(3)} {b[30:275]} {sentence(3)}"), (4, f"{sentence(3)} {b[30:260]} {sentence(3)}")]
+    assert {x.doc_id for x in shared_records(frame(spark, rows)).collect()} == brute(rows) == {1, 2, 3}
+    assert {x.doc_id for x in shared_spans(frame(spark, rows)).collect()} == {1, 2, 3}
+
+
 def test_first_holder_keeps_its_part(spark, sentence):
     """A stretch made of a passage first seen here and one seen before loses only the latter."""
     a, b = (" ".join(sentence() for _ in range(6)) + " " for _ in "ab")
