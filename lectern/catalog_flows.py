@@ -168,17 +168,21 @@ def thread_identities(spark, folder):
 
 
 def _books(spark: SparkSession, folder: str) -> DataFrame:
-    """A book of each source: 20 chapters and a foreword of its documents' texts, with notes and pictures, in a text file each."""
+    """A book of each source: 20 chapters and a foreword of its documents' texts, with notes and pictures, in text files that follow one another."""
     d = table(spark, folder, "documents").where("text is not null and source is not null").select(F.regexp_replace(F.lower("source"), r"[^a-z0-9]+", "").alias("native_id"), "doc_id", "text").where("native_id <> ''")
     d = d.withColumn("chapter", (F.col("doc_id") % 21).cast("int"))
-    body = F.concat_ws("\n\n", F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("doc_id", "text"))), lambda x: F.concat(x["text"], F.lit("\n\n[Illustration: a picture]\n\nNumber "), x["doc_id"].cast("string"), F.lit(" ends.\n\n[1] a note\non it"))), "\n\n"))
+    body = F.concat("text", F.lit("\n\n[Illustration: a picture]\n\nNumber "), F.col("doc_id").cast("string"), F.lit(" ends.\n\n[1] a note\non it\n"))
     roman = F.element_at(F.array(*map(F.lit, "I II III IV V VI VII VIII IX X XI XII XIII XIV XV XVI XVII XVIII XIX XX".split())), F.greatest("chapter", F.lit(1)))
-    per = d.groupBy("native_id", "chapter").agg(body.alias("body"))
-    head = F.when(F.col("chapter") == 0, F.lit("FOREWORD")).otherwise(F.concat(F.lit("CHAPTER "), roman, F.lit("\nThe part "), F.col("chapter").cast("string")))
-    book = per.groupBy("native_id").agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("chapter", F.concat(head, F.lit("\n\n"), "body").alias("t")))), lambda x: x["t"]), "\n\n\n").alias("text"))
-    path = _place(spark, "books")
-    book.select("native_id", F.concat(F.lit("About it\n*** START OF THE BOOK ***\n\n"), "text", F.lit("\n\n*** END OF THE BOOK ***\n")).alias("value")).repartition("native_id").write.partitionBy("native_id").option("lineSep", "\n").text(path)
-    return spark.read.text(path, wholetext=True).select("native_id", F.col("value").alias("text"))
+    head = F.when(F.col("chapter") == 0, F.lit("\nFOREWORD\n")).otherwise(F.concat(F.lit("\nCHAPTER "), roman, F.lit("\nThe part "), F.col("chapter").cast("string"), F.lit("\n")))
+    chapters = cut_lineage(d.select("native_id", "chapter").distinct())
+    ends = chapters.select("native_id").distinct().select("native_id", F.explode(F.array(F.struct(F.lit(-1).alias("chapter"), F.lit("About it\n*** START OF THE BOOK ***\n").alias("value")), F.struct(F.lit(99).alias("chapter"), F.lit("*** END OF THE BOOK ***").alias("value")))).alias("x"))
+    lines = d.select("native_id", "chapter", F.lit(1).alias("part"), "doc_id", body.alias("value"))
+    lines = lines.unionByName(chapters.select("native_id", "chapter", F.lit(0).alias("part"), F.lit(0).cast("long").alias("doc_id"), head.alias("value")))
+    lines = lines.unionByName(ends.select("native_id", "x.chapter", F.lit(0).alias("part"), F.lit(0).cast("long").alias("doc_id"), "x.value"))
+    path, order = _place(spark, "books"), ["native_id", "chapter", "part", "doc_id"]
+    lines = lines.repartitionByRange(max(1, int(spark.conf.get("spark.sql.shuffle.partitions"))), *order).sortWithinPartitions(*order)
+    lines.select("native_id", "value").write.partitionBy("native_id").option("lineSep", "\n").text(path)
+    return readers.book_lines(spark, path)
 
 
 @query

@@ -2,18 +2,17 @@
 
 from __future__ import annotations
 
-import re
-
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from lectern.functions import patterns
+from lectern.functions.books import BLOCK, block_batches, mark_batches, segment_batches
 from lectern.functions.html import extract_posts
 from lectern.functions.text import filled, joined_lines, paragraphs, strip, uuid7
 from lectern.model import Corpus
-from lectern.plans import cut_lineage
+from lectern.plans import cut_lineage, join_checked
 from lectern.plans.ordering import numbered
 
 
@@ -191,54 +190,75 @@ def threads(pages: DataFrame, corpus: Corpus, recorded_at: Column, source: str =
     return Corpus(full.unionByName(meta, allowMissingColumns=True), items, merged, corpus.ledger.select(*added.columns).unionByName(added))
 
 
-_HEADER = re.compile(patterns.BOOK_HEADER, re.M)
-_SECTION = T.ArrayType(T.StructType([T.StructField("section_no", T.IntegerType()), T.StructField("title", T.StringType()), T.StructField("body", T.StringType())]))
-
+_PLACE = ["f", "s", "b"]
 
-def book_sections(text: str | None) -> list[dict]:
-    """Foreword and chapters of a book between its START and END markers; the table of contents is skipped."""
-    if not text:
-        return []
-    begin, end = (re.search(rf"\*\*\* {w} OF [^\n]*\*\*\*", text) for w in ("START", "END"))
-    if not begin or not end:
-        raise ValueError("no boundary markers in the book")
-    body = text[begin.end() : end.start()]
-    heads = list(_HEADER.finditer(body))
-    if not heads:
-        raise ValueError("no section header in the book")
-    # contents list every header once before the text does
-    chapters = [i for i, m in enumerate(heads) if re.match(r"CHAPTER\s+I\s", m[0])]
-    first = next((i - 1 if i and heads[i - 1][0] == "FOREWORD" else i for i in chapters[-1:]), 0)
-    heads = heads[first:]
-    out = []
-    for i, m in enumerate(heads):
-        lines = [x.strip() for x in m[0].splitlines() if x.strip()]
-        stop = heads[i + 1].start() if i + 1 < len(heads) else len(body)
-        out.append({"section_no": i + 1, "title": lines[0] if len(lines) == 1 else f"{lines[0]}: {' '.join(lines[1:])}", "body": body[m.end() : stop]})
-    return out
 
+def _book_blocks(books: DataFrame, key: str, text: str, size: int) -> DataFrame:
+    """``__key, f, s, b, text``: the texts in blocks of about ``size`` characters, in the order of the other columns.
 
-@F.pandas_udf(_SECTION)
-def _sections(texts: pd.Series) -> pd.Series:
-    return texts.map(book_sections)
+    Splits of a file are cut where they are; only what stands at their borders, up to a block each, is brought together.
+    """
+    kind = books.schema[key].dataType.simpleString()
+    place = [F.col(k) if k in books.columns else F.lit(d).alias(k) for k, d in (("f", ""), ("s", 0))]
+    rows = books.where(F.length(text) >= (0 if "f" in books.columns else 1)).select(F.col(key).alias("__key"), *(c.cast(t).alias(k) for c, t, k in zip(place, ("string", "long"), "fs")), F.col(text).alias("text"))
+    cut = rows.mapInArrow(lambda it: block_batches(it, size), f"__key {kind}, f string, s long, b int, last boolean, text string")
+    border = cut_lineage(cut.where("b = 0 or last"))
+    upto = Window.partitionBy("__key").orderBy(*_PLACE)
+    joined = border.withColumn("group", F.sum(F.when(F.col("b") > 0, 1).otherwise(0)).over(upto)).groupBy("__key", "group").agg(F.array_sort(F.collect_list(F.struct(*_PLACE, "text"))).alias("x"))
+    joined = cut_lineage(joined.select("__key", *(F.col("x")[0][k].alias(k) for k in _PLACE), F.array_join(F.col("x.text"), "").alias("text")))
+    return cut.where("b > 0 and not last").drop("last").unionByName(joined)
+
+
+def _book_segments(books: DataFrame, key: str, text: str, size: int) -> tuple[DataFrame, DataFrame]:
+    """The keys of books as ``k``, and ``__key, f, s, b, seg, title, opens, foreword, ps``: the paragraphs between markers, by block and header; pictures are left out."""
+    kind = books.schema[key].dataType.simpleString()
+    blocks, at = _book_blocks(books, key, text, size), F.struct(*_PLACE)
+    found = blocks.mapInArrow(mark_batches, f"__key {kind}, f string, s long, b int, begin int, end int")
+    marks = cut_lineage(found.groupBy("__key").agg(*(F.min(F.when(F.col(k).isNotNull(), F.struct(at.alias("at"), k))).alias(k) for k in ("begin", "end"))))
+    if not marks.where("begin is null or end is null").isEmpty():
+        raise ValueError("no boundary markers in the book")
+    m = marks.select(F.col("__key").alias("k"), F.col("begin").alias("m"), F.col("end").alias("n"))
+    inner = join_checked(blocks, m, F.col("__key").eqNullSafe(F.col("k")), row_bytes=400).where(at.between(F.col("m.at"), F.col("n.at")))
+    inner = inner.select("__key", *_PLACE, "text", F.when(at == F.col("m.at"), F.col("m.begin")).alias("begin"), F.when(at == F.col("n.at"), F.col("n.end")).alias("end"))
+    parts = inner.mapInArrow(segment_batches, f"__key {kind}, f string, s long, b int, seg int, title string, opens boolean, foreword boolean, body string")
+    return m.select("k"), parts.withColumn("ps", F.filter(paragraphs(F.col("body")), lambda p: ~p.rlike(patterns.ILLUSTRATION))).drop("body")
 
 
-def book_paragraphs(books: DataFrame, key: str = "native_id", text: str = "text") -> DataFrame:
+def book_paragraphs(books: DataFrame, key: str = "native_id", text: str = "text", block: int = BLOCK) -> DataFrame:
     """``<key>, section_no, title, paragraph_no, item_id, text, annotation`` of books.
 
-    Illustration notes are left out; a footnote becomes the annotation of the paragraph before it in its section (the
-    last one, if there are several), and is dropped where there is none.
+    A row holds a whole text, or, where there are columns ``f`` and ``s`` (file and place in it), a line of a split as
+    :func:`lectern.sources.readers.book_lines` reads it. Sections are the foreword and the chapters between the START and
+    END markers; the table of contents is skipped. Illustration notes are left out; a footnote becomes the annotation of the
+    paragraph before it in its section (the last one, if there are several), and is dropped where there is none.
+
+    Texts are worked on in blocks of about ``block`` characters, so no task holds a book; only headers and counts of
+    paragraphs per block are numbered by book.
     """
-    s = books.select(key, F.explode(_sections(text)).alias("s")).select(key, "s.*")
-    p = s.select(key, "section_no", "title", F.posexplode(paragraphs(F.col("body"))).alias("i", "raw")).where(~F.col("raw").rlike(patterns.ILLUSTRATION))
+    keys, raw = _book_segments(books, key, text, block)
     note = F.regexp_extract("raw", patterns.FOOTNOTE, 1)
+    is_note = lambda p: F.regexp_extract(p, patterns.FOOTNOTE, 1) != ""
+    segs = cut_lineage(raw.select("__key", *_PLACE, "seg", "title", "opens", "foreword", F.size(F.filter("ps", lambda p: ~is_note(p))).alias("n")))
+    if not keys.join(segs.where("seg > 0").select("__key").distinct(), F.col("__key").eqNullSafe(F.col("k")), "left_anti").isEmpty():
+        raise ValueError("no section header in the book")
+    order = Window.partitionBy("__key").orderBy(*_PLACE, "seg")
+    heads = segs.where("seg > 0").withColumns({"no": F.row_number().over(order), "after": F.coalesce(F.lag("foreword").over(order), F.lit(False)).cast("int")})
+    # contents list every header once before the text does: the last first chapter counts, and a foreword right before it
+    first = heads.groupBy(F.col("__key").alias("k")).agg(F.coalesce(F.max(F.when(F.col("opens"), F.col("no") - F.col("after"))), F.lit(1)).alias("first"))
+    upto = order.rowsBetween(Window.unboundedPreceding, 0)
+    segs = segs.withColumns({"no": F.sum((F.col("seg") > 0).cast("int")).over(upto), "title": F.last("title", True).over(upto)})
+    segs = segs.join(first, F.col("__key").eqNullSafe(F.col("k"))).drop("k").where("no >= first")
+    segs = segs.withColumns({"section_no": (F.col("no") - F.col("first") + 1).cast("int"), "before": (F.sum("n").over(upto) - F.col("n")).cast("int")})
+    segs = cut_lineage(segs.where("n > 0").select(F.col("__key").alias("k"), *(F.col(k).alias(f"{k}_") for k in (*_PLACE, "seg")), "section_no", F.col("title").alias("title_"), "before"))
+    same = F.col("__key").eqNullSafe(F.col("k")) & (F.col("f") == F.col("f_")) & (F.col("s") == F.col("s_")) & (F.col("b") == F.col("b_")) & (F.col("seg") == F.col("seg_"))
+    p = join_checked(raw.select("__key", *_PLACE, "seg", "ps"), segs, same, row_bytes=250)
+    p = p.select("__key", *_PLACE, "seg", "section_no", F.col("title_").alias("title"), "before", F.posexplode("ps").alias("i", "raw"))
     p = p.withColumn("note", F.when(note != "", F.concat(note, F.lit(" "), joined_lines(F.regexp_extract("raw", patterns.FOOTNOTE, 2)))))
-    within = Window.partitionBy(key, "section_no").orderBy("i")
-    p = p.withColumn("at", F.last(F.when(F.col("note").isNull(), F.col("i")), True).over(within))
-    notes = p.where("note is not null and at is not null").groupBy(key, "section_no", "at").agg(F.max_by("note", "i").alias("annotation"))
-    body = p.where("note is null").withColumn("paragraph_no", F.row_number().over(Window.partitionBy(key).orderBy("section_no", "i")))
-    out = body.join(notes, [key, "section_no", "at"], "left")
-    return out.select(key, "section_no", "title", "paragraph_no", item_id("narrative", F.col("paragraph_no")).alias("item_id"), joined_lines(F.col("raw")).alias("text"), "annotation")
+    part = ["__key", *_PLACE, "seg"]
+    p = p.withColumn("at", F.sum(F.col("note").isNull().cast("int")).over(Window.partitionBy(*part).orderBy("i").rowsBetween(Window.unboundedPreceding, 0)))
+    p = p.withColumn("annotation", F.max_by("note", F.when(F.col("note").isNotNull(), F.col("i"))).over(Window.partitionBy(*part, "at"))).where("note is null")
+    p = p.withColumn("paragraph_no", (F.col("before") + F.col("at")).cast("int")).withColumnRenamed("raw", "t")
+    return p.select(F.col("__key").alias(key), "section_no", "title", "paragraph_no", item_id("narrative", F.col("paragraph_no")).alias("item_id"), joined_lines(F.col("t")).alias("text"), "annotation")
 
 
 def book_sequences(rows: DataFrame, key: str = "native_id") -> DataFrame:
@@ -256,7 +276,8 @@ def books(texts: DataFrame, ledger: DataFrame, recorded_at: Column, source: str
     """
     named = texts.withColumn("source", F.lit(source))
     known = cut_lineage(register(named, ledger, recorded_at))
-    rows = cut_lineage(book_paragraphs(texts).join(known.select("native_id", F.col("uuid").alias("doc")), "native_id"))
+    full = book_paragraphs(texts).join(known.select("native_id", F.col("uuid").alias("doc")), "native_id")
+    rows = cut_lineage(full.drop("text", "annotation"))  # the texts stay where they are until they are asked for
     seq = book_sequences(rows.drop("native_id").withColumnRenamed("doc", "native_id"))
     purpose = F.to_json(F.struct(F.when(F.col("title").isNull(), "book").otherwise("chapter").alias("sequence_for"), "title"))
     last = rows.groupBy(F.col("doc").alias("native_id")).agg(F.max("paragraph_no").alias("last"))
@@ -264,7 +285,7 @@ def books(texts: DataFrame, ledger: DataFrame, recorded_at: Column, source: str
     seq = seq.join(last, "native_id").withColumn("item_pos", F.col("last") + place)
     items = rows.select(*_empty_items(F.col("doc"), item_pos=F.col("paragraph_no") - 1, item_id=F.col("item_id"), kind=F.lit("narrative")))
     items = items.unionByName(seq.select(*_empty_items(F.col("native_id"), item_pos=F.col("item_pos") - 1, item_id=F.col("item_id"), kind=F.lit("sequence"), item_ids=F.col("item_ids"), data=purpose)))
-    variants = rows.select(*_variants("doc", "item_id", F.col("text"), F.col("annotation")))
+    variants = full.select(*_variants("doc", "item_id", F.col("text"), F.col("annotation")))
     note = F.array(F.struct(F.lit("ingest").alias("kind"), F.lit("book ingested").alias("content"), F.lit(None).cast("string").alias("reasoning")))
     meta = known.select(F.col("uuid").alias("doc_uuid"), F.lit("document").alias("kind"), F.col("source").alias("source_identity"), "native_id", note.alias("annotations"))
     added = known.where("is_new").select("source", "native_id", "uuid", F.lit(None).cast("string").alias("meta"), recorded_at.alias("recorded_at"))

@@ -108,9 +108,15 @@ def forum_pages(spark: SparkSession, path: str, limit: int | None = None) -> Dat
     return pages if limit is None else pages.orderBy("section_url").limit(limit)
 
 
+def book_lines(spark: SparkSession, path: str) -> DataFrame:
+    """Lines of text files, split where they are large: ``text``, and ``f, s``, the file and the split's place in it, in whose order they stand."""
+    lines = spark.read.option("lineSep", "\n").text(path)
+    return lines.select(*(c for c in lines.columns if c != "value"), F.col("_metadata.file_path").alias("f"), F.col("_metadata.file_block_start").alias("s"), F.col("value").alias("text"))
+
+
 def book(spark: SparkSession, path: str, native_id: str) -> DataFrame:
-    """``native_id, text`` of a book in one text file."""
-    return spark.read.text(path, wholetext=True).select(F.lit(native_id).alias("native_id"), F.col("value").alias("text"))
+    """``native_id, f, s, text``: the lines of a book in one text file, or in several in the order of their names."""
+    return book_lines(spark, path).select(F.lit(native_id).alias("native_id"), "f", "s", "text")
 
 
 def ledger(spark: SparkSession, path: str) -> DataFrame:

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from lectern.functions import html, text
 from lectern.operators import ingest
+from lectern.sources import readers
 
 SPACES = [" a\n ", " x y ", "", "  ", None, "one", "a  b\tc"]
 
@@ -146,6 +147,31 @@ def test_book(spark):
     assert len(seq) == 4 and seq["seq-book-000001"] == [f"narrative-{i:06d}" for i in range(1, 5)]
 
 
+def test_book_in_splits_and_blocks(spark, tmp_path):
+    """Wherever a file is split and however small the blocks are, a book has the paragraphs of its whole text, and no row holds much of it."""
+    names = "I II III IV V VI VII VIII IX".split()
+    part = "\n\n".join(f"Para {i} of it.\n\n[{i}] Note\non {i}.\n \n[{i}] Second." if i % 3 else f"Lone {i}\nline.\n\n[Illustration: a\npicture]\r\n\r\nTail." for i in range(40))
+    heads = [f"CHAPTER {n}\n\n\nNAME {n}" for n in names]
+    whole = "front\n*** START OF IT ***\n" + "\n\n".join(heads) + "\n\nFOREWORD\n\nHello.\n\n" + "\n\n".join(f"{h}\n\n[9] Lost.\n\n{part}" for h in heads) + "\n*** END OF IT ***\ntail"
+    fields = ["native_id", "section_no", "title", "paragraph_no", "text", "annotation"]
+    read = lambda df, **k: sorted(ingest.book_paragraphs(df, **k).select(fields).collect())
+    want = read(spark.createDataFrame([("b", whole)], "native_id string, text string"))
+    assert len(want) == 1 + 9 * 54 and want[0][2] == "FOREWORD" and [r[3] for r in want] == list(range(1, len(want) + 1))
+    assert want[1][2:] == ("CHAPTER I: NAME I", 2, "Lone 0 line.", None) and want[3][4:] == ("Para 1 of it.", "[1] Second.")
+    (tmp_path / "book.txt").write_text(whole, newline="")
+    old = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    try:
+        for split, block in (("700", 1), ("3000", 200)):
+            spark.conf.set("spark.sql.files.maxPartitionBytes", split)
+            lines = readers.book(spark, str(tmp_path / "book.txt"), "b")
+            assert read(lines, block=block) == want
+            longest = ingest._book_blocks(lines, "native_id", "text", block).agg({"text": "string_agg"}).first()[0]
+            assert len(longest) == len(whole) + 1
+            assert ingest._book_blocks(lines, "native_id", "text", block).selectExpr("max(length(text))").first()[0] < 1500
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", old)
+
+
 def test_unicode_normal_form_is_left_alone(spark):
     s = unicodedata.normalize("NFD", "é")
     assert values(spark, [s], text.strip) == [s]
