@@ -7,10 +7,9 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from lectern.functions import patterns
-from lectern.functions.books import BLOCK, block_batches, mark_batches, segment_batches
+from lectern.functions.books import BLOCK, block_batches, content_batches, mark_batches, outline_batches, segment_batches
 from lectern.functions.html import extract_posts
-from lectern.functions.text import filled, joined_lines, paragraphs, strip, uuid7
+from lectern.functions.text import filled, joined_lines, strip, uuid7
 from lectern.model import Corpus
 from lectern.plans import cut_lineage, join_checked
 from lectern.plans.ordering import numbered
@@ -190,38 +189,75 @@ def threads(pages: DataFrame, corpus: Corpus, recorded_at: Column, source: str =
     return Corpus(full.unionByName(meta, allowMissingColumns=True), items, merged, corpus.ledger.select(*added.columns).unionByName(added))
 
 
-_PLACE = ["f", "s", "b"]
+_PLACE, _PARAGRAPHS = ["f", "s", "b"], "ps array<struct<raw: string, mark: string, note: string>>"
 
 
-def _book_blocks(books: DataFrame, key: str, text: str, size: int) -> DataFrame:
-    """``__key, f, s, b, text``: the texts in blocks of about ``size`` characters, in the order of the other columns.
+def _book_lines(books: DataFrame, key: str, text: str) -> DataFrame:
+    """``__key, f, s, text``: texts, or the lines of splits of files, with a place for both."""
+    place = [F.col(k) if k in books.columns else F.lit(d).alias(k) for k, d in (("f", ""), ("s", 0))]
+    return books.where(F.length(text) >= (0 if "f" in books.columns else 1)).select(F.col(key).alias("__key"), *(c.cast(t).alias(k) for c, t, k in zip(place, ("string", "long"), "fs")), F.col(text).alias("text"))
+
+
+def _book_outline(lines: DataFrame, size: int) -> tuple[DataFrame, DataFrame]:
+    """The segments of blocks with their numbers of paragraphs; and, as ``__key, f, s, b, text``, the blocks that are needed whole.
 
-    Splits of a file are cut where they are; only what stands at their borders, up to a block each, is brought together.
+    Splits of a file are cut where they are; only what stands at their borders, up to a block each, is brought together,
+    and blocks with a marker are kept. All others are read again where their paragraphs are asked for.
     """
-    kind = books.schema[key].dataType.simpleString()
-    place = [F.col(k) if k in books.columns else F.lit(d).alias(k) for k, d in (("f", ""), ("s", 0))]
-    rows = books.where(F.length(text) >= (0 if "f" in books.columns else 1)).select(F.col(key).alias("__key"), *(c.cast(t).alias(k) for c, t, k in zip(place, ("string", "long"), "fs")), F.col(text).alias("text"))
-    cut = rows.mapInArrow(lambda it: block_batches(it, size), f"__key {kind}, f string, s long, b int, last boolean, text string")
-    border = cut_lineage(cut.where("b = 0 or last"))
+    kind = lines.schema["__key"].dataType.simpleString()
+    seen = cut_lineage(lines.mapInArrow(lambda it: outline_batches(it, size), f"__key {kind}, f string, s long, b int, seg int, title string, opens boolean, foreword boolean, n int, border boolean, text string"))
     upto = Window.partitionBy("__key").orderBy(*_PLACE)
-    joined = border.withColumn("group", F.sum(F.when(F.col("b") > 0, 1).otherwise(0)).over(upto)).groupBy("__key", "group").agg(F.array_sort(F.collect_list(F.struct(*_PLACE, "text"))).alias("x"))
-    joined = cut_lineage(joined.select("__key", *(F.col("x")[0][k].alias(k) for k in _PLACE), F.array_join(F.col("x.text"), "").alias("text")))
-    return cut.where("b > 0 and not last").drop("last").unionByName(joined)
-
-
-def _book_segments(books: DataFrame, key: str, text: str, size: int) -> tuple[DataFrame, DataFrame]:
-    """The keys of books as ``k``, and ``__key, f, s, b, seg, title, opens, foreword, ps``: the paragraphs between markers, by block and header; pictures are left out."""
-    kind = books.schema[key].dataType.simpleString()
-    blocks, at = _book_blocks(books, key, text, size), F.struct(*_PLACE)
-    found = blocks.mapInArrow(mark_batches, f"__key {kind}, f string, s long, b int, begin int, end int")
-    marks = cut_lineage(found.groupBy("__key").agg(*(F.min(F.when(F.col(k).isNotNull(), F.struct(at.alias("at"), k))).alias(k) for k in ("begin", "end"))))
-    if not marks.where("begin is null or end is null").isEmpty():
-        raise ValueError("no boundary markers in the book")
-    m = marks.select(F.col("__key").alias("k"), F.col("begin").alias("m"), F.col("end").alias("n"))
-    inner = join_checked(blocks, m, F.col("__key").eqNullSafe(F.col("k")), row_bytes=400).where(at.between(F.col("m.at"), F.col("n.at")))
-    inner = inner.select("__key", *_PLACE, "text", F.when(at == F.col("m.at"), F.col("m.begin")).alias("begin"), F.when(at == F.col("n.at"), F.col("n.end")).alias("end"))
-    parts = inner.mapInArrow(segment_batches, f"__key {kind}, f string, s long, b int, seg int, title string, opens boolean, foreword boolean, body string")
-    return m.select("k"), parts.withColumn("ps", F.filter(paragraphs(F.col("body")), lambda p: ~p.rlike(patterns.ILLUSTRATION))).drop("body")
+    joined = seen.where("border").withColumn("group", F.sum(F.when(F.col("b") > 0, 1).otherwise(0)).over(upto)).groupBy("__key", "group").agg(F.array_sort(F.collect_list(F.struct(*_PLACE, "text"))).alias("x"))
+    joined = joined.select("__key", *(F.col("x")[0][k].alias(k) for k in _PLACE), F.array_join(F.col("x.text"), "").alias("text"))
+    whole = seen.where("not border and text is not null").select("__key", *_PLACE, "text").unionByName(joined)
+    return seen.where("seg is not null").drop("border", "text"), cut_lineage(whole)
+
+
+def _book_blocks(books: DataFrame, key: str, text: str, size: int) -> DataFrame:
+    """``__key, f, s, b, text``: the texts in blocks of about ``size`` characters, in the order of the other columns."""
+    lines = _book_lines(books, key, text)
+    kind = lines.schema["__key"].dataType.simpleString()
+    inner = lines.mapInArrow(lambda it: block_batches(it, size), f"__key {kind}, f string, s long, b int, text string")
+    return inner.unionByName(_book_outline(lines, size)[1])
+
+
+class _Book:
+    """``parts``: ``k, f_, s_, b_, seg_, section_no, title_, before, n``, the segments that hold paragraphs, and how many of the book stand before them."""
+
+    def __init__(self, books: DataFrame, key: str, text: str, size: int) -> None:
+        self.key, self.size, self.lines = key, size, _book_lines(books, key, text)
+        self.kind = kind = books.schema[key].dataType.simpleString()
+        plain, whole = _book_outline(self.lines, size)
+        at = F.struct(*_PLACE)
+        found = whole.mapInArrow(mark_batches, f"__key {kind}, f string, s long, b int, begin int, end int")
+        marks = cut_lineage(found.groupBy("__key").agg(*(F.min(F.when(F.col(k).isNotNull(), F.struct(at.alias("at"), k))).alias(k) for k in ("begin", "end"))))
+        if not marks.where("begin is null or end is null").isEmpty():
+            raise ValueError("no boundary markers in the book")
+        m = marks.select(F.col("__key").alias("k"), F.col("begin").alias("m"), F.col("end").alias("n_"))
+        within = lambda df: join_checked(df, m, F.col("__key").eqNullSafe(F.col("k")), row_bytes=400).where(at.between(F.col("m.at"), F.col("n_.at")))
+        inner = within(whole).select("__key", *_PLACE, "text", F.when(at == F.col("m.at"), F.col("m.begin")).alias("begin"), F.when(at == F.col("n_.at"), F.col("n_.end")).alias("end"))
+        self.whole = inner.mapInArrow(segment_batches, f"__key {kind}, f string, s long, b int, seg int, title string, opens boolean, foreword boolean, {_PARAGRAPHS}")
+        segs = cut_lineage(within(plain).drop("k", "m", "n_").unionByName(self.whole.withColumn("n", F.size("ps")).drop("ps")))
+        if not m.join(segs.where("seg > 0").select("__key").distinct(), F.col("__key").eqNullSafe(F.col("k")), "left_anti").isEmpty():
+            raise ValueError("no section header in the book")
+        order = Window.partitionBy("__key").orderBy(*_PLACE, "seg")
+        heads = segs.where("seg > 0").withColumns({"no": F.row_number().over(order), "after": F.coalesce(F.lag("foreword").over(order), F.lit(False)).cast("int")})
+        # contents list every header once before the text does: the last first chapter counts, and a foreword right before it
+        first = heads.groupBy(F.col("__key").alias("k")).agg(F.coalesce(F.max(F.when(F.col("opens"), F.col("no") - F.col("after"))), F.lit(1)).alias("first"))
+        upto = order.rowsBetween(Window.unboundedPreceding, 0)
+        segs = segs.withColumns({"no": F.sum((F.col("seg") > 0).cast("int")).over(upto), "title": F.last("title", True).over(upto)})
+        segs = segs.join(first, F.col("__key").eqNullSafe(F.col("k"))).drop("k").where("no >= first")
+        segs = segs.withColumns({"section_no": (F.col("no") - F.col("first") + 1).cast("int"), "before": (F.sum("n").over(upto) - F.col("n")).cast("int")})
+        self.parts = cut_lineage(segs.where("n > 0").select(F.col("__key").alias("k"), *(F.col(k).alias(f"{k}_") for k in (*_PLACE, "seg")), "section_no", F.col("title").alias("title_"), "before", "n"))
+
+    def paragraphs(self) -> DataFrame:
+        size, place = self.size, ["__key", *_PLACE, "seg"]
+        plain = self.lines.mapInArrow(lambda it: content_batches(it, size), f"__key {self.kind}, f string, s long, b int, seg int, {_PARAGRAPHS}")
+        same = F.col("__key").eqNullSafe(F.col("k")) & (F.col("f") == F.col("f_")) & (F.col("s") == F.col("s_")) & (F.col("b") == F.col("b_")) & (F.col("seg") == F.col("seg_"))
+        p = join_checked(plain.unionByName(self.whole.select(*place, "ps")), self.parts, same, row_bytes=250)
+        p = p.select(F.col("__key").alias(self.key), "section_no", F.col("title_").alias("title"), "before", F.posexplode("ps").alias("i", "p")).withColumn("paragraph_no", (F.col("before") + F.col("i") + 1).cast("int"))
+        annotation = F.when(F.col("p.mark").isNotNull(), F.concat("p.mark", F.lit(" "), joined_lines(F.col("p.note"))))
+        return p.select(self.key, "section_no", "title", "paragraph_no", item_id("narrative", F.col("paragraph_no")).alias("item_id"), joined_lines(F.col("p.raw")).alias("text"), annotation.alias("annotation"))
 
 
 def book_paragraphs(books: DataFrame, key: str = "native_id", text: str = "text", block: int = BLOCK) -> DataFrame:
@@ -235,30 +271,7 @@ def book_paragraphs(books: DataFrame, key: str = "native_id", text: str = "text"
     Texts are worked on in blocks of about ``block`` characters, so no task holds a book; only headers and counts of
     paragraphs per block are numbered by book.
     """
-    keys, raw = _book_segments(books, key, text, block)
-    note = F.regexp_extract("raw", patterns.FOOTNOTE, 1)
-    is_note = lambda p: F.regexp_extract(p, patterns.FOOTNOTE, 1) != ""
-    segs = cut_lineage(raw.select("__key", *_PLACE, "seg", "title", "opens", "foreword", F.size(F.filter("ps", lambda p: ~is_note(p))).alias("n")))
-    if not keys.join(segs.where("seg > 0").select("__key").distinct(), F.col("__key").eqNullSafe(F.col("k")), "left_anti").isEmpty():
-        raise ValueError("no section header in the book")
-    order = Window.partitionBy("__key").orderBy(*_PLACE, "seg")
-    heads = segs.where("seg > 0").withColumns({"no": F.row_number().over(order), "after": F.coalesce(F.lag("foreword").over(order), F.lit(False)).cast("int")})
-    # contents list every header once before the text does: the last first chapter counts, and a foreword right before it
-    first = heads.groupBy(F.col("__key").alias("k")).agg(F.coalesce(F.max(F.when(F.col("opens"), F.col("no") - F.col("after"))), F.lit(1)).alias("first"))
-    upto = order.rowsBetween(Window.unboundedPreceding, 0)
-    segs = segs.withColumns({"no": F.sum((F.col("seg") > 0).cast("int")).over(upto), "title": F.last("title", True).over(upto)})
-    segs = segs.join(first, F.col("__key").eqNullSafe(F.col("k"))).drop("k").where("no >= first")
-    segs = segs.withColumns({"section_no": (F.col("no") - F.col("first") + 1).cast("int"), "before": (F.sum("n").over(upto) - F.col("n")).cast("int")})
-    segs = cut_lineage(segs.where("n > 0").select(F.col("__key").alias("k"), *(F.col(k).alias(f"{k}_") for k in (*_PLACE, "seg")), "section_no", F.col("title").alias("title_"), "before"))
-    same = F.col("__key").eqNullSafe(F.col("k")) & (F.col("f") == F.col("f_")) & (F.col("s") == F.col("s_")) & (F.col("b") == F.col("b_")) & (F.col("seg") == F.col("seg_"))
-    p = join_checked(raw.select("__key", *_PLACE, "seg", "ps"), segs, same, row_bytes=250)
-    p = p.select("__key", *_PLACE, "seg", "section_no", F.col("title_").alias("title"), "before", F.posexplode("ps").alias("i", "raw"))
-    p = p.withColumn("note", F.when(note != "", F.concat(note, F.lit(" "), joined_lines(F.regexp_extract("raw", patterns.FOOTNOTE, 2)))))
-    part = ["__key", *_PLACE, "seg"]
-    p = p.withColumn("at", F.sum(F.col("note").isNull().cast("int")).over(Window.partitionBy(*part).orderBy("i").rowsBetween(Window.unboundedPreceding, 0)))
-    p = p.withColumn("annotation", F.max_by("note", F.when(F.col("note").isNotNull(), F.col("i"))).over(Window.partitionBy(*part, "at"))).where("note is null")
-    p = p.withColumn("paragraph_no", (F.col("before") + F.col("at")).cast("int")).withColumnRenamed("raw", "t")
-    return p.select(F.col("__key").alias(key), "section_no", "title", "paragraph_no", item_id("narrative", F.col("paragraph_no")).alias("item_id"), joined_lines(F.col("t")).alias("text"), "annotation")
+    return _Book(books, key, text, block).paragraphs()
 
 
 def book_sequences(rows: DataFrame, key: str = "native_id") -> DataFrame:
@@ -276,15 +289,21 @@ def books(texts: DataFrame, ledger: DataFrame, recorded_at: Column, source: str
     """
     named = texts.withColumn("source", F.lit(source))
     known = cut_lineage(register(named, ledger, recorded_at))
-    full = book_paragraphs(texts).join(known.select("native_id", F.col("uuid").alias("doc")), "native_id")
-    rows = cut_lineage(full.drop("text", "annotation"))  # the texts stay where they are until they are asked for
-    seq = book_sequences(rows.drop("native_id").withColumnRenamed("doc", "native_id"))
+    book, uuids = _Book(texts, "native_id", "text", BLOCK), known.select("native_id", F.col("uuid").alias("doc"))
+    full = book.paragraphs().join(uuids, "native_id")
+    # paragraphs of a book are numbered without a gap, so a section is a range of numbers, and ids are listed last
+    parts = cut_lineage(book.parts.withColumnRenamed("k", "native_id").join(uuids, "native_id").select("doc", "section_no", F.col("title_").alias("title"), (F.col("before") + 1).alias("first"), (F.col("before") + F.col("n")).alias("last")))
+    spread = parts.repartition(max(1, int(texts.sparkSession.conf.get("spark.sql.shuffle.partitions"))), "doc", "first")
+    number = spread.select("doc", F.explode(F.sequence("first", "last")).alias("no"))
+    span = (F.min("first").alias("first"), F.max("last").alias("last"))
+    seq = parts.groupBy("doc", "section_no", "title").agg(*span).select("doc", item_id("seq-chapter", F.col("section_no")).alias("item_id"), "title", "first", "last")
+    seq = seq.unionByName(parts.groupBy("doc").agg(*span).select("doc", F.lit("seq-book-000001").alias("item_id"), F.lit(None).cast("string").alias("title"), "first", "last"))
+    by_doc = Window.partitionBy("doc")
+    seq = cut_lineage(seq.withColumn("item_pos", F.max("last").over(by_doc) + F.row_number().over(by_doc.orderBy("item_id"))))
     purpose = F.to_json(F.struct(F.when(F.col("title").isNull(), "book").otherwise("chapter").alias("sequence_for"), "title"))
-    last = rows.groupBy(F.col("doc").alias("native_id")).agg(F.max("paragraph_no").alias("last"))
-    place = F.row_number().over(Window.partitionBy("native_id").orderBy("item_id"))
-    seq = seq.join(last, "native_id").withColumn("item_pos", F.col("last") + place)
-    items = rows.select(*_empty_items(F.col("doc"), item_pos=F.col("paragraph_no") - 1, item_id=F.col("item_id"), kind=F.lit("narrative")))
-    items = items.unionByName(seq.select(*_empty_items(F.col("native_id"), item_pos=F.col("item_pos") - 1, item_id=F.col("item_id"), kind=F.lit("sequence"), item_ids=F.col("item_ids"), data=purpose)))
+    ids = F.transform(F.sequence("first", "last"), lambda n: item_id("narrative", n))
+    items = number.select(*_empty_items(F.col("doc"), item_pos=F.col("no") - 1, item_id=item_id("narrative", F.col("no")), kind=F.lit("narrative")))
+    items = items.unionByName(seq.select(*_empty_items(F.col("doc"), item_pos=F.col("item_pos") - 1, item_id=F.col("item_id"), kind=F.lit("sequence"), item_ids=ids, data=purpose)))
     variants = full.select(*_variants("doc", "item_id", F.col("text"), F.col("annotation")))
     note = F.array(F.struct(F.lit("ingest").alias("kind"), F.lit("book ingested").alias("content"), F.lit(None).cast("string").alias("reasoning")))
     meta = known.select(F.col("uuid").alias("doc_uuid"), F.lit("document").alias("kind"), F.col("source").alias("source_identity"), "native_id", note.alias("annotations"))

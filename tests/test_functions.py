@@ -7,7 +7,7 @@ from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
-from lectern.functions import html, text
+from lectern.functions import books, html, text
 from lectern.operators import ingest
 from lectern.sources import readers
 
@@ -172,6 +172,32 @@ def test_book_in_splits_and_blocks(spark, tmp_path):
         spark.conf.set("spark.sql.files.maxPartitionBytes", old)
 
 
+def test_book_lists_ids_without_gathering_paragraphs(spark, tmp_path):
+    """The ids of sections and of the whole book come from ranges of numbers; they failed for memory where rows were collected."""
+    para = "\n\n".join(f"Para {i}.\n\n[1] Note {i}." for i in range(60))
+    (tmp_path / "book.txt").write_text("front\n*** START OF IT ***\n" + "\n\n".join(f"CHAPTER {n}\nNAME\n\n{para}" for n in ("I", "II", "III")) + "\n*** END OF IT ***\n")
+    old = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    try:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", "500")
+        ledger = spark.createDataFrame([], "source string, native_id string, uuid string, meta string, recorded_at timestamp")
+        c = ingest.books(readers.book(spark, str(tmp_path / "book.txt"), "b"), ledger, F.lit("2025-01-01").cast("timestamp"))
+        assert "collect_list" not in c.items._jdf.queryExecution().toString()
+        rows = c.items.orderBy("item_pos").collect()
+        assert c.variants.selectExpr("count(annotation)", "count(distinct item_id)").first() == (180, 180)
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", old)
+    ids = [f"narrative-{i:06d}" for i in range(1, 181)]
+    assert [r.item_pos for r in rows] == list(range(184)) and [r.item_id for r in rows[:180]] == ids
+    assert {r.item_id: r.item_ids for r in rows[180:]} == {"seq-book-000001": ids} | {f"seq-chapter-{k + 1:06d}": ids[60 * k : 60 * k + 60] for k in range(3)}
+
+
+@settings(max_examples=15, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(st.lists(st.text("a[]1 \t\r\n\n\n\x0b\x1c\x85\xa0\u1680\u2028\u3000\u180e\u200b", max_size=30), min_size=5, max_size=20))
+def test_book_paragraphs_are_parted_like_columns(spark, texts):
+    texts = [t.replace("[", "(") for t in texts]
+    assert [[p for p, _, _ in books.noted_paragraphs(t)] for t in texts] == values(spark, texts, text.paragraphs)
+
+
 def test_unicode_normal_form_is_left_alone(spark):
     s = unicodedata.normalize("NFD", "é")
     assert values(spark, [s], text.strip) == [s]
