@@ -145,9 +145,8 @@ class Maps:
         """Lower bound of the number of elements that only one of each two rows has."""
         w = np.minimum(self.words[x], self.words[y])
         out = np.zeros(len(x), np.int64)
-        for k in np.unique(w).tolist():
-            m = w == k
-            rows, at = self.level[k], self.at[k]
+        for k, rows in self.level.items():
+            at, m = self.at[k], np.flatnonzero(w == k)
             out[m] = np.bitwise_count(rows[at[x[m]]] ^ rows[at[y[m]]]).sum(axis=1, dtype=np.int64)
         return out
 
@@ -283,26 +282,51 @@ def _binary(column: pa.ChunkedArray | pa.Array, dtype) -> tuple[np.ndarray, np.n
     return joined.view(dtype), (np.concatenate(lens) if lens else np.zeros(0, np.int32)) // width
 
 
-def _blocks(start: np.ndarray, length: np.ndarray, limit: int = 1 << 20) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """Index pairs (i < j) within each run, at most about ``limit`` at a time."""
-    for m in np.unique(length):
-        if m < 2:
-            continue
-        at = start[length == m]
-        if m <= 1024:
-            a, b = np.triu_indices(int(m), 1)
-            step = max(1, limit // len(a))
-            for k in range(0, len(at), step):
-                g = at[k : k + step, None]
-                yield (g + a).ravel(), (g + b).ravel()
-        else:
-            for g in at.tolist():
-                rows = max(1, limit // int(m))
-                for low in range(0, int(m), rows):
-                    i = np.arange(low, min(low + rows, int(m)))
-                    n = int(m) - 1 - i
-                    x = np.repeat(i, n)
-                    yield g + x, g + x + 1 + np.arange(len(x)) - np.repeat(np.cumsum(n) - n, n)
+def _within(low: np.ndarray, high: np.ndarray, limit: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Index pairs (i, j) with low[i] <= j < high[i], at most about ``limit`` at a time."""
+    count = np.maximum(0, high - low)
+    upto, at = np.cumsum(count), 0
+    while at < len(count):
+        stop = max(at + 1, int(np.searchsorted(upto, (upto[at - 1] if at else 0) + limit, "right")))
+        c = count[at:stop]
+        if total := int(c.sum()):
+            yield np.repeat(np.arange(at, stop), c), np.arange(total) + np.repeat(low[at:stop] - (np.cumsum(c) - c), c)
+        at = stop
+
+
+def _near(group: np.ndarray, n: np.ndarray, place: np.ndarray, t: float, limit: int = 1 << 20) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Index pairs of one group (ids from 0) that the bounds on size and place let through, at most about ``limit`` at a time.
+
+    An element reaches sizes up to ``reach``, where its place still leaves the overlap that the two need; each of a pair must
+    reach the other. The smaller of them then reaches its own size. Those that do are looked up by size among
+    themselves, where the bounds are met on both sides, and beside those that don't, from the side with fewer to look at.
+    """
+    least = needed(np.arange(2 * int(n.max(initial=0)) + 2), np.zeros(1, np.int64), t)  # by the sum of two sizes
+    reach = np.searchsorted(least, n - place, "right") - 1 - n
+    wide = int(max(n.max(initial=0), reach.max(initial=0))) + 2
+    own = reach >= n
+
+    def upto(keys: np.ndarray, g: np.ndarray, size: np.ndarray) -> np.ndarray:
+        """How many keys come before the ones of the group with more than the size."""
+        return np.searchsorted(keys, g * wide + np.clip(size, -1, wide - 2) + 1, "right")
+
+    e, f = np.flatnonzero(own), np.flatnonzero(~own)
+    e, f = e[np.lexsort((n[e], group[e]))], f[np.lexsort((n[f], group[f]))]
+    keys, others = group[e] * wide + n[e] + 1, group[f] * wide + n[f] + 1
+    for i, j in _within(np.arange(len(e)) + 1, upto(keys, group[e], reach[e]), limit):
+        yield e[i], e[j]
+    if not len(e) or not len(f):
+        return
+    low, high = upto(others, group[e], n[e]), upto(others, group[e], reach[e])
+    back, top = upto(keys, group[f], np.ceil(t * n[f] - 1e-6).astype(np.int64) - 1), upto(keys, group[f], reach[f])
+    groups = int(group.max()) + 1
+    ahead = np.bincount(group[e], np.maximum(0, high - low), groups) <= np.bincount(group[f], np.maximum(0, top - back), groups)
+    for i, j in _within(low, np.where(ahead[group[e]], high, low), limit):
+        ok = n[e[i]] <= reach[f[j]]
+        yield e[i[ok]], f[j[ok]]
+    for j, i in _within(back, np.where(ahead[group[f]], back, top), limit):
+        ok = n[f[j]] <= reach[e[i]]
+        yield e[i[ok]], f[j[ok]]
 
 
 _OUT = pa.schema([("a", pa.int64()), ("b", pa.int64()), ("member", pa.bool_())])
@@ -356,15 +380,21 @@ def _meet(tab: pa.Table, t: float) -> Iterator[pa.RecordBatch]:
     gram, mark, row = gram[keep], mark[keep], row[keep]
     o = np.lexsort((gram, unit[row]))
     gram, mark, row = gram[o], mark[o], row[o]
-    place, cross, side = (mark & np.uint32(_CROSS - 1)).astype(np.int64), (mark & np.uint32(_CROSS)) > 0, (mark & np.uint32(_SIDE)) > 0
     start = _runs(unit[row], gram) if len(row) else np.zeros(0, np.int64)
+    length = np.diff(np.append(start, len(row)))
+    shared = np.repeat(length > 1, length)
+    mark, row, length = mark[shared], row[shared], length[length > 1]
+    place, cross, side = (mark & np.uint32(_CROSS - 1)).astype(np.int64), (mark & np.uint32(_CROSS)) > 0, (mark & np.uint32(_SIDE)) > 0
     found: list[np.ndarray] = []
-    for i, j in _blocks(start, np.diff(np.append(start, len(row)))):
+    crossed = bool(cross.any())
+    least = needed(np.arange(2 * int(n.max(initial=0)) + 2), np.zeros(1, np.int64), t)
+    for i, j in _near(np.repeat(np.arange(len(length)), length), n[row], place, t):
+        if crossed:
+            ok = ~cross[i] | (side[i] != side[j])
+            i, j = i[ok], j[ok]
         x, y = row[i], row[j]
-        need = needed(n[x], n[y], t)
-        ok = (place[i] <= n[x] - need) & (place[j] <= n[y] - need) & (~cross[i] | (side[i] != side[j]))
-        x, y, need = x[ok], y[ok], need[ok]
-        ok = n[x] + n[y] - maps.apart(x, y) >= 2 * need
+        both = n[x] + n[y]
+        ok = both - maps.apart(x, y) >= 2 * least[both]
         x, y = c[x[ok]], c[y[ok]]
         found.append(np.stack([np.minimum(x, y), np.maximum(x, y)], 1)[x != y])
         if sum(map(len, found)) > 1 << 20:

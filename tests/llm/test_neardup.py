@@ -1,8 +1,10 @@
 import random
 import re
 
+import numpy as np
 import pytest
 
+from lectern.llm import neardup
 from lectern.llm.neardup import expanded_pairs, groups, near_duplicates
 
 SCHEMA = "id long, text string, c string, frag int, __key string"
@@ -89,3 +91,18 @@ def test_hot_group_of_copies(spark):
     found = near_duplicates(frame(spark, rows), "id", "text", 0.5, 3, 40)
     assert found.links.count() == 0
     assert {r.group_id for r in groups(found).where("id < 1000").collect()} == {0}
+
+
+def test_only_pairs_within_the_bounds_are_made():
+    """Long lists give the pairs that sizes and places let through, each once, and no others: before, all pairs were made and then dropped."""
+    rng = np.random.default_rng(1)
+    for t in (0.3, 0.5, 2 / 3, 0.8, 1.0) * 12:
+        m = int(rng.integers(0, 60))
+        group, n = np.sort(rng.integers(0, 4, m)), rng.integers(1, 60, m)
+        place = (rng.random(m) * (n - np.ceil(t * n - 1e-9) + 1)).astype(np.int64)
+        need = neardup.needed(n[:, None], n, t)
+        within = (group[:, None] == group) & (need <= (n - place)[:, None]) & (need <= n - place)
+        want = list(zip(*np.nonzero(np.triu(within, 1))))
+        for limit in (7, 1 << 20):
+            got = [(min(x), max(x)) for i, j in neardup._near(group, n, place, t, limit) for x in zip(i, j)]
+            assert sorted(got) == want
